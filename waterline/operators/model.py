@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waterline.config import FLEX_POSITIONS, MAX_YEAR, POOLS, POSITIONS, LeagueConfig, Scenarios
-from waterline.functions.numeric import mean_or_zero_sql, spread_sql, win_share_sql, wins_above_sql
+from waterline.functions.numeric import RANK_DIGITS, mean_or_zero_sql, spread_sql, win_share_sql, wins_above_sql
 from waterline.operators.pools import in_pool_sql
 from waterline.sources.storage import small
 
@@ -24,7 +24,11 @@ def environment(
     at_least_one: bool = False,
     score: str = "fpts",
 ) -> DataFrame:
-    """Pool structs (avg, std, replacement, n_actual, n_nominal), ``team_avg`` and ``team_std`` by ``keys``."""
+    """Pool structs (avg, std, replacement, n_actual, n_nominal), ``team_avg`` and ``team_std`` by ``keys``.
+
+    Means are rounded to nine places: two pools may hold the same rows, and the error function's
+    approximation jumps at zero, so their difference must not hang on the order of a float sum.
+    """
     scenarios = Scenarios.of(league)
     grouping = [*scenarios.keys, *keys]
     marked = ranked.selectExpr(
@@ -39,9 +43,9 @@ def environment(
     for pool in POOLS:
         top, rest = f"{pool}_starter", f"{pool}_replacement"
         stats += [
-            F.expr(f"{mean_or_zero_sql(top)} AS {pool}_avg"),
+            F.expr(f"round({mean_or_zero_sql(top)}, {RANK_DIGITS}) AS {pool}_avg"),
             F.expr(f"{spread_sql(top)} AS {pool}_std"),
-            F.expr(f"{mean_or_zero_sql(rest)} AS {pool}_rep"),
+            F.expr(f"round({mean_or_zero_sql(rest)}, {RANK_DIGITS}) AS {pool}_rep"),
             F.expr(f"int(count({top})) AS {pool}_n"),
         ]
         nominal = scenarios.sql(lambda cfg, pool=pool: cfg.starters(pool))

@@ -102,13 +102,18 @@ def projected_war(pool: DataFrame, env: DataFrame, config: LeagueConfig) -> Data
 def rank_projections(valued: DataFrame) -> DataFrame:
     """Add ``pos_rank`` with its label, and ``overall_rank``, by WAR."""
     best_first = [rank_key(F.col("war")).desc(), F.col("ord").asc()]
-    by_position = number_rows(valued, best_first, "pos_rank", within=["pos"])
+    by_position = number_rows(valued, best_first, "pos_rank", within=["pos"], groups=len(POSITIONS))
     ranked = number_rows(by_position, best_first, "overall_rank")
     return ranked.withColumn("pos_rank_label", position_label(F.col("pos_rank"), F.col("pos")))
 
 
-def attach_curve(ranked: DataFrame, curve: DataFrame | None) -> DataFrame:
-    """Add ``historical_war`` of the same position rank, and the difference to it."""
+def attach_curve(
+    ranked: DataFrame, curve: DataFrame | None, curve_rows: int = MAX_CURVE_RANK * len(POSITIONS)
+) -> DataFrame:
+    """Add ``historical_war`` of the same position rank, and the difference to it.
+
+    ``curve_rows`` bounds the curve; the default holds for ``rank_curve``, not for imported ones.
+    """
     if curve is None:
         past = ranked.withColumn("historical_war", F.lit(None).cast("double"))
     else:
@@ -116,5 +121,5 @@ def attach_curve(ranked: DataFrame, curve: DataFrame | None) -> DataFrame:
         # An imported curve may hold fractional ranks that round onto a whole one: the exact rank wins.
         choice = F.struct((F.col("rank") == rounded).cast("int"), -F.col("rank"))
         lookup = curve.groupBy("pos", rounded.alias("pos_rank")).agg(F.max_by("war", choice).alias("historical_war"))
-        past = ranked.join(small(lookup, MAX_CURVE_RANK * len(POSITIONS)), ["pos", "pos_rank"], "left")
+        past = ranked.join(small(lookup, curve_rows), ["pos", "pos_rank"], "left")
     return past.withColumn("delta_vs_historical", F.col("war") - F.col("historical_war"))

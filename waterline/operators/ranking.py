@@ -17,19 +17,26 @@ from waterline.sources.storage import materialise, small
 
 # monotonically_increasing_id keeps the partition number above this bit.
 _PARTITION_BIT = 33
+# Shuffle partitions per salted part of a group in ``best_rows``.
+_TASKS_PER_PART = 64
+
+
+def shuffle_width(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def number_rows(
-    df: DataFrame, order: Sequence[Column], out: str, within: Sequence[str] = (), partitions: int | None = None
+    df: DataFrame, order: Sequence[Column], out: str, within: Sequence[str] = (), groups: int | None = None
 ) -> DataFrame:
     """Add ``out`` = 1, 2, ... in ``order`` inside each (non-null) ``within`` group.
 
-    ``order`` must end in a key that makes it total. The laid-out rows are materialised in the
-    shared folder, because the two reads of them below must see the same partitions even when a
-    task is run again.
+    ``order`` must end in a key that makes it total. ``groups`` is the caller's bound on the number
+    of groups; with it the offsets are broadcast, without it Spark picks the join by size. The
+    laid-out rows are materialised in the shared folder, because the two reads of them below must
+    see the same partitions even when a task is run again.
     """
-    spark = df.sparkSession
-    width = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    width = shuffle_width(df)
+    groups = groups if within else 1
     layout = [F.col(g).asc() for g in within] + list(order)
     laid = materialise(
         df.repartitionByRange(width, *layout)
@@ -42,18 +49,39 @@ def number_rows(
     shift = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1
     offsets = pieces.select(*within, "_piece", shift.alias("_shift"))
     # Each partition boundary splits at most one group, so there are at most width + groups pieces.
+    side = offsets if groups is None else small(offsets, width + groups)
     return (
-        laid.join(small(offsets, 2 * width if not within else width + 100_000), [*within, "_piece"])
+        laid.join(side, [*within, "_piece"])
         .withColumn(out, (F.col("_slot") + F.col("_shift")).cast("int"))
         .drop("_slot", "_piece", "_shift")
     )
 
 
-def best_rows(df: DataFrame, order: Sequence[Column], limit: int, within: Sequence[str], out: str) -> DataFrame:
+def best_rows(
+    df: DataFrame,
+    order: Sequence[Column],
+    limit: int,
+    within: Sequence[str],
+    out: str,
+    fan_in: int | None = None,
+) -> DataFrame:
     """Only the first ``limit`` rows of each group, numbered by ``out``.
 
     Spark limits each group inside the map tasks, before the exchange, so at most ``limit`` rows
-    per group and task are shuffled however large a group is.
+    per group and task are shuffled however large a group is. With very many map tasks even that is
+    a lot for one reducer, so the limit is first applied to ``fan_in`` salted parts of each group
+    (chosen from the shuffle width unless given; 1 leaves the step out).
     """
-    window = Window.partitionBy(*(within or [F.lit(0)])).orderBy(*order)
-    return df.withColumn(out, F.row_number().over(window)).filter(F.col(out) <= limit)
+    fan_in = max(1, shuffle_width(df) // _TASKS_PER_PART) if fan_in is None else fan_in
+    group = list(within) or [F.lit(0)]
+
+    def first(rows: DataFrame, keys: list) -> DataFrame:
+        return rows.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(
+            F.col(out) <= limit
+        )
+
+    if fan_in > 1:
+        # Hashed from the row itself, so a task that runs again salts it alike.
+        salt = F.pmod(F.xxhash64(*df.columns), F.lit(fan_in))
+        df = first(df.withColumn("_salt", salt), [*group, "_salt"]).drop(out, "_salt")
+    return first(df, group)

@@ -115,7 +115,7 @@ def _season_order(ties: Sequence[str]):
 
 def rank_seasons(seasons: DataFrame, keys: Sequence[str] = ("year", "pos"), ties: Sequence[str] = TIES) -> DataFrame:
     """All seasons with ``rank`` by WAR inside (year, position)."""
-    return number_rows(seasons, _season_order(ties), "rank", within=keys)
+    return number_rows(seasons, _season_order(ties), "rank", within=keys, groups=MAX_YEAR * len(POSITIONS))
 
 
 def top_seasons(

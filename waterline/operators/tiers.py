@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waterline.functions.numeric import nearest
-from waterline.operators.ranking import number_rows
+from waterline.operators.ranking import number_rows, shuffle_width
 from waterline.sources.storage import materialise, small
 
 # Fixed values.
@@ -170,8 +170,7 @@ def silhouettes(values: DataFrame, centers: dict[int, np.ndarray]) -> dict[int,
 def value_line(values: DataFrame, value: str) -> DataFrame:
     """Distinct values with their count and the count and sum of all smaller values, laid out in order."""
     counted = values.groupBy(F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    spark = counted.sparkSession
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    width = shuffle_width(counted)
     laid = materialise(
         counted.repartitionByRange(width, "value").withColumn("_piece", F.spark_partition_id())
     )

@@ -127,12 +127,18 @@ def default_seasons(seasons: DataFrame, entities: int = DEFAULT_TREND_ENTITIES)
     return seasons.join(F.broadcast(best), ["player_key", "pos"], "left_semi")
 
 
-def entity_trend(chosen: DataFrame, series: Sequence[str], metric: str, aligned: bool = False) -> DataFrame:
-    """Metric by year, or by each series' own season index when ``aligned``."""
-    keep = [*series, "player", "team", "pos", "year"]
+def entity_trend(
+    chosen: DataFrame, series: Sequence[str], metric: str, aligned: bool = False, series_bound: int | None = None
+) -> DataFrame:
+    """Metric by year, or by each series' own season index when ``aligned``.
+
+    A short name key may match very many seasons, so the index is numbered without a window per
+    series. ``series_bound`` is the most series there can be.
+    """
+    keep = list(dict.fromkeys([*series, "player", "team", "pos", "year"]))
     if aligned:
         order = [F.col("year").asc(), F.col("player").asc(), F.col("team").asc(), F.col("pos").asc()]
-        chosen = number_rows(chosen.select(*keep, metric), order, "x", within=list(series))
+        chosen = number_rows(chosen.select(*keep, metric), order, "x", within=list(series), groups=series_bound)
     else:
         chosen = chosen.withColumn("x", F.col("year"))
     return chosen.select(*keep, "x", F.col(metric).alias("y"))

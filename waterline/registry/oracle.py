@@ -101,10 +101,10 @@ def _model(cfg, p: str = "") -> str:
     return f"""
 {_pool_rows(cfg, p)},
 {p}stats AS (
-  SELECT y.year, s.pool, s.slots, s.nominal, coalesce(avg(fpts) {top}, 0) AS avg,
+  SELECT y.year, s.pool, s.slots, s.nominal, round(coalesce(avg(fpts) {top}, 0), 9) AS avg,
          CASE WHEN count(fpts) {top} <= 1 THEN greatest(0.2 * coalesce(avg(fpts) {top}, 0), 1)
               ELSE stddev_pop(fpts) {top} END AS std,
-         coalesce(avg(fpts) {rest}, 0) AS replacement, count(fpts) {top} AS n
+         round(coalesce(avg(fpts) {rest}, 0), 9) AS replacement, count(fpts) {top} AS n
   FROM (SELECT DISTINCT year FROM {p}elig) y
   CROSS JOIN (VALUES {spine}) AS s(pool, slots, nominal)
   LEFT JOIN {p}pool_rows r ON r.year = y.year AND r.pool = s.pool GROUP BY ALL),
@@ -237,10 +237,10 @@ j2 AS (SELECT *, CASE WHEN pr > {slots} AND pos <> 'QB' THEN
          row_number() OVER (PARTITION BY pr > {slots} AND pos <> 'QB' ORDER BY avg DESC, ord) END AS fr FROM j1),
 jr AS ({" UNION ALL ".join(rows)}),
 base AS (
-  SELECT s.pool, s.slots, s.nominal, coalesce(avg(jr.avg) FILTER (WHERE top), 0) AS avg,
+  SELECT s.pool, s.slots, s.nominal, round(coalesce(avg(jr.avg) FILTER (WHERE top), 0), 9) AS avg,
          CASE WHEN count(jr.avg) FILTER (WHERE top) <= 1 THEN greatest(0.2 * coalesce(avg(jr.avg) FILTER (WHERE top), 0), 1)
               ELSE stddev_pop(jr.avg) FILTER (WHERE top) END * (s.pool <> 'SUPERFLEX')::INT AS std,
-         coalesce(avg(jr.avg) FILTER (WHERE NOT top), 0) AS replacement
+         round(coalesce(avg(jr.avg) FILTER (WHERE NOT top), 0), 9) AS replacement
   FROM (VALUES {spine}) AS s(pool, slots, nominal) LEFT JOIN jr ON jr.pool = s.pool GROUP BY s.pool, s.slots, s.nominal),
 pteam AS (SELECT * FROM {team}),
 pv AS (
@@ -430,7 +430,7 @@ def _templates() -> dict[str, str]:
         + f""", shown AS (SELECT * FROM seasons WHERE {SEEN.format(1996, 2000)}),
             best AS (SELECT player, pos FROM shown WHERE year = (SELECT max(year) FROM shown)
                      ORDER BY round(war, 9) DESC, player, team LIMIT 6)
-            SELECT player AS player_key, player, pos, year, CAST(row_number() OVER (PARTITION BY player
+            SELECT player AS player_key, player, pos, year, CAST(row_number() OVER (PARTITION BY player, pos
                    ORDER BY year, player, team, pos) AS INTEGER) AS x, R6[fpts] AS y
             FROM shown SEMI JOIN best USING (player, pos)""",
         "entity_season_card": history()

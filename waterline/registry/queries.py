@@ -284,7 +284,7 @@ def rank_trend(spark, sf):
 def _token_trend(spark, sf, aligned):
     tokens = entity_tokens(spark, TREND_TOKENS, letters_only=False)
     chosen = series.token_seasons(series.between_years(model(spark, sf).seasons, 1996, 2001), tokens)
-    return rounded(series.entity_trend(chosen, ["series"], "war", aligned), "series", "player", "pos", "year", "x", "y")
+    return rounded(series.entity_trend(chosen, ["series"], "war", aligned, len(TREND_TOKENS.split(","))), "series", "player", "pos", "year", "x", "y")
 
 
 @query
@@ -300,7 +300,8 @@ def entity_trend_aligned(spark, sf):
 @query
 def entity_trend_default(spark, sf):
     chosen = series.default_seasons(series.between_years(model(spark, sf).seasons, 1996, 2000))
-    return rounded(series.entity_trend(chosen, ["player_key"], "fpts", True), "player_key", "player", "pos", "year", "x", "y")
+    trend = series.entity_trend(chosen, ["player_key", "pos"], "fpts", True, series.DEFAULT_TREND_ENTITIES)
+    return rounded(trend, "player_key", "player", "pos", "year", "x", "y")
 
 
 @query
