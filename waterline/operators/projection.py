@@ -72,8 +72,8 @@ def with_history(env: DataFrame, history: DataFrame | None) -> DataFrame:
     """Swap in the historical team when there is one; ``source`` tells which was used."""
     if history is None:
         return env.withColumn("source", F.lit("projection"))
-    team = history.agg(F.max("team_avg").alias("a"), F.max("team_std").alias("s"))
-    past_avg, past_std = team.select("a").scalar(), team.select("s").scalar()
+    past = history.agg(F.max(F.struct("team_avg", "team_std")).alias("t")).scalar()
+    past_avg, past_std = past["team_avg"], past["team_std"]
     return env.withColumns(
         {
             "source": F.when(past_avg.isNotNull(), "historical").otherwise("projection"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -56,21 +56,24 @@ def history_model(
     scored: bool = False,
     weeks: bool = False,
     ties: Sequence[str] = TIES,
-    store: bool = False,
+    store: Collection[str] = (),
 ) -> HistoryModel:
     """Model of ``weekly``.
 
     ``order`` lists the input-order columns of a table that may repeat (season, week) rows; leave it
     out when the table is known to hold each at most once, which saves an exchange. ``scored``: the
-    table already holds ``score_weekly`` output. ``store`` writes the scored facts to the shared
-    folder first, for sessions that derive several results from one scoring.
+    table already holds ``score_weekly`` output. ``store`` may name "facts" (the scored rows) and "env"
+    (the small season model) to write them to the shared folder at once, for sessions that derive
+    several results from them.
     """
     facts = weekly if scored else score_weekly(weekly, league.scoring, key, carry=order)
     facts = eligible(facts, league)
-    if store:
+    if "facts" in store:
         facts = materialise(facts)
     heads = pool_ranks(facts, league, ties=["id", *order], unique=not order)
     env = environment(heads, league)
+    if "env" in store:
+        env = materialise(env)
     seasons = season_values(facts, env, league, order, weeks)
     return HistoryModel(facts, heads, env, seasons, tuple(ties))
 

@@ -64,12 +64,14 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.selectExpr(*[double(c) if isinstance(kinds[c], T.DoubleType) else f"`{c}`" for c in columns or df.columns])
 
 
-def model(spark: SparkSession, sf_dir: str, league: LeagueConfig = fx.WEEKLY_LEAGUE, weeks: bool = False) -> HistoryModel:
-    return history_model(fx.weekly(spark, sf_dir), league, key="Player", weeks=weeks)
+def model(
+    spark: SparkSession, sf_dir: str, league: LeagueConfig = fx.WEEKLY_LEAGUE, weeks: bool = False, store: tuple = ()
+) -> HistoryModel:
+    return history_model(fx.weekly(spark, sf_dir), league, key="Player", weeks=weeks, store=store)
 
 
 def valuation(spark: SparkSession, sf_dir: str, history: bool = False, tiers: bool = False, **extra) -> Valuation:
-    past = model(spark, sf_dir) if history else None
+    past = model(spark, sf_dir, store=("env",)) if history else None
     return value_projections(
         fx.projections(spark, sf_dir),
         fx.POOL_LEAGUE,
