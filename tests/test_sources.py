@@ -156,4 +156,5 @@ def test_checkpoint_folder_comes_from_the_session(spark):
     assert storage.shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert storage.scratch_path(spark, "x").startswith(storage.shared_dir(spark))
     cut = storage.materialise(spark.range(3))
-    assert "Scan ExistingRDD" in cut._jdf.queryExecution().toString() and cut.count() == 3
+    assert cut.inputFiles() and all(storage.shared_dir(spark) in f for f in cut.inputFiles())
+    assert cut.count() == 3 and storage.materialise(spark.range(0)).count() == 0

@@ -55,5 +55,6 @@ def value_projections(
         pool = attach_market(pool, normalise_market(market, market_order, market_key))
     env = with_history(baselines(pool, config), team)
     ranked = rank_projections(projected_war(pool, env, config))
-    results = value_against_market(attach_curve(ranked, curve))
-    return Valuation(assign_tiers(results) if tiers else results, env)
+    if tiers:
+        ranked = assign_tiers(ranked)
+    return Valuation(value_against_market(attach_curve(ranked, curve)), env)

@@ -19,19 +19,23 @@ MANIFEST_SCHEMA = (
 )
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All-string CSV with a header row; quoted cells may span lines, blank lines are skipped."""
-    return spark.read.csv(path, header=True, inferSchema=False, multiLine=True, escape='"')
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """All-string CSV with a header row; blank lines are skipped.
+
+    Quoted cells may span lines, for which each file must be read by one task. ``multi_line=False``
+    lets large files be split when no cell holds a line break.
+    """
+    return spark.read.csv(path, header=True, inferSchema=False, multiLine=multi_line, escape='"')
 
 
 def read_json_document(spark: SparkSession, path: str, schema: str = MANIFEST_SCHEMA) -> DataFrame:
     return spark.read.schema(schema).json(path, multiLine=True)
 
 
-def read_optional(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_optional(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame:
     """The CSV at ``path``, or an empty table of ``schema`` when there is none."""
     try:
-        return read_csv(spark, path)
+        return read_csv(spark, path, multi_line)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -56,8 +60,8 @@ def read_projection_inputs(spark: SparkSession, projections: str, market: str, f
 
 
 def read_weekly_history(spark: SparkSession, path: str) -> DataFrame:
-    """Weekly history as CSV; empty when it has not been loaded yet."""
-    return read_optional(spark, path, WEEKLY_SCHEMA)
+    """Weekly history as CSV (names and numbers on one line each); empty when not loaded yet."""
+    return read_optional(spark, path, WEEKLY_SCHEMA, multi_line=False)
 
 
 def read_weekly_table(spark: SparkSession, path: str) -> DataFrame:
