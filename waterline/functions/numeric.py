@@ -14,6 +14,8 @@ DECIMAL_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 # Rational approximation 7.1.26 of the error function (Abramowitz and Stegun).
 ERF_P = 0.3275911
 ERF_A = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
+# Arguments below this are float noise around zero.
+ERF_ZERO = 1e-10
 
 # Values this close are one rank tie; keeps ranks independent of the order of float sums.
 RANK_DIGITS = 9
@@ -31,11 +33,13 @@ def to_number(col: Column) -> Column:
 
 
 def erf_sql(x: str) -> str:
+    """Error function. The approximation jumps by 2e-9 at zero, so a mere rounding error counts as zero."""
     t = f"(1D / (1D + {ERF_P}D * abs({x})))"
     poly = f"{ERF_A[-1]}D"
     for a in reversed(ERF_A[:-1]):
         poly = f"({poly} * {t} + {a}D)"
-    return f"(signum({x}) * (1D - {poly} * {t} * exp(-({x}) * ({x}))))"
+    curve = f"signum({x}) * (1D - {poly} * {t} * exp(-({x}) * ({x})))"
+    return f"(CASE WHEN abs({x}) < {ERF_ZERO}D THEN 0D ELSE {curve} END)"
 
 
 def normal_cdf_sql(x: str, mean: str, std: str) -> str:

@@ -58,8 +58,11 @@ def eligible(scored: DataFrame, league: LeagueConfig | Scenarios) -> DataFrame:
 
 
 def last_rows(scored: DataFrame, order: Sequence[str]) -> DataFrame:
-    """One row per season and week, the last in input ``order``. Map-side combine absorbs a hot key."""
-    latest = F.struct(*order)
+    """One row per season and week, the last in input ``order``. Map-side combine absorbs a hot key.
+
+    A single numeric order column is the cheapest: its aggregation hashes instead of sorting.
+    """
+    latest = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     return scored.groupBy(*SEASON, "player_key", "week").agg(F.max_by("fpts", latest).alias("fpts"))
 
 

@@ -34,7 +34,8 @@ def _erf(x: str) -> str:
         f"((((1.061405429::DOUBLE * {t} - 1.453152027::DOUBLE) * {t} + 1.421413741::DOUBLE) * {t} "
         f"- 0.284496736::DOUBLE) * {t} + 0.254829592::DOUBLE) * {t}"
     )
-    return f"(sign({x}) * (1.0::DOUBLE - {poly} * exp(-({x}) * ({x}))))"
+    curve = f"sign({x}) * (1.0::DOUBLE - {poly} * exp(-({x}) * ({x})))"
+    return f"(CASE WHEN abs({x}) < 1e-10 THEN 0.0::DOUBLE ELSE {curve} END)"
 
 
 def _share(score: str, avg: str) -> str:
@@ -101,10 +102,10 @@ def _model(cfg, p: str = "") -> str:
     return f"""
 {_pool_rows(cfg, p)},
 {p}stats AS (
-  SELECT y.year, s.pool, s.slots, s.nominal, round(coalesce(avg(fpts) {top}, 0), 9) AS avg,
+  SELECT y.year, s.pool, s.slots, s.nominal, coalesce(avg(fpts) {top}, 0) AS avg,
          CASE WHEN count(fpts) {top} <= 1 THEN greatest(0.2 * coalesce(avg(fpts) {top}, 0), 1)
               ELSE stddev_pop(fpts) {top} END AS std,
-         round(coalesce(avg(fpts) {rest}, 0), 9) AS replacement, count(fpts) {top} AS n
+         coalesce(avg(fpts) {rest}, 0) AS replacement, count(fpts) {top} AS n
   FROM (SELECT DISTINCT year FROM {p}elig) y
   CROSS JOIN (VALUES {spine}) AS s(pool, slots, nominal)
   LEFT JOIN {p}pool_rows r ON r.year = y.year AND r.pool = s.pool GROUP BY ALL),
@@ -237,10 +238,10 @@ j2 AS (SELECT *, CASE WHEN pr > {slots} AND pos <> 'QB' THEN
          row_number() OVER (PARTITION BY pr > {slots} AND pos <> 'QB' ORDER BY avg DESC, ord) END AS fr FROM j1),
 jr AS ({" UNION ALL ".join(rows)}),
 base AS (
-  SELECT s.pool, s.slots, s.nominal, round(coalesce(avg(jr.avg) FILTER (WHERE top), 0), 9) AS avg,
+  SELECT s.pool, s.slots, s.nominal, coalesce(avg(jr.avg) FILTER (WHERE top), 0) AS avg,
          CASE WHEN count(jr.avg) FILTER (WHERE top) <= 1 THEN greatest(0.2 * coalesce(avg(jr.avg) FILTER (WHERE top), 0), 1)
               ELSE stddev_pop(jr.avg) FILTER (WHERE top) END * (s.pool <> 'SUPERFLEX')::INT AS std,
-         round(coalesce(avg(jr.avg) FILTER (WHERE NOT top), 0), 9) AS replacement
+         coalesce(avg(jr.avg) FILTER (WHERE NOT top), 0) AS replacement
   FROM (VALUES {spine}) AS s(pool, slots, nominal) LEFT JOIN jr ON jr.pool = s.pool GROUP BY s.pool, s.slots, s.nominal),
 pteam AS (SELECT * FROM {team}),
 pv AS (
