@@ -32,9 +32,17 @@ def to_number(col: Column) -> Column:
     return F.when(text.rlike(DECIMAL_TEXT), finite(text.try_cast("double")))
 
 
-def erf_sql(x: str) -> str:
-    """Error function. The approximation jumps by 2e-9 at zero, so a mere rounding error counts as zero."""
-    t = f"(1D / (1D + {ERF_P}D * abs({x})))"
+def erf_scale_sql(x: str) -> str:
+    """The variable the error function's polynomial is written in."""
+    return f"(1D / (1D + {ERF_P}D * abs({x})))"
+
+
+def erf_sql(x: str, t: str | None = None) -> str:
+    """Error function. The approximation jumps by 2e-9 at zero, so a mere rounding error counts as zero.
+
+    ``t`` names a column that already holds ``erf_scale_sql`` of ``x``.
+    """
+    t = t or erf_scale_sql(x)
     poly = f"{ERF_A[-1]}D"
     for a in reversed(ERF_A[:-1]):
         poly = f"({poly} * {t} + {a}D)"
@@ -55,8 +63,11 @@ def win_share_sql(score: str, pool_avg: str, team_std: str) -> str:
     This is the normal CDF of team average - pool average + score around the team average, so the
     team average cancels. The team spread is at least 1.
     """
-    z = f"(({score} - {pool_avg}) / ({team_std} * sqrt(2D)))"
-    return f"(0.5D * (1D + {erf_sql(z)}))"
+    return f"(0.5D * (1D + {erf_sql(standing_sql(score, pool_avg, team_std))}))"
+
+
+def standing_sql(score: str, pool_avg: str, team_std: str) -> str:
+    return f"(({score} - {pool_avg}) / ({team_std} * sqrt(2D)))"
 
 
 def wins_above_sql(score: str, pool_avg: str, replacement: str, team_std: str) -> str:

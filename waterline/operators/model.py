@@ -12,7 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waterline.config import FLEX_POSITIONS, MAX_YEAR, POOLS, POSITIONS, LeagueConfig, Scenarios
-from waterline.functions.numeric import mean_or_zero_sql, spread_sql, win_share_sql, wins_above_sql
+from waterline.functions.numeric import (
+    erf_scale_sql,
+    erf_sql,
+    mean_or_zero_sql,
+    spread_sql,
+    standing_sql,
+    win_share_sql,
+    wins_above_sql,
+)
 from waterline.operators.pools import in_pool_sql
 from waterline.sources.storage import small
 
@@ -119,9 +127,16 @@ def yardstick_bound(scenarios: Scenarios, first_year: int) -> int:
 
 
 def value_scores(scored: DataFrame, sticks: DataFrame, on: Sequence[str], bound: int, score: str = "fpts") -> DataFrame:
-    """Add ``war``, ``flex_war`` and ``superflex_war`` of each row's score for one period."""
+    """Add ``war``, ``flex_war`` and ``superflex_war`` of each row's score for one period.
+
+    This runs once per fact row. The steps of the error function are columns of their own, so the
+    generated code computes each once and stays small enough for the JVM to compile.
+    """
+    joined = scored.join(small(sticks, bound), [*on, "pos"])
+    prefixes = {"own": "war", "flex": "flex_war", "superflex": "superflex_war"}
+    standing = [f"{standing_sql(score, f'{p}_avg', 'team_std')} AS _{p}_z" for p in prefixes]
+    scale = [f"{erf_scale_sql(f'_{p}_z')} AS _{p}_t" for p in prefixes]
     values = [
-        f"{win_share_sql(score, f'{prefix}_avg', 'team_std')} - {prefix}_base AS {name}"
-        for prefix, name in (("own", "war"), ("flex", "flex_war"), ("superflex", "superflex_war"))
+        f"0.5D * (1D + {erf_sql(f'_{p}_z', f'_{p}_t')}) - {p}_base AS {name}" for p, name in prefixes.items()
     ]
-    return scored.join(small(sticks, bound), [*on, "pos"]).selectExpr("*", *values)
+    return joined.selectExpr("*", *standing).selectExpr("*", *scale).selectExpr(*joined.columns, *values)

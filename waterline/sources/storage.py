@@ -17,23 +17,18 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; only a local session may fall back to a temporary one."""
     context = spark.sparkContext
     named = spark.conf.get(CHECKPOINT_SETTING, None) or context.getConf().get(CHECKPOINT_SETTING)
-    current = context.getCheckpointDir()
-    if named:
-        if current is None:
-            context.setCheckpointDir(named)
-        return named
-    if current is not None:
-        return current.rsplit("/", 1)[0]
+    if named or context.getCheckpointDir():
+        return named or context.getCheckpointDir()
     if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="waterline-")
-    context.setCheckpointDir(made)
-    return made
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="waterline-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path in this application's own part of the shared folder."""
+    own = f"{shared_dir(spark).rstrip('/')}/waterline-{spark.sparkContext.applicationId}"
+    return f"{own}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame) -> DataFrame:
