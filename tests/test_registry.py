@@ -42,7 +42,7 @@ def test_query(spark, duck, name):
     assert sorted(found.columns) == columns
     got = comparable(found.collect(), columns, found.columns)
     assert got == comparable(cursor.fetchall(), columns, names)
-    assert got or name in {"missing_periods_grid"}
+    assert got
 
 
 def test_kmeans_tiers_cover_the_pool(spark):

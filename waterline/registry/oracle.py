@@ -441,7 +441,7 @@ def _templates() -> dict[str, str]:
             SELECT CAST(year AS INTEGER) AS year, CAST(week AS INTEGER) AS week, pos
             FROM (SELECT unnest(range(1995, 2002)) AS year) CROSS JOIN (SELECT unnest(range(1, 18)) AS week)
             CROSS JOIN (VALUES ('QB'), ('RB'), ('WR'), ('TE')) AS p(pos)
-            ANTI JOIN (SELECT * FROM weekly WHERE week % 2 = 1) USING (year, week, pos)""",
+            ANTI JOIN weekly USING (year, week, pos)""",
         "union_by_position": f"""WITH {WEEKLY}
             SELECT player AS "Player", pos AS "Pos", year AS "Year", week AS "Week",
                    CASE WHEN pos IN ('QB', 'TE') THEN R6[ints] END AS "INTS",
@@ -491,7 +491,7 @@ def _templates() -> dict[str, str]:
         ),
         "weekly_roundtrip": history(upto="elig")
         + "SELECT year, week, pos, player, team, R6[fpts + CASE WHEN year = 1996 AND week > 6 THEN 1 ELSE 0 END] "
-        "AS fpts FROM elig WHERE year <= 1996",
+        "AS fpts FROM elig",
         "run_log_latest": """SELECT event_type AS key, arg_max(props, (ts, props)) AS value,
             strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS updated_at FROM events GROUP BY event_type""",
     }
