@@ -11,6 +11,7 @@ from waterline.llm.chat import example_digests, prefix_examples
 from waterline.llm.decontaminate import leaks
 from waterline.llm.minhash import near_duplicates
 from waterline.llm.oracle import ORACLE
+from waterline.llm.quality_classifier import fit_quality, score_quality
 from waterline.llm.quality_rules import COUNTS, quality_rules
 from waterline.llm.sharding import byte_shards
 
@@ -27,6 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_additive_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return score_quality(documents, fit_quality(documents, table(spark, sf_dir, "labels")))
+
+
 @query
 def op2_bm25_wand_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
