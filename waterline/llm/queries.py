@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from waterline.llm.chat import example_digests, prefix_examples
 from waterline.llm.decontaminate import leaks
 from waterline.llm.minhash import near_duplicates
+from waterline.llm.mixing import TARGETS, mixing_rates
 from waterline.llm.oracle import ORACLE
 from waterline.llm.quality_classifier import fit_quality, score_quality
 from waterline.llm.quality_rules import COUNTS, quality_rules
@@ -59,6 +60,12 @@ def op6_prefix_target_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return example_digests(prefix_examples(conversations.unionByName(planted)))
 
 
+@query
+def op7_soft_membership_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = mixing_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep_text=False)
+    return rated.select("doc_id", "n_tokens", *[f"p_{name}" for name in TARGETS], "rate", "copies")
+
+
 @query
 def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select(
