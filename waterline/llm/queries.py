@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waterline.llm.chat import example_digests, prefix_examples
+from waterline.llm.chunks import repeated_passages
 from waterline.llm.decontaminate import leaks
 from waterline.llm.minhash import near_duplicates
 from waterline.llm.mixing import TARGETS, mixing_rates
@@ -66,6 +67,11 @@ def op7_soft_membership_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.select("doc_id", "n_tokens", *[f"p_{name}" for name in TARGETS], "rate", "copies")
 
 
+@query
+def op8_content_defined_chunk_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select(
