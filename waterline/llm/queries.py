@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from waterline.llm.chat import example_digests, prefix_examples
 from waterline.llm.chunks import repeated_passages
 from waterline.llm.decontaminate import leaks
+from waterline.llm.licenses import license_scan
+from waterline.llm.masked_lm import score_documents
 from waterline.llm.minhash import near_duplicates
 from waterline.llm.mixing import TARGETS, mixing_rates
 from waterline.llm.oracle import ORACLE
@@ -41,6 +43,11 @@ def op2_bm25_wand_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op3_license_dice_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
@@ -72,6 +79,11 @@ def op8_content_defined_chunk_repeats(spark: SparkSession, sf_dir: str) -> DataF
     return repeated_passages(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_masked_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select(
