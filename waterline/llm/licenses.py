@@ -109,7 +109,7 @@ def license_scan(
 ) -> DataFrame:
     """(doc_id, license, dice, line, paragraph, n_units) of every document and licence that a line or paragraph of it matches.
 
-    dice is the best coefficient; line and paragraph are the places, from 0, of the first line and paragraph that match (null: none);
+    dice is the best coefficient; line and paragraph are the places, from 0, of the first line and paragraph that match (-1: none);
     n_units is how many do. Null and empty texts match nothing; rows that share an id, or have none, are taken
     together; other columns are ignored; an empty table, or no template of two words, gives an empty result.
     """
@@ -125,7 +125,7 @@ def license_scan(
     best = hits.groupBy("doc_id", "license", "kind", "place").agg(F.max("dice").alias("dice"))
     return best.groupBy("doc_id", "license").agg(
         F.max("dice").alias("dice"),
-        F.min(F.when(F.col("kind") == "line", F.col("place"))).alias("line"),
-        F.min(F.when(F.col("kind") == "paragraph", F.col("place"))).alias("paragraph"),
+        F.coalesce(F.min(F.when(F.col("kind") == "line", F.col("place"))), F.lit(-1)).alias("line"),
+        F.coalesce(F.min(F.when(F.col("kind") == "paragraph", F.col("place"))), F.lit(-1)).alias("paragraph"),
         F.count(F.lit(1)).alias("n_units"),
     )
