@@ -5,10 +5,13 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from waterline.registry import oracle
+from waterline.registry.queries import REGISTRY
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+ORACLE = oracle.build()
 ROWS_ONLY = {"tiers_kmeans"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the generated tables")
@@ -30,13 +33,13 @@ def comparable(rows, columns, names):
 
 
 def test_registry_is_complete():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY and not set(oracle_sql()) - set(queries())
+    assert set(REGISTRY) - set(ORACLE) == ROWS_ONLY and not set(ORACLE) - set(REGISTRY)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query(spark, duck, name):
-    found = queries()[name](spark, SF)
-    cursor = duck.execute(oracle_sql()[name])
+    found = REGISTRY[name](spark, SF)
+    cursor = duck.execute(ORACLE[name])
     names = [c[0] for c in cursor.description]
     columns = sorted(names)
     assert sorted(found.columns) == columns
@@ -46,7 +49,7 @@ def test_query(spark, duck, name):
 
 
 def test_kmeans_tiers_cover_the_pool(spark):
-    rows = queries()["tiers_kmeans"](spark, SF).collect()
+    rows = REGISTRY["tiers_kmeans"](spark, SF).collect()
     ordered = [r.tier for r in sorted(rows, key=lambda r: r.overall_rank)]
     assert ordered == sorted(ordered) and min(ordered) == 1
 
