@@ -158,3 +158,15 @@ def test_checkpoint_folder_comes_from_the_session(spark):
     cut = storage.materialise(spark.range(3))
     assert cut.inputFiles() and all(storage.shared_dir(spark) in f for f in cut.inputFiles())
     assert cut.count() == 3 and storage.materialise(spark.range(0)).count() == 0
+
+
+def test_stages_are_dropped_by_scope(spark):
+    from waterline.sources.storage import drop_stages, materialise, scratch_scope
+
+    kept = materialise(spark.range(3))
+    with scratch_scope("one"):
+        gone = materialise(spark.range(4))
+    drop_stages(spark, "one")
+    assert kept.count() == 3
+    with pytest.raises(Exception, match="(?i)not exist|FILE_NOT_EXIST|not found"):
+        gone.count()

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +16,9 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 BROADCAST_ROWS = 1_000_000
 
 
+_scope: ContextVar[str] = ContextVar("waterline_scope", default="common")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; only a local session may fall back to a temporary one."""
     context = spark.sparkContext
@@ -25,10 +31,34 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in this application's own part of the shared folder."""
+def scratch_area(spark: SparkSession, scope: str | None = None) -> str:
+    """This application's own part of the shared folder, or that of one scope in it."""
     own = f"{shared_dir(spark).rstrip('/')}/waterline-{spark.sparkContext.applicationId}"
-    return f"{own}/{label}-{uuid.uuid4().hex}"
+    return own if scope is None else f"{own}/{scope}"
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path in the current scope of this application."""
+    return f"{scratch_area(spark, _scope.get())}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(name: str) -> Iterator[None]:
+    """What is materialised inside goes to a scope of its own, which ``drop_stages`` can drop by name."""
+    token = _scope.set(name)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+
+
+def drop_stages(spark: SparkSession, scope: str | None = None) -> None:
+    """Delete this application's materialised stages, or those of one scope.
+
+    Frames that still read them fail from then on, so call it when their results are written.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_area(spark, scope))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame) -> DataFrame:
