@@ -1,0 +1,57 @@
+import numpy as np
+from helpers import awkward, frame, prose, row, with_clashes
+
+from waterline.llm.chunks import _GEAR, Chunking, chunk_rows, cut_rows, gear_hashes, repeated_passages
+
+
+def test_gear_hash_equals_the_rolling_one():
+    data = np.frombuffer(" ".join(prose(1, 80)).encode(), dtype=np.uint8)
+    h, want = 0, []
+    for b in data.tolist():
+        h = ((h << 1) + int(_GEAR[b])) & 0xFFFFFFFF
+        want.append(h)
+    assert gear_hashes(data)[31:].tolist() == want[31:]
+    assert len(gear_hashes(data[:3])) == 3
+
+
+def test_chunks_cover_the_text_and_resist_shifts():
+    how = Chunking()
+    text = "ä" * 400 + " ".join(prose(2, 600))
+    both = [text.encode(), ("x" * 41 + text).encode(), b"", "é".encode() * 300]
+    data, offsets = np.frombuffer(b"".join(both), dtype=np.uint8), np.cumsum([0, *map(len, both)])
+    ends, counts = cut_rows(data, offsets, how)
+    pieces, at = [], 0
+    for start, n in zip(offsets[:-1], counts, strict=True):
+        cuts = [int(start), *ends[at : at + n].tolist()]
+        pieces.append([bytes(data[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)])
+        at += n
+    assert [b"".join(p) for p in pieces] == both
+    assert all(c.decode() is not None and len(c) <= how.most for p in pieces for c in p)
+    assert len(set(pieces[0]) & set(pieces[1])) > 0.8 * len(set(pieces[0]))
+
+
+def test_passages_across_documents(spark):
+    passage, docs = prose(500, 60), []
+    for k in range(30):
+        w = prose(k, 100)
+        at = 3 * k
+        docs.append(row(k, " ".join([*w[:at], *passage, *w[at:]] if k < 10 else w)))
+    # A passage twice in one document alone, and a short line in many, are no such repeats.
+    docs.append(row(100, " ".join(prose(600, 60) * 2)))
+    docs += [row(200 + k, " ".join(prose(501, 12)) + "\n" + " ".join(prose(700 + k, 80))) for k in range(10)]
+    got = repeated_passages(frame(spark, docs)).collect()
+    assert {r.doc_id for r in got} == set(range(10)) and all(r.first_doc_id == 0 and r.is_first == (r.doc_id == 0) for r in got)
+    text = {d[0]: d[1].encode() for d in docs}
+    assert all(text[r.doc_id][r.start : r.stop] in " ".join(passage).encode() and r.n_words >= 22 for r in got)
+
+
+def test_awkward_rows(spark):
+    df = with_clashes(awkward(spark))
+    got = {r.doc_id for r in repeated_passages(df).collect()}
+    # Documents 5 and 6 differ in case; the repeated row of 6 is the same document.
+    assert got == set()
+    chunks = chunk_rows(df, Chunking(), "doc_id", "text").groupBy("doc_id").max("stop").collect()
+    assert {r.doc_id: r["max(stop)"] for r in chunks} == {
+        r.doc_id: len(r.text.encode()) for r in df.collect() if r.doc_id is not None and r.text
+    }
+    assert repeated_passages(frame(spark, [])).count() == 0

@@ -2,9 +2,9 @@
 
 1. A naive Bayes classifier learns domains from the labelled table: which of a learned lexicon's words a text has, and how dense
    its symbols, capitals and repetitions are. It gives every document a posterior over domains.
-2. Rates r >= floor of the documents minimise sum over domains of (tokens(r) - target)^2 / tokens(1), where tokens(r) of a domain is
+2. Rates r within bounds of the documents minimise sum over domains of (tokens(r) - target)^2 / tokens(1), where tokens(r) of a domain is
    the sum of rate * tokens * posterior. Projected gradient steps, scaled by 1 / tokens of the document, are
-   r <- max(floor, r - p . v) with v = (tokens(r) - target) / tokens(1). The scaled Hessian has a row-stochastic
+   r <- bounded(r - p . v) with v = (tokens(r) - target) / tokens(1). The scaled Hessian has a row-stochastic
    form, so its largest eigenvalue is 1 and the full step never overshoots.
 
 All of it is column expressions. As a step depends on the posterior alone, documents of equal posterior share a rate, and the
@@ -154,25 +154,32 @@ def with_posteriors(
     return scored.drop(*[c for c in scored.columns if c[:2] in ("_l", "_e", "_b") and c[2:].isdigit()], "_hits")
 
 
-def rate_sql(steps: list[list[float]], names: list[str], floor: float) -> str:
+def bounded_sql(rate: str, floor: float, ceiling: float | None, keep: tuple[str, float] | None) -> str:
+    """A rate projected on its bounds; documents that are likely of the kept domain have at least 1."""
+    low = f"{floor!r}D" if keep is None else f"CASE WHEN p_{keep[0]} > 0.5 THEN {max(1.0, floor)!r}D ELSE {floor!r}D END"
+    above = f"greatest({low}, {rate})"
+    return above if ceiling is None else f"least({ceiling!r}D, {above})"
+
+
+def rate_sql(steps: list[list[float]], names: list[str], bounds: tuple) -> str:
     """The rate after these steps: each is projected, so they are folded in order."""
     if not steps:
-        return "1D"
+        return bounded_sql("1D", *bounds)
     listed = ", ".join("array(" + ", ".join(f"{x!r}D" for x in step) + ")" for step in steps)
     dot = " + ".join(f"v[{k}] * p_{n}" for k, n in enumerate(names))
-    return f"aggregate(array({listed}), 1D, (r, v) -> greatest({floor!r}D, r - ({dot})))"
+    return f"aggregate(array({listed}), 1D, (r, v) -> {bounded_sql(f'r - ({dot})', *bounds)})"
 
 
 def fitted_steps(
-    scored: DataFrame, targets: Mapping[str, float], how: Mix, floor: float, keep: tuple[str, float] | None
+    scored: DataFrame, targets: Mapping[str, float], how: Mix, bounds: tuple
 ) -> list[list[float]]:
     """The projected gradient's steps, one number per domain each."""
-    names = list(targets)
+    names, keep = list(targets), bounds[2]
     profiles = scored.groupBy(*[f"p_{n}" for n in names]).agg(F.sum("n_tokens").alias("tokens"))
     profiles = materialise(profiles)
 
     def tokens(steps: list[list[float]]) -> list[float]:
-        rate = rate_sql(steps, names, floor)
+        rate = rate_sql(steps, names, bounds)
         sums = profiles.withColumn("_r", F.expr(rate)).agg(*[F.sum(F.expr(f"tokens * p_{n} * _r")) for n in names])
         return [float(x or 0) for x in sums.first()]
 
@@ -196,12 +203,13 @@ def fitted_steps(
 def mixing_rates(
     documents: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, how: Mix = Mix(),
     domains: Mapping[str, str] = DOMAINS, doc_id: str = "doc_id", text: str = "text", floor: float = 0.0,
-    keep: tuple[str, float] | None = None, keep_text: bool = True,
+    ceiling: float | None = None, keep: tuple[str, float] | None = None, keep_text: bool = True,
 ) -> DataFrame:
     """All rows and columns of ``documents`` with n_tokens, p_<domain>, rate (expected copies) and copies.
 
-    Expected tokens of the domains come as near to ``targets`` (weights) as rates >= ``floor`` can. Their total is that of the
-    corpus, or such that domain ``keep[0]`` gets ``keep[1]`` times its own tokens. copies is rate rounded up or down
+    Expected tokens of the domains come as near to ``targets`` (weights) as rates from ``floor`` to ``ceiling`` can. Their total is
+    that of the corpus, or such that domain ``keep[0]`` gets ``keep[1]`` times its own tokens; then no document whose posterior
+    of that domain is over a half gets a rate below 1. copies is rate rounded up or down
     by a hash of the id, so that its expectation is the rate. Null and empty texts have no tokens and a rate all the same; null ids
     share a hash. Null labels are left out; without any label all posteriors are equal. Repeated rows
     get equal rates. Columns of ``documents`` that have the name of a result are replaced; an empty table gives an empty result.
@@ -210,8 +218,9 @@ def mixing_rates(
     results = {"n_tokens", "rate", "copies", *[f"p_{n}" for n in names]}
     domains = {n: domains[n] for n in domains if n in targets}
     scored = with_posteriors(documents.drop(*results), labels, how, domains, doc_id, text, keep_text)
-    steps = fitted_steps(scored, {n: targets[n] for n in domains}, how, floor, keep)
-    rated = scored.withColumn("rate", F.expr(f"round({rate_sql(steps, list(domains), floor)}, 6)"))
+    bounds = (floor, ceiling, keep)
+    steps = fitted_steps(scored, {n: targets[n] for n in domains}, how, bounds)
+    rated = scored.withColumn("rate", F.expr(f"round({rate_sql(steps, list(domains), bounds)}, 6)"))
     chance = F.pmod(F.xxhash64(F.col(doc_id)), F.lit(1_000_000)) / 1_000_000
     return rated.withColumn("copies", F.floor(F.col("rate") + chance).cast("int"))
 
