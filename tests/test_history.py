@@ -176,3 +176,24 @@ def test_stored_model_is_the_same(spark):
     stored = history_model(df, LEAGUES["plain"], scored=True, store=("facts", "env"))
     assert lazy.team.first() == pytest.approx(stored.team.first())
     assert sorted(r.war for r in lazy.seasons.collect()) == pytest.approx(sorted(r.war for r in stored.seasons.collect()))
+
+
+def test_keys_are_whole_and_years_unbounded(spark):
+    rows = [("2020", "1"), ("12020", "1"), ("2020", "1.5"), ("99999999999", "1"), ("2020.0", "2.0"), ("x", "3")]
+    df = spark.createDataFrame([("P", "QB", y, w, 9.0) for y, w in rows], "Player string, Pos string, Year string, Week string, REC double")
+    got = {(r.year, r.games) for r in history_model(df, LeagueConfig(teams=1)).seasons.collect()}
+    assert got == {(2020, 2), (12020, 1)}
+
+
+def test_many_leagues_keep_the_facts_in_place(spark):
+    from waterline.config import Scenarios
+    from waterline.plans.history import scenario_seasons
+
+    df = spark.createDataFrame([("P", "QB", 2020, 1, 9.0)], "Player string, Pos string, Year int, Week int, REC double")
+    sweep = Scenarios({f"l{k}": LeagueConfig(teams=1 + k) for k in range(40)})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        plan = scenario_seasons(df, sweep)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan

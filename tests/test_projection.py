@@ -181,3 +181,12 @@ def test_baselines_of_an_empty_pool(spark):
     empty = projection_pool(spark.createDataFrame([], SCHEMA), LEAGUES[0], "ord")
     row = baselines(empty, LEAGUES[0]).first()
     assert (row.QB.avg, row.QB.std, row.QB.replacement, row.QB.n_nominal) == (0.0, 1.0, 0.0, 2)
+
+
+def test_curve_rows_without_a_rank_match_nobody(spark):
+    from waterline.operators.projection import attach_curve
+
+    ranked = spark.createDataFrame([("QB", 1, 5.0), ("QB", 2, 4.0)], "pos string, pos_rank int, war double")
+    curve = [("QB", None, 9.0), ("QB", 0.2, 8.0), ("QB", -3.0, 7.0), ("QB", 1.6, 3.0), ("QB", 2.4, 2.0), ("QB", 1e12, 1.0)]
+    got = attach_curve(ranked, spark.createDataFrame(curve, "pos string, rank double, war double")).orderBy("pos_rank").collect()
+    assert [r.historical_war for r in got] == [None, 3.0]

@@ -101,3 +101,15 @@ def test_balanced_tiers_are_not_ntile(spark):
 def test_k_range():
     assert list(tiers.k_range(3)) == [] and list(tiers.k_range(4)) == [4]
     assert tiers.k_range(100) == range(30, 31) and tiers.k_range(10_000) == range(30, 49)
+
+
+def test_best_rows_beyond_the_group_limit(spark):
+    from waterline.operators.ranking import best_rows
+
+    df = spark.range(6000).selectExpr("id", "id % 2 AS g", "id * 7919 % 6000 AS v")
+    got = best_rows(df, [F.col("v").desc(), F.col("id").asc()], 2500, ["g"], "at")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window [row_number" not in plan and got.count() == 5000
+    top = got.filter("g = 1 AND at <= 3").orderBy("at").collect()
+    want = sorted((r for r in df.filter("g = 1").collect()), key=lambda r: -r.v)[:3]
+    assert [r.id for r in top] == [r.id for r in want]

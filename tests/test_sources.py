@@ -37,12 +37,32 @@ def test_stat_table_cells(spark):
 
 
 def test_header_rows(spark):
-    names = ["A", " ", "A", "B", "", "A"]
-    df = spark.createDataFrame([(1, i, n) for i, n in enumerate(names)], "page int, at int, name string")
-    got = [r.name for r in pages.unique_header_rows(df).orderBy("at").collect()]
+    df = spark.createDataFrame([(["A", "", "A", "B", "", "A"],)], "names array<string>")
+    got = df.select(pages.unique_headers(F.col("names")).alias("n")).first().n
     assert got == ["A", "Column", "A_1", "B", "Column_1", "A_2"]
 
 
+def test_real_markup(spark):
+    html = (
+        '<table data-id="data"><tbody><tr><td>no</td></tr></tbody></table>'
+        "<table class='a>b' id=data><thead><tr><th>A</th><th>A_1</th><th>A</th></tr></thead><tbody>"
+        '<tr title="x>y"><td data-x="y">">Ja&#x27;Marr &eacute;&#233;</td><td>&amp;lt; &lt;b&gt; &unknown; &#xD800;</td><td>a&nbsp;&#160;b</td></tr>'
+        "</tbody></table>"
+    ).replace('data-x="y">"', "data-x='y\">'")
+    bad = "<table id='data'><thead><tr><th>A</th></tr></thead><tbody><tr><td title=\"open>x</td></tr></tbody></table>"
+    df = spark.createDataFrame([(1, html), (2, bad), (3, None)], "page int, html string")
+    cells = [c.value for c in pages.table_cells(df, ["page"], "html").filter("page = 1").orderBy("col").collect()]
+    assert cells == ["Ja'Marr éé", "&lt; <b> &unknown; \ufffd", "a  b"]
+    wide = pages.table_columns(df, ["page"], "html", ["A", "A_1"]).filter("page = 1").collect()
+    assert [(w.A, w.A_1) for w in wide] == [(cells[0], cells[1])]
+
+
+def test_missing_periods_read_number_texts(spark):
+    loaded = spark.createDataFrame([("2020.0", "1", "qb"), ("x", None, "QB"), ("99999999999", "2", "QB")], "year string, week string, pos string")
+    got = backfill.missing_periods(backfill.expected_periods(spark, 2020, 2020, 2, ["QB"]), loaded).collect()
+    assert [(r.year, r.week) for r in got] == [(2020, 2)]
+
+
 @pytest.mark.parametrize(
     "pos, headers, renamed",
     [
@@ -135,7 +155,7 @@ def test_export(spark, tmp_path):
 def test_weekly_partitions_are_replaced_alone(spark, tmp_path):
     path = str(tmp_path / "w")
     schema = "year int, week int, pos string, player string, fpts double"
-    sinks.write_weekly(spark.createDataFrame([(2020, 1, "QB", f"a{i}", 1.0) for i in range(50)] + [(2020, 2, "QB", "b", 2.0)], schema), path, 4)
+    sinks.write_weekly(spark.createDataFrame([(2020, 1, "QB", f"a{i}", 1.0) for i in range(50)] + [(2020, 2, "QB", "b", 2.0)], schema), path)
     sinks.write_weekly(spark.createDataFrame([(2020, 2, "QB", "c", 3.0), (2020, 3, "QB", "d", 4.0)], schema), path)
     got = tables.read_weekly_table(spark, path)
     assert {r.player for r in got.filter("week > 1").collect()} == {"c", "d"} and got.filter("week = 1").count() == 50

@@ -20,7 +20,6 @@ POOLS = ("QB", "RB", "WR", "TE", "FLEX", "SUPERFLEX")
 MAX_CURVE_RANK = 250
 TABLE_ROWS = 400
 FIRST_WEEK, LAST_WEEK = 1, 18
-MAX_YEAR = 9999
 
 SCENARIO = "scenario"
 
@@ -36,6 +35,7 @@ def _literal(value) -> str:
     return f"{value!r}D" if isinstance(value, float) else repr(value)
 
 
+# The default weights and roster.
 @dataclass(frozen=True)
 class ScoringWeights:
     rec: float = 1.0

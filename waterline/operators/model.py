@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waterline.config import FLEX_POSITIONS, MAX_YEAR, POOLS, POSITIONS, LeagueConfig, Scenarios
+from waterline.config import FLEX_POSITIONS, POOLS, POSITIONS, LeagueConfig, Scenarios
 from waterline.functions.numeric import (
     erf_scale_sql,
     erf_sql,
@@ -121,11 +121,6 @@ def yardsticks(env: DataFrame, keys: Sequence[str] = ("year",), strict_superflex
     )
 
 
-def yardstick_bound(scenarios: Scenarios, first_year: int) -> int:
-    """Most yardstick rows there can be: one per scenario, calendar year and position."""
-    return len(scenarios) * (MAX_YEAR - first_year + 1) * len(POSITIONS)
-
-
 def value_scores(scored: DataFrame, sticks: DataFrame, on: Sequence[str], bound: int, score: str = "fpts") -> DataFrame:
     """Add ``war``, ``flex_war`` and ``superflex_war`` of each row's score for one period.
 

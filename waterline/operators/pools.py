@@ -12,9 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waterline.config import FLEX_POSITIONS, LAST_WEEK, MAX_YEAR, POOLS, POSITIONS, LeagueConfig, Scenarios
+from waterline.config import FLEX_POSITIONS, POOLS, POSITIONS, LeagueConfig, Scenarios
 from waterline.operators.ranking import best_rows
-from waterline.sources.storage import small
+from waterline.sources.storage import materialise, small
 
 # Rank column of each shared pool; the position pools share ``pos_rank``.
 POOL_COLUMNS = {"position": "pos_rank", "FLEX": "flex_rank", "SUPERFLEX": "superflex_rank"}
@@ -57,18 +57,19 @@ def _heads(scored: DataFrame, periods: Sequence[str], order: list[Column], scena
         .withColumn("_rows", F.count(F.lit(1)).over(whole))
         .withColumn("_whole", (F.col("_entities") >= entities) | (F.col("_rows") < limit))
     )
+    # Heads are short; written once, they tell how many groups are crowded, usually none.
+    head = materialise(head.select(*scored.columns, "_whole"))
     covered = head.filter("_whole").select(*scored.columns)
     crowded = head.filter(~F.col("_whole")).select(*group).distinct()
-    return covered.unionByName(_crowded_heads(scored, crowded, group, order, scenarios))
+    n_crowded = crowded.count()
+    if not n_crowded:
+        return covered
+    return covered.unionByName(_crowded_heads(scored, small(crowded, n_crowded), group, order, scenarios))
 
 
 def _crowded_heads(scored: DataFrame, crowded: DataFrame, group: list[str], order: list[Column], scenarios: Scenarios):
-    """Heads of groups crowded by one entity's rows: limit rows per entity, then entities.
-
-    The join key side is empty for most data, in which case adaptive execution drops this branch
-    together with its scan.
-    """
-    rows = scored.join(small(crowded, MAX_YEAR * LAST_WEEK * len(POSITIONS)), group, "left_semi")
+    """Heads of groups crowded by one entity's rows: limit rows per entity, then entities."""
+    rows = scored.join(crowded, group, "left_semi")
     # An entity is placed by its best row.
     mine = best_rows(rows, order, scenarios.highest(_row_reach), [*group, "id"], "_own")
     best = mine.filter(F.col("_own") == 1)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waterline.config import MAX_CURVE_RANK, POSITIONS, LeagueConfig
-from waterline.functions.numeric import per_game, rank_key, whole_rank
+from waterline.functions.numeric import per_game, rank_key
 from waterline.functions.scoring import fantasy_points
 from waterline.functions.text import clean_position, entity_key, position_label, row_id
 from waterline.operators.model import environment, value_scores, yardsticks
@@ -45,7 +45,7 @@ def projection_pool(
         player.alias("player"),
         row.text("team", "").alias("team"),
         pos.alias("pos"),
-        row.number("year", float(config.projection_year)).cast("int").alias("year"),
+        F.floor(row.number("year", float(config.projection_year))).try_cast("int").alias("year"),
         total.alias("fpts"),
         average.alias("avg"),
         bound("high").alias("avg_high"),
@@ -117,9 +117,10 @@ def attach_curve(
     if curve is None:
         past = ranked.withColumn("historical_war", F.lit(None).cast("double"))
     else:
-        rounded = whole_rank("double(rank)")
+        rounded = F.floor(F.col("rank").cast("double") + 0.5).try_cast("int")
         # An imported curve may hold fractional ranks that round onto a whole one: the exact rank wins.
         choice = F.struct((F.col("rank") == rounded).cast("int"), -F.col("rank"))
-        lookup = curve.groupBy("pos", rounded.alias("pos_rank")).agg(F.max_by("war", choice).alias("historical_war"))
+        # A rank that is missing or rounds to less than 1 is nobody's.
+        lookup = curve.filter(rounded >= 1).groupBy("pos", rounded.alias("pos_rank")).agg(F.max_by("war", choice).alias("historical_war"))
         past = ranked.join(small(lookup, curve_rows), ["pos", "pos_rank"], "left")
     return past.withColumn("delta_vs_historical", F.col("war") - F.col("historical_war"))

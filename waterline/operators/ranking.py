@@ -19,6 +19,8 @@ from waterline.sources.storage import materialise, small
 _PARTITION_BIT = 33
 # Shuffle partitions per salted part of a group in ``best_rows``.
 _TASKS_PER_PART = 64
+# The engine limits the rows of a group before the exchange only up to this many.
+_LIMIT_SETTING, _LIMIT_DEFAULT = "spark.sql.optimizer.windowGroupLimitThreshold", 1000
 
 
 def shuffle_width(df: DataFrame) -> int:
@@ -31,7 +33,7 @@ def number_rows(
     """Add ``out`` = 1, 2, ... in ``order`` inside each (non-null) ``within`` group.
 
     ``order`` must end in a key that makes it total. ``groups`` is the caller's bound on the number
-    of groups; with it the offsets are broadcast, without it Spark picks the join by size. The
+    of groups; without it the offsets are written and counted before they may be broadcast. The
     laid-out rows are materialised in the shared folder, because the two reads of them below must
     see the same partitions even when a task is run again.
     """
@@ -49,7 +51,9 @@ def number_rows(
     shift = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1
     offsets = pieces.select(*within, "_piece", shift.alias("_shift"))
     # Each partition boundary splits at most one group, so there are at most width + groups pieces.
-    side = offsets if groups is None else small(offsets, width + groups)
+    if groups is None:
+        offsets = materialise(offsets)
+    side = small(offsets, offsets.count() if groups is None else width + groups)
     return (
         laid.join(side, [*within, "_piece"])
         .withColumn(out, (F.col("_slot") + F.col("_shift")).cast("int"))
@@ -67,11 +71,16 @@ def best_rows(
 ) -> DataFrame:
     """Only the first ``limit`` rows of each group, numbered by ``out``.
 
+    A limit above the engine's threshold for this has no such short cut; the rows are then numbered by
+    ``number_rows``, which spreads a group over tasks, and cut afterwards.
+
     Spark limits each group inside the map tasks, before the exchange, so at most ``limit`` rows
     per group and task are shuffled however large a group is. With very many map tasks even that is
     a lot for one reducer, so the limit is first applied to ``fan_in`` salted parts of each group
     (chosen from the shuffle width unless given; 1 leaves the step out).
     """
+    if limit > int(df.sparkSession.conf.get(_LIMIT_SETTING, str(_LIMIT_DEFAULT))):
+        return number_rows(df, order, out, within=within).filter(F.col(out) <= limit)
     fan_in = max(1, shuffle_width(df) // _TASKS_PER_PART) if fan_in is None else fan_in
     group = list(within) or [F.lit(0)]
 

@@ -7,17 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waterline.config import MAX_CURVE_RANK, MAX_YEAR, POSITIONS, LeagueConfig, Scenarios, ScoringWeights
+from waterline.config import MAX_CURVE_RANK, POSITIONS, LeagueConfig, Scenarios, ScoringWeights
 from waterline.functions.numeric import rank_key
 from waterline.functions.scoring import fantasy_points
 from waterline.functions.text import entity_key, row_id
-from waterline.operators.model import value_scores, yardstick_bound, yardsticks
+from waterline.operators.model import value_scores, yardsticks
 from waterline.operators.pools import within_scenario
 from waterline.operators.ranking import best_rows, number_rows
 from waterline.schema import Fields
+from waterline.sources.storage import materialise
 
 SEASON = ("year", "player", "team", "pos")
-TIES = ("player", "team")
+TIES = ("player", "team", "player_key")
 
 
 def score_weekly(
@@ -46,12 +47,15 @@ def score_weekly(
 
 
 def eligible(scored: DataFrame, league: LeagueConfig | Scenarios) -> DataFrame:
-    """Rows that count: named entity, one of the four positions, season and week in range, a score."""
+    """Rows that count: named entity, one of the four positions, season and week in range, a score.
+
+    A season has no upper bound. Rows without a whole week or year have none and do not count.
+    """
     scenarios = Scenarios.of(league)
     return scored.filter(
         (F.col("player") != "")
         & F.col("pos").isin(*POSITIONS)
-        & F.col("year").between(scenarios.lowest(lambda c: c.start_year), MAX_YEAR)
+        & (F.col("year") >= scenarios.lowest(lambda c: c.start_year))
         & F.col("week").between(1, scenarios.highest(lambda c: c.weeks))
         & F.col("fpts").isNotNull()
     )
@@ -79,9 +83,9 @@ def season_values(
     scenarios = Scenarios.of(league)
     facts = last_rows(scored, order) if order else scored
     facts = facts.select("player_key", *SEASON, "week", "fpts")
-    sticks = yardsticks(env, [*scenarios.keys, "year"])
-    bound = yardstick_bound(scenarios, scenarios.lowest(lambda c: c.start_year))
-    valued = value_scores(facts, sticks, ["year"], bound)
+    # One row per league, season and position. They are written first, so that they can be counted before a broadcast.
+    sticks = materialise(yardsticks(env, [*scenarios.keys, "year"]))
+    valued = value_scores(facts, sticks, ["year"], sticks.count())
     if not scenarios.single:
         valued = within_scenario(valued, scenarios)
     aggregates = [
@@ -118,7 +122,7 @@ def _season_order(ties: Sequence[str]):
 
 def rank_seasons(seasons: DataFrame, keys: Sequence[str] = ("year", "pos"), ties: Sequence[str] = TIES) -> DataFrame:
     """All seasons with ``rank`` by WAR inside (year, position)."""
-    return number_rows(seasons, _season_order(ties), "rank", within=keys, groups=MAX_YEAR * len(POSITIONS))
+    return number_rows(seasons, _season_order(ties), "rank", within=keys)
 
 
 def top_seasons(

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
 
@@ -17,14 +17,18 @@ from waterline.sources.storage import materialise
 
 @dataclass(frozen=True)
 class HistoryModel:
-    """Lazy frames of one league's history; nothing runs until one of them is used."""
+    """Frames of one league's history. Asking for ``seasons`` writes the small season model first."""
 
     scored: DataFrame
     ranked_heads: DataFrame
     env: DataFrame
-    seasons: DataFrame
+    make_seasons: Callable[[], DataFrame]
     ties: tuple[str, ...] = TIES
 
+    @cached_property
+    def seasons(self) -> DataFrame:
+        return self.make_seasons()
+
     @property
     def pools(self) -> DataFrame:
         return pool_model(self.env)
@@ -74,8 +78,7 @@ def history_model(
     env = environment(heads, league)
     if "env" in store:
         env = materialise(env)
-    seasons = season_values(facts, env, league, order, weeks)
-    return HistoryModel(facts, heads, env, seasons, tuple(ties))
+    return HistoryModel(facts, heads, env, lambda: season_values(facts, env, league, order, weeks), tuple(ties))
 
 
 def scenario_seasons(

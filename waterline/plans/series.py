@@ -111,7 +111,7 @@ def token_seasons(seasons: DataFrame, tokens: DataFrame) -> DataFrame:
     """
     t = tokens.select("token", F.col("key").alias("_key"), F.col("start").alias("_start"))
     since = F.col("_start").isNull() | (F.col("_start") == 0) | (F.col("year") >= F.col("_start"))
-    matched = seasons.join(F.broadcast(t), (F.col("player_key") == F.col("_key")) & since)
+    matched = seasons.join(small(t, tokens.count()), (F.col("player_key") == F.col("_key")) & since)
     return matched.drop("_key", "_start").withColumnRenamed("token", "series")
 
 
@@ -124,7 +124,7 @@ def default_seasons(seasons: DataFrame, entities: int = DEFAULT_TREND_ENTITIES)
         .limit(entities)
         .select("player_key", "pos")
     )
-    return seasons.join(F.broadcast(best), ["player_key", "pos"], "left_semi")
+    return seasons.join(small(best, entities), ["player_key", "pos"], "left_semi")
 
 
 def entity_trend(

@@ -176,12 +176,20 @@ kept AS (SELECT * FROM elig QUALIFY row_number() OVER (PARTITION BY year, player
     return "WITH " + ",".join(steps) + f"SELECT {SEASON_SELECT} FROM seasons"
 
 
+# Spelt out, so that the labels are checked and not only repeated.
+SWEEP_LABELS = {
+    "base": "12 teams / 1QB / 2RB / 2WR / 1TE / 1 Flex - Half PPR - 12 weeks",
+    "small": "8 teams / 1QB / 2RB / 2WR / 1TE / 1 Flex / 1 SuperFlex - Half PPR - 10 weeks",
+    "premium": "12 teams / 1QB / 2RB / 3WR / 1TE / 1 Flex - PPR / TE+0.5 - 12 weeks",
+}
+
+
 def _sweep() -> str:
     steps, parts = [WEEKLY], []
     for name, cfg in q.SWEEP.items():
         p = f"{name}_"
         steps += [_elig(cfg, "weekly", p), _ranked(cfg, p=p), _model(cfg, p), _seasons(cfg, p=p)]
-        parts.append(f"SELECT '{name}' AS scenario, '{cfg.label()}' AS label, {SEASON_SELECT} FROM {p}seasons")
+        parts.append(f"SELECT '{name}' AS scenario, '{SWEEP_LABELS[name]}' AS label, {SEASON_SELECT} FROM {p}seasons")
     return "WITH " + ",".join(steps) + " UNION ALL ".join(parts)
 
 
@@ -445,10 +453,10 @@ def _templates() -> dict[str, str]:
         "union_by_position": f"""WITH {WEEKLY}
             SELECT player AS "Player", pos AS "Pos", year AS "Year", week AS "Week",
                    CASE WHEN pos IN ('QB', 'TE') THEN R6[ints] END AS "INTS",
-                   CASE WHEN pos IN ('WR', 'TE') THEN R6[rec] END AS "REC",
+                   CASE WHEN pos IN ('WR', 'TE', 'RB') THEN R6[rec] END AS "REC",
                    CASE WHEN pos IN ('WR', 'TE') THEN R6[yds] END AS "ReceivingYDS",
                    CASE WHEN pos = 'TE' THEN R6[fl] END AS "FL", 'ppr' AS scoring
-            FROM weekly WHERE pos IN ('QB', 'WR', 'TE') AND player NOT IN ('7', '11')""",
+            FROM weekly WHERE pos IN ('QB', 'RB', 'WR', 'TE') AND player NOT IN ('7', '11')""",
         "split_entity_text": f"""WITH {_source_text()}
             SELECT p_partkey, player, team,
                    CASE WHEN layout = 1 AND length(code) = 2 THEN p_name || ' I' ELSE player END AS bare_player,
@@ -469,18 +477,21 @@ def _templates() -> dict[str, str]:
                    CASE WHEN pos = 'QB' THEN round(sum(main), 4) + 0.0 END AS passingyds,
                    CASE WHEN pos = 'QB' THEN round(sum(high), 4) + 0.0 END AS rushingyds_high,
                    CASE WHEN pos = 'QB' THEN round(sum(low), 4) + 0.0 END AS passingtd_low,
-                   CASE WHEN pos = 'QB' THEN round(sum(main), 4) + 0.0 END AS fl,
-                   CASE WHEN pos = 'RB' THEN round(sum(main), 4) + 0.0 END AS rec,
+                   CASE WHEN pos IN ('QB', 'TE') THEN round(sum(main), 4) + 0.0 END AS fl,
+                   CASE WHEN pos IN ('RB', 'WR') THEN round(sum(main), 4) + 0.0 END AS rec,
                    CASE WHEN pos = 'RB' THEN round(sum(main), 4) + 0.0 END AS rushingtd,
-                   CASE WHEN pos = 'RB' THEN round(sum(high), 4) + 0.0 END AS receivingtd_high
-            FROM named WHERE pos IN ('QB', 'RB') AND player NOT IN ('red widget', 'hot ring') GROUP BY player, team, pos""",
+                   CASE WHEN pos <> 'QB' THEN round(sum(high), 4) + 0.0 END AS receivingtd_high,
+                   CASE WHEN pos IN ('WR', 'TE') THEN round(sum(main), 4) + 0.0 END AS receivingyds
+            FROM named WHERE pos IN ('QB', 'RB', 'WR', 'TE') AND player NOT IN ('red widget', 'hot ring') GROUP BY player, team, pos""",
         "ingest_market": f"""WITH {_source_text()}
             SELECT CAST(2026 AS INTEGER) AS "Year", player AS "Player", team AS "Team", CAST(p_partkey AS DOUBLE) AS adp_rank,
-                   pos AS "POS", CASE WHEN layout = 4 THEN main END AS "ADP" FROM named WHERE pos <> 'QB'""",
+                   pos AS "POS", CASE WHEN layout = 4 THEN main END AS "ADP" FROM named""",
         "ingest_weekly": f"""WITH {_source_text()}
-            SELECT CAST(2024 AS INTEGER) AS "Year", CAST(3 AS INTEGER) AS "Week", 'WR' AS "Pos", player AS "Player",
-                   team AS "Team", CAST(q AS DOUBLE) AS "REC", CASE WHEN layout = 4 THEN main END AS "ReceivingYDS",
-                   CAST(p_partkey AS DOUBLE) AS "RushingYDS", CAST(p_partkey AS DOUBLE) AS "row" FROM named WHERE pos = 'WR'""",
+            SELECT CAST(2024 AS INTEGER) AS "Year", CAST(3 AS INTEGER) AS "Week", pos AS "Pos", player AS "Player",
+                   team AS "Team", CAST(q AS DOUBLE) AS "REC", CASE WHEN pos = 'QB' AND layout = 4 THEN main END AS "PassingYDS",
+                   CASE WHEN pos = 'RB' THEN CAST(p_partkey AS DOUBLE) WHEN pos <> 'QB' AND layout = 4 THEN main END AS "ReceivingYDS",
+                   CASE WHEN pos <> 'RB' THEN CAST(p_partkey AS DOUBLE) WHEN layout = 4 THEN main END AS "RushingYDS",
+                   CAST(p_partkey AS DOUBLE) AS "row" FROM named WHERE pos IN ('QB', 'RB', 'WR', 'TE')""",
         "source_fallbacks": f"""WITH {POOL} SELECT '"' || player || '", Jr.' AS player, 'fallback' AS source, team, pos, {_r('avg')} FROM pool""",
         "manifest_document": """SELECT strftime(max(l_shipdate) - INTERVAL 2 HOUR, '%Y-%m-%d %H:%M:%S') AS updated_at,
             CAST(NULL AS INTEGER) AS season_year, CAST(min(year(l_shipdate)) AS INTEGER) AS historical_start_year,

@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waterline.config import MAX_CURVE_RANK, POSITIONS, LeagueConfig, Roster, Scenarios, ScoringWeights
+from waterline.config import POSITIONS, LeagueConfig, Roster, Scenarios, ScoringWeights
 from waterline.functions.text import entity_tokens, split_high_low, split_player_team
 from waterline.operators import tiers as tiering
 from waterline.operators.market import normalise_market
-from waterline.operators.model import environment, pool_model, team_model
+from waterline.operators.model import pool_model, team_model
 from waterline.operators.pools import pool_ranks, roles
-from waterline.operators.projection import baselines, projected_war, projection_pool
+from waterline.operators.projection import baselines, projection_pool
 from waterline.operators.season import full_curve, wide_curve
 from waterline.plans import series
 from waterline.plans.history import HistoryModel, history_model, scenario_seasons
@@ -336,7 +336,8 @@ def union_by_position(spark, sf):
     stats = fx.weekly(spark, sf)
     catchers = stats.filter("Pos = 'WR'").select("Player", "Pos", "Year", "Week", "REC", "ReceivingYDS")
     passers = stats.filter("Pos = 'QB'").select("Player", "Pos", "Year", "Week", "INTS")
-    stacked = append_rows(ingest.union_positions([passers, catchers]), stats.filter("Pos = 'TE'").drop("Team"))
+    runners = stats.filter("Pos = 'RB'").select("Player", "Pos", "Year", "Week", "REC")
+    stacked = append_rows(ingest.union_positions([passers, catchers, runners]), stats.filter("Pos = 'TE'").drop("Team"))
     kept = stacked.filter(~F.col("Player").isin("7", "11")).withColumn("scoring", F.lit("ppr"))
     return rounded(kept, "Player", "Pos", "Year", "Week", "INTS", "REC", "ReceivingYDS", "FL", "scoring")
 
@@ -380,13 +381,20 @@ def ingest_projections(spark, sf):
         F.col("text").alias("Player"), *[F.col("cell").alias(s) for s in stats]
     )
     found = ingest.current_projections(
-        {"QB": page("QB", "YDS", "TDS", "YDS_1", "FL"), "RB": page("RB", "REC", "TD", "TD_1")}, 2026, ("red widget", "hot ring")
+        {
+            "QB": page("QB", "YDS", "TDS", "YDS_1", "FL"),
+            "RB": page("RB", "REC", "TD", "TD_1"),
+            "WR": page("WR", "REC", "YDS", "TDS"),
+            "TE": page("TE", "YDS", "TD", "FL"),
+        },
+        2026,
+        ("red widget", "hot ring"),
     )
     return found.groupBy("Year", "Player", "Team", "Pos").agg(
         F.count(F.lit(1)).cast("int").alias("n"),
         *[
             (F.round(F.sum(F.col(c)), 4) + F.lit(0.0)).alias(c.lower().replace(" ", "_"))
-            for c in ("PassingYDS", "RushingYDS High", "PassingTD Low", "FL", "REC", "RushingTD", "ReceivingTD High")
+            for c in ("PassingYDS", "RushingYDS High", "PassingTD Low", "FL", "REC", "RushingTD", "ReceivingTD High", "ReceivingYDS")
         ],
     )
 
@@ -396,17 +404,19 @@ def ingest_market(spark, sf):
     cells = fx.source_text(spark, sf).select(
         F.col("p_partkey").alias("Rank"), F.col("text").alias("Player Team (Bye)"), F.col("pos").alias("POS"), F.col("cell").alias("AVG")
     )
-    found = ingest.market_table(cells.filter(F.col("POS") != "QB"), 2026)
+    found = ingest.market_table(cells, 2026)
     return rounded(found.withColumnsRenamed({"ADP Rank": "adp_rank"}), "Year", "Player", "Team", "adp_rank", "POS", "ADP")
 
 
 @query
 def ingest_weekly(spark, sf):
-    cells = fx.source_text(spark, sf).filter(F.col("pos") == "WR")
-    stats = cells.select(F.col("text").alias("Player"), F.col("q").cast("string").alias("REC"), F.col("cell").alias("YDS"),
+    cells = fx.source_text(spark, sf)
+    stats = cells.select("pos", F.col("text").alias("Player"), F.col("q").cast("string").alias("REC"), F.col("cell").alias("YDS"),
                          F.col("p_partkey").cast("string").alias("YDS_1"), F.col("p_partkey").alias("row"))
-    found = ingest.weekly_table(stats, "wr", 2024, 3)
-    return rounded(found, "Year", "Week", "Pos", "Player", "Team", "REC", "ReceivingYDS", "RushingYDS", "row")
+    found = ingest.union_positions(
+        [ingest.weekly_table(stats.filter(F.col("pos") == p).drop("pos"), p.lower(), 2024, 3) for p in POSITIONS]
+    )
+    return rounded(found, "Year", "Week", "Pos", "Player", "Team", "REC", "PassingYDS", "ReceivingYDS", "RushingYDS", "row")
 
 
 @query
@@ -460,7 +470,7 @@ def weekly_roundtrip(spark, sf):
     """Two loads of the weekly table, the second replacing only its own periods, then a resumed read."""
     path = scratch_path(spark, "weekly")
     facts = model(spark, sf).scored.select("year", "week", "pos", "player", "team", "fpts")
-    sinks.write_weekly(facts, path, files_per_period=2)
+    sinks.write_weekly(facts, path)
     again = facts.filter((F.col("year") == 1996) & (F.col("week") > 6)).withColumn("fpts", F.col("fpts") + 1)
     sinks.write_weekly(again, path)
     return rounded(tables.read_weekly_table(spark, path), "year", "week", "pos", "player", "team", "fpts")

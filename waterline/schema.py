@@ -115,11 +115,15 @@ class Fields:
         return fallback if found is None else F.coalesce(found, fallback)
 
     def whole(self, field) -> Column:
-        """``number`` as an integer; a lone integer column stays as it is, so filters on it prune partitions."""
+        """``number`` if it is whole and an integer holds it, else NULL; no cell can fail the job.
+
+        A lone column of at most four bytes stays as it is, so filters on it prune partitions.
+        """
         columns = self.resolve(self._names(field))
         if len(columns) == 1 and isinstance(self._types[columns[0]], T.IntegralType):
-            return self._col(columns[0]).cast("int")
-        return self.number(field).cast("int")
+            return self._col(columns[0]).try_cast("int")
+        number = self.number(field)
+        return F.when(number == F.floor(number), number).try_cast("int")
 
     def any_present(self, names: Sequence[str]) -> Column:
         columns = self.resolve(names)

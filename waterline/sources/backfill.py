@@ -25,13 +25,13 @@ def expected_periods(
 
 
 def missing_periods(expected: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Expected partitions with no loaded row yet.
+    """Expected partitions with no loaded row yet; keys may be numbers or their text ("2020", "2020.0").
 
     The loaded side collapses to its distinct keys map-side, so a partition that holds most of the
     rows costs one key per task.
     """
     keys = loaded.select(
-        F.col("year").cast("int").alias("year"), F.col("week").cast("int").alias("week"), F.upper("pos").alias("pos")
+        *[F.expr(f"try_cast(try_cast({key} AS double) AS int)").alias(key) for key in ("year", "week")], F.upper("pos").alias("pos")
     ).distinct()
     return expected.join(keys, list(PERIOD), "left_anti")
 

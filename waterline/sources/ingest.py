@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from waterline.functions.numeric import to_number
 from waterline.functions.text import TEAM_CODES, split_high_low, split_player_team
 
-# Target names by position. Each rule is (header test, names by occurrence); a test
-# starting with "=" wants the whole header, repeats of the last name cover further occurrences.
+# Target names by position. Each rule is (header test, names by occurrence); repeats of
+# the last name cover further occurrences.
 _TD = r"TDS|^TD(_\d+)?$"
 RENAME_RULES: dict[str, tuple[tuple[str, tuple[str, ...]], ...]] = {
     "QB": (

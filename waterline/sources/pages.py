@@ -2,32 +2,66 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from html.entities import name2codepoint
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waterline.functions.text import strip
 
+# Attributes up to the end of a tag; a quoted value may hold any character.
+_REST = r"[^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+>"
+_SOME = r"[^>\"']*?(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*?)*?"
+
+
+def _element(name: str) -> str:
+    return rf"(?is)<{name}\b{_REST}(.*?)</{name}\s*>"
+
+
 # The parts of a page that hold the stat table.
-DATA_TABLE = r"(?is)<table\b[^>]*\bid\s*=\s*[\"']?data[\"']?(?=[\s>])[^>]*>(.*?)</table\s*>"
-HEAD = r"(?is)<thead\b[^>]*>(.*?)</thead\s*>"
-BODY = r"(?is)<tbody\b[^>]*>(.*?)</tbody\s*>"
-HEADER_CELL = r"(?is)<th\b[^>]*>(.*?)</th\s*>"
-ROW = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"
-CELL = r"(?is)<td\b[^>]*>(.*?)</td\s*>"
-TAG = r"(?s)<[^>]*>"
-# Character references to undo, the ampersand last.
-REFERENCES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+DATA_TABLE = rf"(?is)<table\b{_SOME}\sid\s*=\s*(?:\"data\"|'data'|data(?=[\s>])){_REST}(.*?)</table\s*>"
+HEAD, BODY, HEADER_CELL, ROW, CELL = map(_element, ("thead", "tbody", "th", "tr", "td"))
+TAG = rf"(?s)</?[A-Za-z!]{_REST}"
+# Named references of Latin-1 and of markup; the ampersand comes last and a fixed space stays a space.
+NAMED = {name: chr(code) for name, code in name2codepoint.items() if 160 <= code < 256} | {
+    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " "
+}
 BLANK_HEADER = "Column"
 
 
 def _plain(cell: Column) -> Column:
     """Visible text of a cell: each text node trimmed, tags gone, references undone."""
-    text = F.regexp_replace(F.regexp_replace(cell, r"(?s)\s*(<[^>]*>)\s*", "$1"), TAG, "")
-    for code, char in REFERENCES:
-        text = F.replace(text, F.lit(code), F.lit(char))
-    return strip(text)
+    text = F.regexp_replace(cell, rf"\s*{TAG}\s*", "")
+    return strip(F.when(F.contains(text, F.lit("&")), _decoded(text)).otherwise(text))
+
+
+def _decoded(text: Column) -> Column:
+    """Named, decimal and hexadecimal character references undone; unknown ones stay."""
+    names = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
+
+    def undo(form: str, char: Callable[[Column], Column], text: Column) -> Column:
+        found = F.array_distinct(F.regexp_extract_all(text, F.lit(form), F.lit(0)))
+        return F.aggregate(found, text, lambda t, ref: F.coalesce(F.replace(t, ref, char(ref)), t))
+
+    def named(ref: Column) -> Column:
+        return F.try_element_at(names, F.substring(ref, 2, F.length(ref) - 2))
+
+    def numbered(skip: int, base: int) -> Callable[[Column], Column]:
+        def char(ref: Column) -> Column:
+            digits = F.substring(ref, skip + 1, F.length(ref) - skip - 1)
+            code = F.conv(digits, base, 10).try_cast("long")
+            valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+            # 160 is the fixed space.
+            char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+            return F.when(code == 160, " ").when(valid, char).otherwise("\ufffd")
+
+        return char
+
+    text = undo("&[A-Za-z]+[0-9]*;", named, text)
+    text = undo("&#[0-9]{1,8};", numbered(2, 10), text)
+    text = undo("&#[xX][0-9A-Fa-f]{1,7};", numbered(3, 16), text)
+    return F.replace(text, F.lit("&amp;"), F.lit("&"))
 
 
 def _cells(source: Column, pattern: str) -> Column:
@@ -45,13 +79,6 @@ def unique_headers(headers: Column) -> Column:
     return F.transform(named, numbered)
 
 
-def unique_header_rows(headers: DataFrame, page: str = "page", at: str = "at", name: str = "name") -> DataFrame:
-    """``unique_headers`` for headers held as rows (page, at, name)."""
-    named = headers.withColumn(name, F.when(F.trim(name) == "", BLANK_HEADER).otherwise(F.trim(name)))
-    repeat = F.row_number().over(Window.partitionBy(page, name).orderBy(at)) - 1
-    return named.withColumn(name, F.when(repeat == 0, F.col(name)).otherwise(F.concat_ws("_", name, repeat)))
-
-
 def table_rows(pages: DataFrame, keys: Sequence[str], html: str) -> DataFrame:
     """Rows (keys, headers, row, cells) of every page that holds a stat table.
 
@@ -88,9 +115,8 @@ def table_cells(pages: DataFrame, keys: Sequence[str], html: str) -> DataFrame:
 
 def table_columns(pages: DataFrame, keys: Sequence[str], html: str, headers: Sequence[str]) -> DataFrame:
     """Wide form with one column per expected header, NULL where a page lacks it."""
-    cells = F.map_from_arrays(_filled_headers(), F.col("cells"))
-    return (
-        table_rows(pages, keys, html)
-        .select(*keys, "row", cells.alias("by_header"))
-        .select(*keys, "row", *[F.try_element_at("by_header", F.lit(name)).alias(name) for name in headers])
-    )
+    # By position, since headers may still clash: then the first counts.
+    def cell(name: str) -> Column:
+        return F.get("cells", (F.array_position("headers", F.lit(name)) - 1).cast("int")).alias(name)
+
+    return table_rows(pages, keys, html).select(*keys, "row", *[cell(name) for name in headers])

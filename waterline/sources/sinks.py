@@ -30,16 +30,14 @@ def write_table_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True, emptyValue="", nullValue="", escape='"')
 
 
-def write_weekly(weekly: DataFrame, path: str, files_per_period: int = 1) -> None:
+def write_weekly(weekly: DataFrame, path: str) -> None:
     """Weekly rows as Parquet by year, week and position; only the periods present are replaced.
 
-    Rows are laid out by period so each period has few files; ``files_per_period`` spreads a heavy
-    period over that many tasks.
+    Rows are laid out by period so each period has few files. It is a rebalance, so adaptive execution splits a
+    heavy period over tasks and joins light ones.
     """
-    laid = weekly.withColumn("_part", F.pmod(F.xxhash64(*weekly.columns), F.lit(files_per_period)))
     (
-        laid.repartition("year", "week", "pos", "_part")
-        .drop("_part")
+        weekly.hint("rebalance", F.col("year"), F.col("week"), F.col("pos"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "week", "pos")
