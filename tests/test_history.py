@@ -197,3 +197,12 @@ def test_many_leagues_keep_the_facts_in_place(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_a_repeated_week_needs_an_order(spark):
+    rows = [("P", "QB", 2020, 1, 5.0, 1), ("P", "QB", 2020, 1, 9.0, 2)]
+    df = spark.createDataFrame(rows, "Player string, Pos string, Year int, Week int, REC double, ord int")
+    league = LeagueConfig(teams=1)
+    assert [(r.games, r.fpts) for r in history_model(df, league, order=["ord"]).seasons.collect()] == [(1, 9.0)]
+    with pytest.raises(Exception, match="holds a week twice"):
+        history_model(df, league).seasons.collect()

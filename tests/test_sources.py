@@ -190,3 +190,22 @@ def test_stages_are_dropped_by_scope(spark):
     assert kept.count() == 3
     with pytest.raises(Exception, match="(?i)not exist|FILE_NOT_EXIST|not found"):
         gone.count()
+
+
+def test_repeated_headers_and_input_order(spark, tmp_path):
+    folder = tmp_path / "c"
+    folder.mkdir()
+    for k in range(3):
+        lines = ["Player,YDS,TD,YDS,TD,"] + [f'"p{k}{i:03}",{i},1,{2 * i},2,x' for i in range(40)]
+        (folder / f"part-{k}.csv").write_text("\n".join(lines))
+    assert tables.header_names(["A", None, "A", "", "A"]) == ["A", "_c1", "A_1", "_c3", "A_2"]
+    for multi_line in (True, False):
+        got = tables.read_csv(spark, str(folder), multi_line, order="ord")
+        assert got.columns == ["Player", "YDS", "TD", "YDS_1", "TD_1", "_c5", "ord"]
+        rows = got.orderBy("ord").collect()
+        assert [r.Player for r in rows] == [f"p{k}{i:03}" for k in range(3) for i in range(40)] and len({r.ord for r in rows}) == 120
+        assert rows[5].YDS_1 == "10" and rows[5].TD_1 == "2"
+    results = value_projections(
+        tables.read_csv(spark, str(folder), order="ord").selectExpr("*", "'QB' AS Pos", "YDS AS AVG"), LeagueConfig(teams=1), "ord"
+    ).results
+    assert results.count() == 120

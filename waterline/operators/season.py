@@ -18,6 +18,7 @@ from waterline.schema import Fields
 from waterline.sources.storage import materialise
 
 SEASON = ("year", "player", "team", "pos")
+REPEATED = "a season holds a week twice; name the columns of the input order"
 TIES = ("player", "team", "player_key")
 
 
@@ -78,7 +79,7 @@ def season_values(
     Weeks without a row count as replacement-level weeks: they add nothing in the own position and a
     constant per season and position in the shared pools, so the missing weeks are never spelt out.
     ``order`` gives the input order when a season may hold several rows of a week, the last of which
-    counts. With ``weeks`` the (at most 18) valued weeks come along as an array.
+    counts; without it such a season raises an error. With ``weeks`` the (at most 18) valued weeks come along as an array.
     """
     scenarios = Scenarios.of(league)
     facts = last_rows(scored, order) if order else scored
@@ -93,6 +94,7 @@ def season_values(
         "sum(flex_war) AS flex_war",
         "sum(superflex_war) AS superflex_war",
         "int(count(1)) AS games",
+        *([] if order else ["bit_count(bit_or(shiftleft(1L, week))) AS _weeks"]),
         "sum(fpts) AS fpts",
         "max(flex_missed) AS flex_missed",
         "max(superflex_missed) AS superflex_missed",
@@ -108,7 +110,7 @@ def season_values(
             "war",
             f"flex_war + {missed} * flex_missed AS flex_war",
             f"superflex_war + {missed} * superflex_missed AS superflex_war",
-            "games",
+            "games" if order else f"CASE WHEN games = _weeks THEN games ELSE raise_error('{REPEATED}') END AS games",
             "fpts",
             "coalesce(try_divide(fpts, games), 0D) AS avg",
             *(["weeks"] if weeks else []),

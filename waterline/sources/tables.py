@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from waterline.sources.storage import materialise, small
 
 WEEKLY_SCHEMA = (
     "Year string, Week string, Player string, Team string, Pos string, PassingYDS string, PassingTD string, "
@@ -19,13 +23,47 @@ MANIFEST_SCHEMA = (
 )
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """All-string CSV with a header row; blank lines are skipped.
+def header_names(cells: Sequence[str | None]) -> list[str]:
+    """Column names of a header row: the n-th repeat of a name gets the suffix _n, a blank one its place."""
+    names: list[str] = []
+    seen: dict[str, int] = {}
+    for at, cell in enumerate(cells):
+        name = cell or f"_c{at}"
+        seen[name] = seen.get(name, -1) + 1
+        names.append(f"{name}_{seen[name]}" if seen[name] else name)
+    return names
+
 
-    Quoted cells may span lines, for which each file must be read by one task. ``multi_line=False``
-    lets large files be split when no cell holds a line break.
+def with_input_order(df: DataFrame, name: str) -> DataFrame:
+    """Add the place of every row in the input, one 64-bit number: files by path, then by place in the file.
+
+    ``df`` must come straight from files. The scan numbers the rows of its blocks; the blocks themselves, of which there is
+    one per task at least, are listed by a scan of their own, counted, and joined.
+    """
+    place, row_bits = f"_{name}_block", 33
+    block = F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+    tagged = df.select("*", block.alias(place), F.monotonically_increasing_id().alias(name))
+    blocks = materialise(df.select(block.alias(place)).distinct())
+    numbered = blocks.withColumn("_at", F.row_number().over(Window.orderBy(place)).cast("long"))
+    within = F.col(name).bitwiseAND(F.lit((1 << row_bits) - 1))
+    joined = tagged.join(small(numbered, blocks.count()), place)
+    return joined.withColumn(name, F.shiftleft("_at", row_bits) + within).drop(place, "_at")
+
+
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True, order: str | None = None) -> DataFrame:
+    """All-string CSV with a header row; blank lines are skipped and repeated headers numbered (TD, TD_1).
+
+    Quoted cells may span lines, for which each file must be read by one task: fine for small tables.
+    ``multi_line=False`` lets large files be split when no cell holds a line break. ``order`` names
+    a column for the place of a row in the input.
     """
-    return spark.read.csv(path, header=True, inferSchema=False, multiLine=multi_line, escape='"')
+    settings = {"inferSchema": False, "multiLine": multi_line, "escape": '"'}
+    first = spark.read.csv(path, header=False, **settings).head()
+    if first is None:
+        return spark.read.csv(path, header=True, **settings)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in header_names(list(first))])
+    rows = spark.read.csv(path, header=True, schema=schema, **settings)
+    return rows if order is None else with_input_order(rows, order)
 
 
 def read_json_document(spark: SparkSession, path: str, schema: str = MANIFEST_SCHEMA) -> DataFrame:
