@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Texts of about this many bytes are worked on together; one longer text is worked on alone.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 WIDTH = 5
 
 _random = np.random.default_rng(20240607)
