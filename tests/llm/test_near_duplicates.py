@@ -4,7 +4,7 @@ from helpers import awkward, frame, near_groups, prose, row, shingles, with_clas
 from pyspark.sql import functions as F
 
 from waterline.llm.components import components
-from waterline.llm.minhash import MinHash, estimated, minima, near_duplicates, packed
+from waterline.llm.minhash import MinHash, confirmed_links, estimated, minima, near_duplicates, packed
 
 
 def edited(words, places):
@@ -66,6 +66,27 @@ def test_estimate_is_corrected_for_chance():
     assert near[0, 0] == 1 and abs(near[0, 1] - 0.6) < 0.12 and abs(near[0, 2]) < 0.12
 
 
+@pytest.mark.parametrize("n, m, pairs", [(3, 4, 6000), (6, 8, 6000), (48, 64, 500)])
+def test_estimates_of_sets_of_any_size_spread_as_if_independent(n, m, pairs):
+    how = MinHash()
+    a, b = how.hashing()
+    draw, near = np.random.default_rng(5), []
+    for _ in range(pairs):
+        s = draw.integers(0, 2**64, m, dtype=np.uint64)
+        bits = packed(np.stack([minima(s[:n], a, b), minima(s, a, b)]), how.bits)
+        near.append(estimated(bits[:1], bits[1:], how.bits, how.size)[0, 0])
+    nominal = (0.8125 * 0.1875 / how.size) ** 0.5 / 0.75
+    assert abs(np.std(near) - nominal) < 0.15 * nominal and min(near) > how.cutoff()
+
+
+@pytest.mark.parametrize("n, m", [(3, 4), (6, 8)])
+def test_no_link_of_small_sets_is_lost(n, m):
+    draw = np.random.default_rng(5)
+    for _ in range(10_000):
+        s = draw.integers(0, 2**64, m, dtype=np.uint64)
+        assert confirmed_links([1, 2], [np.sort(s[:n]), np.sort(s)], [0, 0], MinHash()) == [(2, 1)]
+
+
 def test_components_of_chains_stars_and_loops(spark):
     links = [(k, k + 1) for k in range(200)] + [(1000, 1000 + k) for k in range(50)] + [(7000, 7000), (None, 3)]
     got = dict(components(frame(spark, links, "a long, b long"), "a", "b").collect())

@@ -7,9 +7,9 @@
 3. Documents that share a band key are candidates. Each bucket links its members to its smallest one, so a
    bucket of any size costs one row a member; the components of these links are candidate families,
    outside of which no two documents share a bucket.
-4. Families are compared in blocks: a task gets the sets of one or two blocks of a family, ranks pairs by
-   the collision-corrected similarity that the bit counts of their signatures estimate, and
-   confirms links on the full sets. It returns a spanning forest of the links, never all pairs.
+4. Families are compared in blocks: a task gets the sets of one or two blocks of a family, passes over pairs of
+   large sets whose collision-corrected similarity, estimated from the bit counts of their signatures, is far too low,
+   and confirms links on the full sets; small sets are always compared in full. It returns a spanning forest of the links, never all pairs.
 5. The components of the confirmed links and of the copies are the groups.
 """
 
@@ -42,6 +42,8 @@ class MinHash:
     seed: int = 1
     # Estimates this many standard deviations below the threshold need no look at the sets.
     slack: float = 6.0
+    # Pairs with a set of fewer shingles than this are never judged by their estimate.
+    exact: int = 64
 
     @property
     def size(self) -> int:
@@ -70,8 +72,20 @@ def minima(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return least
 
 
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Minima with all bits mixed (the finalizer of MurmurHash3).
+
+    The low bits of a * x + b depend on those of x alone: without this, two shingles would agree in them for every
+    function or for none.
+    """
+    h = (h ^ (h >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+    h = (h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+    return h ^ (h >> np.uint32(16))
+
+
 def packed(least: np.ndarray, bits: int) -> np.ndarray:
-    """The low bits of minima, one row a document, packed into 64-bit words plane by plane."""
+    """The low bits of mixed minima, one row a document, packed into 64-bit words plane by plane."""
+    least = mixed(least)
     planes = [np.packbits((least >> np.uint32(k)).astype(np.uint8) & 1, axis=-1) for k in range(bits)]
     pad = -planes[0].shape[-1] % 8
     return np.concatenate([np.pad(p, [(0, 0), (0, pad)]) for p in planes], axis=-1).view(np.uint64)
@@ -177,11 +191,15 @@ def confirmed_links(ids: list, sets: list[np.ndarray], blocks: list[int], how: M
     a, b = how.hashing()
     signatures = packed(np.stack([minima(s, a, b) for s in sets]), how.bits)
     likely = estimated(signatures[one], signatures[two], how.bits, how.size) >= how.cutoff()
+    sizes = np.array([len(s) for s in sets])
+    left, right = sizes[one][:, None], sizes[two][None, :]
+    likely |= np.minimum(left, right) < how.exact
+    # The intersection is no larger than the smaller set, the union no smaller than the larger one.
+    likely &= 100 * np.minimum(left, right) >= how.per_cent * np.maximum(left, right)
     if len(parts) == 1:
         likely &= np.tri(len(one), k=-1, dtype=bool)
     if not likely.any():
         return []
-    sizes = np.array([len(s) for s in sets])
     rows, cols = np.flatnonzero(likely.any(axis=1)), np.flatnonzero(likely.any(axis=0))
     one, two = np.array(one)[rows], np.array(two)[cols]
     shared = _shared([sets[k] for k in one], [sets[k] for k in two])
