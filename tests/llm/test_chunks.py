@@ -45,6 +45,30 @@ def test_passages_across_documents(spark):
     assert all(text[r.doc_id][r.start : r.stop] in " ".join(passage).encode() and r.n_words >= 22 for r in got)
 
 
+def test_cutting_later_occurrences_leaves_every_text_once(spark):
+    a, b, c = (prose(800 + k, 80) for k in range(3))
+    docs = {3: a + b, 10: a + b + c, 20: b + c}
+    docs = {i: " ".join(prose(810 + i, 40) + w + prose(850 + i, 40)) for i, w in docs.items()}
+    got = repeated_passages(frame(spark, [row(i, t) for i, t in docs.items()])).collect()
+    left = {i: [True] * len(t) for i, t in docs.items()}
+    for r in got:
+        if not r.is_first:
+            left[r.doc_id][r.start : r.stop] = [False] * (r.stop - r.start)
+    kept = ["".join(x if keep else "~" for x, keep in zip(t, left[i], strict=True)) for i, t in docs.items()]
+    for passage in (a, b, c):
+        assert sum(" ".join(passage[25:55]) in t for t in kept) == 1
+
+
+def test_chunks_shared_with_different_documents_are_no_passage(spark):
+    text = " ".join("".join(prose(870 + k, 4)) for k in range(120))
+    raw = np.frombuffer(text.encode(), dtype=np.uint8)
+    ends = cut_rows(raw, np.array([0, len(raw)]), Chunking())[0].tolist()
+    parts = [text[max(a - 40, 0) : b] for a, b in zip(ends, ends[1:], strict=False)]
+    assert len(parts) > 8 and all(len(p.split()) < 22 for p in parts)
+    docs = [row(1, text)] + [row(100 + k, " ".join([*prose(1000 + k, 40), p, *prose(1100 + k, 40)])) for k, p in enumerate(parts)]
+    assert repeated_passages(frame(spark, docs)).collect() == []
+
+
 def test_awkward_rows(spark):
     df = with_clashes(awkward(spark))
     got = {r.doc_id for r in repeated_passages(df).collect()}

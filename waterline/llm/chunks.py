@@ -1,8 +1,9 @@
 """Repeated passages by content-defined chunking.
 
 Texts are cut where a rolling gear hash of the last 32 bytes has its top bits zero, so an insertion moves only the cuts next
-to it. Chunks are compared by digest over the whole corpus. Neighbouring chunks of a document that all occur in
-other documents form a passage; a passage of enough words is reported wherever it stands.
+to it. From every chunk a window reaches over as many chunks as it takes to hold enough words, and windows are compared by
+digest over the whole corpus. A window that another document holds is a repeat; windows of neighbouring chunks that the same
+smallest document holds form a passage, which is reported wherever it stands.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ _REACH = 32
 class Chunking:
     """Cuts come every 2**bits bytes beyond ``least`` on average and after ``most`` bytes at the latest.
 
-    ``min_words`` is the length from which a run of repeated chunks counts. The run misses the parts of a passage outside
+    ``min_words`` is the length from which a repeated row of chunks counts. It misses the parts of a passage outside
     its first and last cut, about 20 words in all, so passages of 50 words and more are found.
     """
 
@@ -80,7 +81,11 @@ def cut_rows(data: np.ndarray, offsets: np.ndarray, how: Chunking) -> tuple[np.n
 
 
 def chunk_rows(documents: DataFrame, how: Chunking, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, digest, pos, start, stop, word, words) of every chunk: its place in bytes, and the words before and in it."""
+    """(doc_id, digest, pos, start, stop, word, words) of every chunk's window, the least chunks from it on with ``min_words`` words.
+
+    start and stop are its place in bytes, word and words the words before and in it. A word cut by the start counts as
+    in it, so equal windows have equal words. Where the text ends too soon, digest is null and the rest is the chunk's.
+    """
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
     kind = rows.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "digest", "pos", "start", "stop", "word", "words"]
@@ -94,19 +99,29 @@ def chunk_rows(documents: DataFrame, how: Chunking, doc_id: str, text: str) -> D
             pos = np.arange(len(ends)) - first[row]
             starts = np.where(pos == 0, offsets[row], np.concatenate([[0], ends[:-1]])[: len(ends)])
             raw = data.tobytes()
-            digests = np.array(
-                [xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], dtype=np.uint64
-            )
             words, _, first_word = arrowtext.word_bounds(data, offsets, arrowtext.BLANK)
-            before = np.searchsorted(words, starts)
             upto = np.searchsorted(words, ends)
+            before = np.searchsorted(words, starts)
+            cut = ~arrowtext.BLANK[data[starts]] & (np.searchsorted(words, starts, side="right") == before)
+            before = before - cut
+            own = np.arange(len(ends))
+            last = np.maximum(np.searchsorted(upto, before + how.min_words), own)
+            full = last < len(ends)
+            last = np.where(full, last, own)
+            full &= row[last] == row
+            last = np.where(full, last, own)
+            stops, upto = ends[last], upto[last]
+            digests = [
+                xxhash.xxh3_64_intdigest(raw[a:b]) - 2**63 if whole else None
+                for a, b, whole in zip(starts.tolist(), stops.tolist(), full.tolist(), strict=True)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(pa.array(row)),
-                    pa.array(digests.view(np.int64)),
+                    pa.array(digests, pa.int64()),
                     *[
                         pa.array(v.astype(np.int32))
-                        for v in (pos, starts - offsets[row], ends - offsets[row], before - first_word[row], upto - before)
+                        for v in (pos, starts - offsets[row], stops - offsets[row], before - first_word[row], upto - before)
                     ],
                 ],
                 names=names,
@@ -120,24 +135,35 @@ def repeated_passages(
 ) -> DataFrame:
     """(doc_id, start, stop, n_words, first_doc_id, is_first) of every passage that stands in several documents.
 
-    start and stop are byte offsets in the UTF-8 text. first_doc_id is the smallest document that shares any chunk of the
-    passage; is_first tells that it is this one, the occurrence to keep. Repeats inside one document alone do not
+    start and stop are byte offsets in the UTF-8 text. Every window of a passage stands in another document, and
+    first_doc_id is the smallest document that holds it; is_first tells that it is this one, the occurrence to keep.
+    Passages of different first_doc_id may overlap; one that goes less than ``min_words`` words beyond a neighbour
+    of a smaller first_doc_id is left out, and its text stays. Text cut from the others still stands in a kept one, since a
+    document's own cuts lie in documents of smaller ids. Repeats inside one document alone do not
     count. Rows that share an id are one document, rows without one are left out; null and empty texts
     have no chunks; other columns are ignored; an empty table gives an empty result.
     """
-    chunks = materialise(chunk_rows(documents, how, doc_id, text))
+    chunks = materialise(chunk_rows(documents, how, doc_id, text)).filter("digest IS NOT NULL")
     holders = chunks.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id"))
     shared = holders.filter("first_doc_id < last_doc_id").select("digest", "first_doc_id")
-    # One row a shared digest, so the join keeps the number of chunks; a hot digest is split by adaptive execution.
+    # One row a shared digest, so the join keeps the number of windows; a hot digest is split by adaptive execution.
     found = chunks.join(shared, "digest").select("doc_id", "pos", "start", "stop", "word", "words", "first_doc_id")
     # Neighbouring chunks have the same difference of place and rank; the window holds one document at a time.
-    rank = F.dense_rank().over(Window.partitionBy("doc_id").orderBy("pos"))
-    runs = found.withColumn("run", F.col("pos") - rank).groupBy("doc_id", "run").agg(
+    rank = F.dense_rank().over(Window.partitionBy("doc_id", "first_doc_id").orderBy("pos"))
+    runs = found.withColumn("run", F.col("pos") - rank).groupBy("doc_id", "first_doc_id", "run").agg(
         F.min("start").alias("start"),
         F.max("stop").alias("stop"),
-        (F.max(F.col("word") + F.col("words")) - F.min("word")).alias("n_words"),
-        F.min("first_doc_id").alias("first_doc_id"),
+        F.min("word").alias("word"),
+        F.max(F.col("word") + F.col("words")).alias("past"),
     )
-    return runs.filter(f"n_words >= {how.min_words}").select(
+    # Where the smallest document lacks the first cut or two of a passage, a larger one leads it by a stub.
+    near = Window.partitionBy("doc_id").orderBy("start", "first_doc_id")
+    before, after = F.lag("first_doc_id").over(near), F.lead("first_doc_id").over(near)
+    least = F.coalesce(F.col("first_doc_id") <= before, F.lit(True)) & F.coalesce(F.col("first_doc_id") <= after, F.lit(True))
+    runs = runs.withColumns({"_before": before, "_after": after, "_least": least})
+    low = F.when(F.lag("_least").over(near) & (F.col("_before") < F.col("first_doc_id")), F.lag("past").over(near))
+    high = F.when(F.lead("_least").over(near) & (F.col("_after") < F.col("first_doc_id")), F.lead("word").over(near))
+    runs = runs.withColumn("own", F.least("past", high) - F.greatest("word", low)).withColumn("n_words", F.col("past") - F.col("word"))
+    return runs.filter(f"own >= {how.min_words}").select(
         "doc_id", "start", "stop", "n_words", "first_doc_id", (F.col("first_doc_id") == F.col("doc_id")).alias("is_first")
     )
