@@ -76,3 +76,15 @@ def test_awkward_rows(spark):
     got = score_quality(df, model).collect()
     assert len(got) == 14 and all(r.score is not None and r.held_out is not None for r in got)
     assert score_quality(frame(spark, []), model).count() == 0
+
+
+def test_an_id_in_many_rows_comes_to_the_driver_once(spark, monkeypatch):
+    from waterline.llm import quality_classifier
+
+    ids = [k for k in range(60) if zlib.crc32(str(k).encode()) % 3 != 1]
+    rows = [row(k, " ".join(prose(k, 40 + k))) for k in ids] + [row(ids[0], " ".join(prose(900 + k, 30 + k))) for k in range(200)]
+    labels = frame(spark, [(k, k % 2) for k in ids], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality_classifier, "fit", lambda x, y, how: seen.append((x, y)))
+    quality_classifier.fit_quality(frame(spark, rows), labels)
+    assert len(seen[0][0]) == len(seen[0][1]) == len(ids)

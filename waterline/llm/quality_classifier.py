@@ -95,13 +95,25 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def one_row_each(rows: DataFrame) -> DataFrame:
+    """One row a doc_id, with the mean statistics of its rows, so that an id in many rows comes to the driver once.
+
+    Means are of decimals, whose sums do not hang on the order of rows; statistics that agree are kept as they are.
+    """
+    means = [
+        F.when(F.min(c) == F.max(c), F.max(c)).otherwise(F.avg(F.col(c).cast("decimal(28,9)")).cast("double")).alias(c)
+        for c in FEATURES
+    ]
+    return rows.groupBy("doc_id", "label").agg(*means)
+
+
 def fit_quality(
     documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
     max_rows: int = MAX_ROWS, how: Boosting = Boosting(),
 ) -> Additive:
     """A model of ``label`` from the statistics of about ``max_rows`` labelled texts at most, none of them held out.
 
-    Null labels and ids are left out; a document labelled more than once gets the majority, ties counting as 1. The sample
+    Null labels and ids are left out; a document labelled more than once gets the majority, ties counting as 1. Rows that share an id are one row of mean statistics. The sample
     depends on ids alone, so it is the same whenever and wherever it is drawn.
     """
     known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("double").alias("label")).dropna()
@@ -122,7 +134,7 @@ def fit_quality(
             )
 
     schema = ", ".join([*[f"{name} double" for name in FEATURES], "label int", "doc_id string"])
-    sample = chosen.mapInArrow(measured, schema).toPandas().sort_values(["doc_id", *FEATURES, "label"])
+    sample = one_row_each(chosen.mapInArrow(measured, schema)).toPandas().sort_values(["doc_id", *FEATURES, "label"])
     return fit(sample[list(FEATURES)].to_numpy(float), sample["label"].to_numpy(float), how)
 
 
