@@ -14,7 +14,7 @@ needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the generat
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 14))
     assert set(REGISTRY) | {"pipeline"} <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
@@ -23,7 +23,7 @@ def test_every_operator_is_registered():
 def test_query_equals_its_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     found = REGISTRY[name](spark, SF)
     cursor = con.execute(ORACLE[name])

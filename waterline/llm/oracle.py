@@ -146,10 +146,73 @@ SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' A
        row_number() OVER (PARTITION BY shard ORDER BY start) - 1 AS slot, NULL::INT AS grown_shard FROM placed"""
 
 
+def filter_audit_sql() -> str:
+    return r"""
+WITH flagged AS (
+  SELECT d.doc_id, coalesce(lang, '') AS part, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, coalesce(text, '') AS body,
+         coalesce(l.quality = 1, false) AS good, coalesce(l.toxic = 1, false) AS toxic
+  FROM documents d LEFT JOIN labels l USING (doc_id)),
+failing AS (
+  SELECT part, good, toxic, (CASE WHEN len(w) < 100 THEN 'A' ELSE '' END)
+         || (CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END)
+         || (CASE WHEN 100 * len(regexp_extract_all(body, '[A-Z]')) > 10 * length(body) THEN 'C' ELSE '' END)
+         || (CASE WHEN regexp_matches(body, '[#$%&*|]') THEN 'D' ELSE '' END)
+         || (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY body) THEN 'E' ELSE '' END) AS fails
+  FROM flagged),
+counts AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS t FROM failing GROUP BY 1, 2),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (SELECT filter_order, step, filter_order[step] AS own, left(filter_order, step - 1) AS before FROM orders, range(1, 6) AS r(step)),
+met AS (
+  SELECT *, contains(fails, own) AS fails_own,
+         len(list_intersect(string_split(fails, ''), string_split(before, ''))) > 0 AND fails <> '' AND before <> '' AS gone
+  FROM counts, steps),
+audited AS (
+  SELECT part, filter_order, step, own,
+         coalesce(sum(n) FILTER (NOT fails_own AND NOT gone), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (fails_own AND NOT gone), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (fails_own AND gone), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (fails = own), 0)::BIGINT AS unique_fails,
+         coalesce(sum(g) FILTER (fails_own AND NOT gone), 0)::BIGINT AS good_lost, coalesce(sum(t) FILTER (fails_own AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM met GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM audited"""
+
+
+def collocation_sql() -> str:
+    return r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+placed AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+occurring AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase FROM placed, range(1, 6) AS r(m) WHERE i + m - 1 <= len(w)),
+frequent AS MATERIALIZED (SELECT lang, m, phrase, count(*) AS f FROM occurring GROUP BY ALL HAVING f >= 100),
+totals AS (SELECT lang, sum(len(w)) AS n FROM worded GROUP BY 1),
+candidates AS MATERIALIZED (SELECT lang, m, phrase, f AS a FROM frequent WHERE m > 1),
+cut AS (
+  SELECT lang, m, phrase, a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS p, array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS q
+  FROM candidates, range(1, 5) AS r(k) WHERE k < m),
+scored AS (
+  SELECT cut.lang, cut.phrase, cut.a, k, l.f AS l, r.f AS r, t.n, (1000::HUGEINT * a * t.n) // (l.f::HUGEINT * r.f) AS score
+  FROM cut JOIN frequent l ON l.lang = cut.lang AND l.phrase = p JOIN frequent r ON r.lang = cut.lang AND r.phrase = q JOIN totals t ON t.lang = cut.lang),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+alone AS (
+  SELECT * FROM lowest x WHERE NOT EXISTS (
+    SELECT 1 FROM candidates c WHERE c.lang = x.lang AND 100 * c.a >= 100 * x.a AND length(c.phrase) > length(x.phrase)
+       AND contains(' ' || c.phrase || ' ', ' ' || x.phrase || ' '))),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM alone)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000"""
+
+
 ORACLE: dict[str, str] = {
     "op3_license_dice_scan": license_sql(),
     "op4_minhash_near_duplicates": near_duplicate_sql(),
     "op5_adaptive_quality_rules": quality_rules_sql(),
     "op6_prefix_target_chat": chat_sql(),
     "op10_byte_shards": shard_sql(),
+    "op11_filter_interaction_audit": filter_audit_sql(),
+    "op13_phrase_collocations": collocation_sql(),
 }

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waterline.llm.byte_bpe import Vocabulary, encode, round_trip_digests
 from waterline.llm.chat import example_digests, prefix_examples
 from waterline.llm.chunks import repeated_passages
+from waterline.llm.collocations import collocations
 from waterline.llm.decontaminate import leaks
+from waterline.llm.filter_audit import filter_audit
 from waterline.llm.licenses import license_scan
 from waterline.llm.masked_lm import score_documents
 from waterline.llm.minhash import near_duplicates
@@ -98,3 +102,20 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op11_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    vocabulary = Vocabulary.from_file(path, public_tokenizers.PATTERN).share(spark)
+    return round_trip_digests(encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary), vocabulary)
+
+
+@query
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
