@@ -99,13 +99,15 @@ def test_matrix_is_exact_whatever_the_shards(spark):
 
 
 def test_a_word_goes_to_the_dictionary_once_a_shard(spark, monkeypatch):
-    """However many documents hold it: the exchange by word has as many rows as the shards have distinct words."""
+    """However many documents hold it: the exchange has as many words as the shards have distinct ones, in a row a bucket."""
     from waterline.llm import term_matrix as module
 
     rows = [row(k, "same words in all of them") for k in range(500)]
     seen = {}
     real = module._numbered
-    monkeypatch.setattr(module, "_numbered", lambda words: seen.setdefault("found", (words.count(), real(words)))[1])
+    monkeypatch.setattr(
+        module, "_numbered", lambda parts, width: seen.setdefault("found", (parts.selectExpr("explode(words)").count(), real(parts, width)))[1]
+    )
     term_matrix(frame(spark, rows).coalesce(2))
     assert seen["found"][0] <= 2 * 6
 

@@ -1,9 +1,10 @@
 """A sparse document-term matrix in shards, with one dictionary for the whole corpus.
 
 A task cuts its documents into shards and encodes their words by a dictionary of the shard. Only the distinct words of
-each shard, not those of each document, then meet over the corpus: sorted by word, equal ones get one number. The
-numbers go back to the shards, whose local indices become global ones. So the exchange carries a frequent word once a shard,
-however many documents hold it, and no word has more rows than there are shards.
+each shard, not those of each document, then meet over the corpus, and they travel as arrays: a row holds the shard's words
+of one hash bucket. Where a bucket's rows meet, equal words get one number, and the numbers go back to the shards, whose
+local indices become global ones. So a frequent word is exchanged once a shard however many documents hold it, and no
+bucket has more rows than there are shards.
 """
 
 from __future__ import annotations
@@ -25,8 +26,10 @@ from waterline.sources.storage import materialise, scratch_path
 
 # Documents of about this many bytes make a shard; a longer text is a shard of its own.
 SHARD_BYTES = 4 << 20
-# Row groups of the stored shards, so that a reader holds few of these long rows at a time.
-ROW_GROUP_BYTES = 16 << 20
+# The stored shards are long rows; a reader or writer holds so many at a time.
+ROW_GROUP = 4
+# A task of the exchange gets the words of so many buckets.
+BUCKETS_A_TASK = 2
 MARKS = b"#$%&*|"
 
 _IS_MARK = np.isin(np.arange(256), list(MARKS))
@@ -48,8 +51,8 @@ def row_sums(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return upto[offsets[1:]] - upto[offsets[:-1]]
 
 
-def shard_terms(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-    """The shard's words, and the matrix over them: indptr, indices and counts, indices ascending in each row."""
+def shard_terms(data: np.ndarray, offsets: np.ndarray, buckets: int) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The shard's words by bucket, each one's bucket, and the matrix over them: indptr, indices and counts."""
     starts, ends, first = arrowtext.word_bounds(data, offsets, arrowtext.BLANK)
     letters = data[~arrowtext.BLANK[data]]
     places = np.concatenate([[0], np.cumsum(ends - starts)])
@@ -60,7 +63,13 @@ def shard_terms(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.nda
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     cells, counts = np.unique(row * width + words.indices.to_numpy(), return_counts=True)
     indptr = np.searchsorted(cells, np.arange(len(offsets)) * width)
-    return words.dictionary, indptr, cells % width, counts
+    vocabulary = words.dictionary.cast(pa.binary())
+    distinct, at = arrowtext.utf8(vocabulary.cast(pa.string()))
+    bucket = (arrowtext.word_hashes(distinct, at[:-1], np.zeros(256, dtype=bool)) % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    place = np.empty(width, dtype=np.int64)
+    place[order] = np.arange(len(order))
+    return vocabulary.take(pa.array(order)), bucket[order], indptr, place[cells % width], counts
 
 
 def _listed(values: np.ndarray | pa.Array) -> pa.Array:
@@ -80,6 +89,8 @@ def term_matrix(
     entries; repeated rows and ids are rows each; an empty table gives no shards; other columns are ignored.
     """
     spark = documents.sparkSession
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = width * BUCKETS_A_TASK
     rows = documents.select(F.col(doc_id).alias("doc_id"), *[F.col(f"`{c}`") for c in keep], F.col(text).alias("_text"))
     own = [f for f in rows.schema.fields if f.name != "_text"]
     measured = [T.StructField(n, T.BinaryType() if n == "digest" else T.LongType()) for n, _ in _MEASURES]
@@ -91,7 +102,12 @@ def term_matrix(
             shard += 1
             texts = batch.column("_text")
             data, offsets = arrowtext.utf8(texts)
-            vocabulary, indptr, indices, counts = shard_terms(data, offsets)
+            vocabulary, bucket, indptr, indices, counts = shard_terms(data, offsets, buckets)
+            held, begin = np.unique(bucket, return_index=True)
+            cuts = pa.array(np.append(begin, len(bucket)), pa.int32())
+            parts = pa.StructArray.from_arrays(
+                [pa.array(held), pa.array(begin, pa.int32()), pa.ListArray.from_arrays(cuts, vocabulary)], names=["bucket", "start", "words"]
+            )
             raw = data.tobytes()
             digests = [hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
             sums = [row_sums(table[data], offsets) for table in (_STARTS_CHARACTER, _IS_UPPER, _IS_MARK)]
@@ -101,37 +117,39 @@ def term_matrix(
                 [
                     pa.array([shard], pa.int64()),
                     _listed(about),
-                    _listed(vocabulary.cast(pa.binary())),
+                    _listed(parts),
                     *[_listed(v.astype(np.int32)) for v in (indptr, indices, counts)],
                 ],
-                names=["shard", "documents", "vocabulary", "indptr", "indices", "counts"],
+                names=["shard", "documents", "parts", "indptr", "indices", "counts"],
             )
 
     numbers = T.ArrayType(T.IntegerType())
-    schema = T.StructType().add("shard", T.LongType()).add("documents", described).add("vocabulary", T.ArrayType(T.BinaryType()))
+    parts = T.StructType().add("bucket", T.IntegerType()).add("start", T.IntegerType()).add("words", T.ArrayType(T.BinaryType()))
+    schema = T.StructType().add("shard", T.LongType()).add("documents", described).add("parts", T.ArrayType(parts))
     schema = schema.add("indptr", numbers).add("indices", numbers).add("counts", numbers)
     path = scratch_path(spark, "shards")
-    rows.mapInArrow(local, schema).write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+    rows.mapInArrow(local, schema).write.option("parquet.block.row.count.limit", ROW_GROUP).parquet(path)
     stored = spark.read.schema(schema).parquet(path)
 
-    numbered, before = _numbered(stored.select("shard", F.posexplode("vocabulary").alias("local", "word")))
-    named = numbered.join(before, "piece").withColumn("term", F.col("number") + F.col("before"))
-    dictionary = named.filter("word IS NOT NULL").select("term", F.col("word").cast("string").alias("word"))
-    # At most a shard's own words meet in a group.
-    terms = named.groupBy("shard").agg(F.collect_list(F.struct("local", "term")).alias("terms"))
-    joined = stored.drop("vocabulary").join(terms, "shard", "left")
-    joined = joined.withColumns({"local": F.col("terms.local"), "term": F.col("terms.term")}).drop("terms")
+    numbered, before = _numbered(stored.select("shard", F.inline("parts")), width)
+    named = numbered.join(before, "piece")
+    new = named.select("before", "first", F.posexplode("words").alias("at", "word"))
+    dictionary = new.select((F.col("before") + F.col("first") + F.col("at")).alias("term"), F.col("word").cast("string").alias("word"))
+    # A shard's own words meet in its row again.
+    terms = named.groupBy("shard").agg(F.collect_list(F.struct("start", "before", "numbers")).alias("terms"))
+    joined = stored.drop("parts").join(terms, "shard", "left")
 
     def globally(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                place, term = (pc.fill_null(pc.list_flatten(batch.column(c).slice(k, 1)), 0).to_numpy() for c in ("local", "term"))
-                table = np.zeros(len(place), dtype=np.int64)
-                table[place] = term
                 one = batch.slice(k, 1)
-                local_indices = pc.list_flatten(one.column("indices")).to_numpy()
+                start, low, lists = pc.list_flatten(one.column("terms")).flatten() or ([], [], [])
+                table = np.zeros(len(pc.list_flatten(lists)), dtype=np.int64)
+                for begin, offset, own in zip(start.to_pylist(), low.to_pylist(), lists, strict=True):
+                    table[begin : begin + len(own.values)] = own.values.to_numpy() + offset
+                indices = table[pc.list_flatten(one.column("indices")).to_numpy()]
                 yield pa.RecordBatch.from_arrays(
-                    [*[one.column(c) for c in ("shard", "documents", "indptr")], _listed(table[local_indices]), one.column("counts")],
+                    [*[one.column(c) for c in ("shard", "documents", "indptr")], _listed(indices), one.column("counts")],
                     names=["shard", "documents", "indptr", "indices", "counts"],
                 )
 
@@ -140,34 +158,44 @@ def term_matrix(
     return TermMatrix(joined.mapInArrow(globally, wide), dictionary)
 
 
-def _numbered(words: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(shard, local, piece, number, word in the first row of each) and (piece, before): a number for every distinct word.
+def _numbered(parts: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+    """(shard, start, piece, numbers, first, words) and (piece, before): a number for every distinct word.
 
-    A piece is a task of the exchange by word; its words are numbered as they come sorted, and the pieces' totals, one
-    row each, give the offsets.
+    A piece is a task of the exchange by bucket, which holds the distinct words of its buckets; numbers are those of a shard's
+    words from ``start`` on, words are the ones that come up in this row, numbered from ``first``. The pieces' totals,
+    one row each, give the offsets.
     """
-    width = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid = words.repartition(width, "word").sortWithinPartitions("word").withColumn("piece", F.spark_partition_id())
 
     def number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, n = None, -1
+        piece = TaskContext.get().partitionId()
+        known: dict[bytes, int] = {}
         for batch in batches:
             if not batch.num_rows:
                 continue
-            word = batch.column("word")
-            new = np.ones(batch.num_rows, dtype=bool)
-            new[1:] = pc.not_equal(word.slice(1), word.slice(0, len(word) - 1)).to_numpy(zero_copy_only=False)
-            new[0] = word[0].as_py() != last
-            numbers = n + np.cumsum(new)
-            last, n = word[-1].as_py(), int(numbers[-1])
-            first = pc.if_else(pa.array(new), word, pa.scalar(None, word.type))
+            lists = batch.column("words")
+            sizes = pc.list_value_length(lists).to_numpy()
+            cuts = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+            words = pc.list_flatten(lists).dictionary_encode()
+            first = len(known)
+            ids = np.array([known.setdefault(w, len(known)) for w in words.dictionary.to_pylist()], dtype=np.int64)
+            new = words.dictionary.filter(pa.array(ids >= first))
+            # The new words of the batch stand in its first row.
+            held = pa.ListArray.from_arrays(pa.array(np.minimum(np.arange(len(lists) + 1), 1) * len(new), pa.int32()), new)
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in ("shard", "local", "piece")], pa.array(numbers, pa.int64()), first],
-                names=["shard", "local", "piece", "number", "word"],
+                [
+                    batch.column("shard"),
+                    batch.column("start"),
+                    pa.array(np.full(len(lists), piece, dtype=np.int32)),
+                    pa.ListArray.from_arrays(cuts, pa.array(ids[words.indices.to_numpy()])),
+                    pa.array(np.full(len(lists), first)),
+                    held,
+                ],
+                names=["shard", "start", "piece", "numbers", "first", "words"],
             )
 
-    numbered = materialise(laid.mapInArrow(number, "shard bigint, local int, piece int, number bigint, word binary"))
-    totals = numbered.groupBy("piece").agg((F.max("number") + 1).alias("n"))
+    schema = "shard bigint, start int, piece int, numbers array<bigint>, first bigint, words array<binary>"
+    numbered = materialise(parts.repartition(width, "bucket").mapInArrow(number, schema))
+    totals = numbered.groupBy("piece").agg(F.max(F.col("first") + F.size("words")).alias("n"))
     before = totals.selectExpr("piece", "coalesce(sum(n) OVER (ORDER BY piece ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS before")
     return numbered, F.broadcast(before)  # a row for each task of one exchange
 
