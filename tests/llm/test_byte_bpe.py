@@ -1,9 +1,13 @@
 import base64
 import hashlib
 
+import pyarrow as pa
 import pytest
 from helpers import awkward, frame, prose, with_clashes
+from hypothesis import given
+from hypothesis import strategies as st
 
+from waterline.llm import arrowtext
 from waterline.llm import byte_bpe as B
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -34,39 +38,55 @@ def texts():
     ]
 
 
+def encoded(rows, vocabulary):
+    ids, cuts = B.encode_texts(pa.array(rows, pa.string()), vocabulary.serialised)
+    return [ids[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
 def test_ids_equal_those_by_ranks(vocabulary, exact):
-    for text, ids in zip(texts(), B.encode_texts(texts(), vocabulary.serialised), strict=True):
-        assert ids.tolist() == exact.encode_ordinary(text)
-        assert B.decode_ids(ids, vocabulary) == text.encode()
+    got = encoded(texts(), vocabulary)
+    assert got == [exact.encode_ordinary(t) for t in texts()]
+    assert B.decode_lists(pa.array(got, pa.list_(pa.int32())), vocabulary)[0] == [t.encode() for t in texts()]
 
 
 def test_every_character_among_others(vocabulary, exact):
     lines = [f"a{chr(c)}1 {chr(c)}{chr(c)} b" for c in [*range(0x3000), *range(0xFE00, 0x10000), *range(0x1F300, 0x1F700)]]
-    got = B.encode_texts(lines, vocabulary.serialised)
-    assert [g.tolist() for g in got] == [exact.encode_ordinary(t) for t in lines]
+    assert encoded(lines, vocabulary) == [exact.encode_ordinary(t) for t in lines]
+
+
+def test_texts_are_cut_where_ids_do_not_change(exact):
+    rows = ["  two  words\tand  é x éé y", "", "日本 語　 x ~ z", MIXED * 3]
+    data, offsets = arrowtext.utf8(pa.array(rows))
+    starts = [*B.part_starts(data, offsets).tolist(), len(data)]
+    parts = [data[a:b].tobytes().decode() for a, b in zip(starts[:-1], starts[1:], strict=True)]
+    assert "".join(parts) == "".join(rows) and set(offsets.tolist()) <= set(starts) and " é" not in parts and " x" in parts
+    assert [i for p in parts for i in exact.encode_ordinary(p)] == [i for r in rows for i in exact.encode_ordinary(r)]
 
 
-def test_long_texts_are_cut_where_ids_do_not_change(exact):
-    text = (MIXED + " and so on ") * 50
-    parts = list(B.parts_of(text, 40))
-    assert len(parts) > 20 and "".join(parts) == text
-    assert [i for p in parts for i in exact.encode_ordinary(p)] == exact.encode_ordinary(text)
+@given(st.lists(st.text(st.sampled_from("ab 1'\t\n.é\u00a0\u3000\u2009日s")), max_size=6))
+def test_any_texts(rows):
+    ranks = {bytes([b]): b for b in range(256)} | {b" a": 256, b"ab": 257, b"\xc3\xa9": 258, b"'s": 259, b"  ": 260}
+    small = B.Vocabulary.from_ranks(ranks, public_tokenizers.PATTERN)
+    exact = tiktoken.Encoding("any", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    assert encoded(rows, small) == [exact.encode_ordinary(t) for t in rows]
 
 
 def test_offsets_equal_the_librarys(vocabulary):
-    for text in (MIXED, "日本 naïve 👩‍👧"):
+    rows = [MIXED, "", "日本 naïve 👩‍👧"]
+    ids, cuts = B.encode_texts(pa.array(rows), vocabulary.serialised)
+    starts, ends = B.character_offsets(pa.array(rows), B.token_bytes(ids, vocabulary.offsets), cuts)
+    for k, text in enumerate(rows):
         one = B._engine(vocabulary.serialised).encode(text, add_special_tokens=False)
-        ids = B.encode_texts([text], vocabulary.serialised)[0]
-        starts, ends = B.character_offsets(text.encode(), B.token_bytes(ids, vocabulary.offsets))
-        assert list(zip(starts.tolist(), ends.tolist(), strict=True)) == one.offsets
+        own = slice(cuts[k], cuts[k + 1])
+        assert list(zip(starts[own].tolist(), ends[own].tolist(), strict=True)) == one.offsets
 
 
 def test_split_characters_come_whole(vocabulary):
-    data = MIXED.encode()
-    ids = B.encode_texts([MIXED], vocabulary.serialised)[0]
+    ids, cuts = B.encode_texts(pa.array([MIXED]), vocabulary.serialised)
     sizes = B.token_bytes(ids, vocabulary.offsets)
-    assert (B.character_offsets(data, sizes)[0][1:] < B.character_offsets(data, sizes)[1][:-1]).any()  # some are split
-    assert "".join(B.token_texts(data, sizes)) == MIXED
+    starts, ends = B.character_offsets(pa.array([MIXED]), sizes, cuts)
+    assert (starts[1:] < ends[:-1]).any()  # some are split
+    assert "".join(B.token_texts(MIXED.encode(), sizes)) == MIXED
 
 
 def test_a_token_that_no_merge_makes_is_taken_whole():
@@ -74,7 +94,7 @@ def test_a_token_that_no_merge_makes_is_taken_whole():
     vocabulary = B.Vocabulary.from_ranks(ranks, public_tokenizers.PATTERN)
     exact = tiktoken.Encoding("small", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     cases = ["xyz", "xyzxyz", "abab xyz", "aab"]
-    assert [i.tolist() for i in B.encode_texts(cases, vocabulary.serialised)] == [exact.encode_ordinary(t) for t in cases]
+    assert encoded(cases, vocabulary) == [exact.encode_ordinary(t) for t in cases]
     assert B.last_parts(b"xyz", ranks) is None
     with pytest.raises(ValueError):
         B.Vocabulary.from_ranks({b"a": 0}, public_tokenizers.PATTERN)

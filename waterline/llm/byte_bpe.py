@@ -8,6 +8,8 @@ Merges from ranks: splitting a token's own bytes, always joining the pair of low
 are the only two parts that ever make it, since what is joined inside a token before it exists does not depend on the
 text around it. So one merge a token, in order of rank, gives the same ids as joining by ranks. A piece that is itself a
 token is taken whole.
+
+A slice of texts is cut before spaces, where a piece always ends, and the library sees each distinct part once.
 """
 
 from __future__ import annotations
@@ -15,13 +17,13 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
-import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,9 +33,12 @@ from waterline.llm import arrowtext
 
 # A vocabulary goes to every worker; larger files than this are not vocabularies.
 MOST_BYTES = 64 << 20
-# Texts are handed to the library in parts of about so many characters.
-PART_CHARS = 1 << 16
-_SAFE_CUT = re.compile(r"\S ")
+# Texts of about so many bytes are cut into parts together, and so many parts are handed to the library at a time.
+SLICE = 4 << 20
+PARTS = 1 << 13
+_PLAIN = (np.arange(256) > 0x20) & (np.arange(256) < 0x7F)
+#: First bytes of two-byte characters of which none is white space.
+_LEADS = (np.arange(256) >= 0xC3) & (np.arange(256) < 0xE0)
 
 
 def byte_characters() -> list[str]:
@@ -113,44 +118,38 @@ def _engine(serialised: str):
     return Tokenizer.from_str(serialised)
 
 
-def parts_of(text: str, size: int = PART_CHARS) -> Iterator[str]:
-    """Parts of a text whose ids, one after the other, are the text's: cut before a space after a character that is none.
+def part_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """First byte of every part of the rows: each row's first, and every space after a character that is none.
 
-    No piece of the pattern holds a space after another character, or looks beyond one, so such a place always ends a piece.
-    A text without one stays whole.
+    No piece of the pattern holds a space after another character, or looks beyond one, so the ids of the parts, one
+    after the other, are the row's. A row without such a place is one part.
     """
-    start = 0
-    while len(text) - start > size:
-        found = _SAFE_CUT.search(text, start + size)
-        if not found:
-            break
-        yield text[start : found.start() + 1]
-        start = found.start() + 1
-    yield text[start:]
-
-
-def encode_texts(texts: list[str], serialised: str) -> list[np.ndarray]:
-    """Ids of each text. The library sees about ``PART_CHARS`` characters at a time, so its own objects stay few."""
+    cut = np.zeros(len(data) + 1, dtype=bool)
+    cut[1:-1] = (data[1:] == 0x20) & _PLAIN[data[:-1]]
+    cut[2:-1] |= (data[2:] == 0x20) & (data[1:-1] >= 0x80) & _LEADS[data[:-2]]
+    cut[offsets] = True
+    return np.flatnonzero(cut[:-1])
+
+
+def encode_texts(texts: pa.Array, serialised: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, one after the other, and each text's first id (one more at the end)."""
     engine = _engine(serialised)
-    found: list[list[np.ndarray]] = [[] for _ in texts]
-    held: list[tuple[int, str]] = []
-    size = 0
-
-    def flush() -> None:
-        for (row, _), one in zip(held, engine.encode_batch_fast([t for _, t in held], add_special_tokens=False), strict=True):
-            found[row].append(np.array(one.ids, dtype=np.int32))
-        held.clear()
-
-    for row, text in enumerate(texts):
-        for part in parts_of(text):
-            held.append((row, part))
-            size += len(part)
-            if size > PART_CHARS:
-                flush()
-                size = 0
-    if held:
-        flush()
-    return [np.concatenate(parts) if parts else np.zeros(0, dtype=np.int32) for parts in found]
+    data, offsets = arrowtext.utf8(texts)
+    starts = part_starts(data, offsets)
+    places = np.append(starts, len(data))
+    parts = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(places), pa.py_buffer(data)).dictionary_encode()
+    found = [np.zeros(0, dtype=np.int32)]
+    sizes = np.zeros(len(parts.dictionary), dtype=np.int64)
+    for begin in range(0, len(parts.dictionary), PARTS):
+        some = parts.dictionary.slice(begin, PARTS).to_pylist()
+        ids = [one.ids for one in engine.encode_batch_fast(some, add_special_tokens=False)]
+        sizes[begin : begin + len(ids)] = [len(i) for i in ids]
+        found.append(np.fromiter((i for own in ids for i in own), dtype=np.int32))
+    table, firsts = np.concatenate(found), np.cumsum(sizes) - sizes
+    at = parts.indices.to_numpy()
+    upto = np.concatenate([[0], np.cumsum(sizes[at])])
+    ids = table[np.repeat(firsts[at] - upto[:-1], sizes[at]) + np.arange(upto[-1])]
+    return ids, upto[np.searchsorted(starts, offsets)]
 
 
 def token_bytes(ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -161,22 +160,33 @@ def token_bytes(ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.where(known & (offsets[at] >= 0), ends[at] - offsets[at], -1)
 
 
-def decode_ids(ids: np.ndarray, vocabulary: Vocabulary) -> bytes | None:
-    """The bytes of the tokens, one after the other; None if some id has no token."""
-    sizes = token_bytes(ids, vocabulary.offsets)
-    if len(ids) and sizes.min() < 0:
-        return None
-    table = np.frombuffer(vocabulary.data, dtype=np.uint8)
-    begin = np.repeat(vocabulary.offsets[ids] - (np.cumsum(sizes) - sizes), sizes)
-    return table[begin + np.arange(int(sizes.sum()))].tobytes()
+def decode_lists(lists: pa.Array, vocabulary: Vocabulary) -> tuple[list[bytes | None], list[np.ndarray | None]]:
+    """The bytes of each row's tokens, one after the other, and the tokens' sizes; None where an id is null or has no token."""
+    values = pc.fill_null(pc.list_flatten(lists), -1).to_numpy().astype(np.int64)
+    counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    cuts = np.concatenate([[0], np.cumsum(counts)])
+    sizes = token_bytes(values, vocabulary.offsets)
+    ends = np.maximum.accumulate(np.maximum(vocabulary.offsets, 0))
+    table = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(vocabulary.data)])
+    taken = table.take(pa.array(np.where(sizes < 0, 0, values)))
+    # The taken tokens stand one after the other.
+    places, raw = np.frombuffer(taken.buffers()[1], dtype=np.int64)[: len(taken) + 1], memoryview(taken.buffers()[2] or b"")
+    bad = np.concatenate([[0], np.cumsum(sizes < 0)])
+    usable = lists.is_valid().to_numpy(zero_copy_only=False) & (bad[cuts[1:]] == bad[cuts[:-1]])
+    rows = list(zip(usable.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+    return [bytes(raw[places[a] : places[b]]) if u else None for u, a, b in rows], [sizes[a:b] if u else None for u, a, b in rows]
+
 
+def character_offsets(texts: pa.Array, sizes: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and end character of every token in its text: a character split over tokens belongs to each.
 
-def character_offsets(data: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First character and end character of every token of so many bytes: a character split over tokens belongs to each."""
-    first = (np.frombuffer(data, dtype=np.uint8) & 0xC0) != 0x80
-    upto = np.concatenate([[0], np.cumsum(first)])
+    ``sizes`` are the tokens' bytes, ``cuts`` each text's first token.
+    """
+    data, offsets = arrowtext.utf8(texts)
+    upto = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
     ends = np.cumsum(sizes)
-    return (upto[ends - sizes + 1] - 1).astype(np.int32), upto[ends].astype(np.int32)
+    before = np.repeat(upto[offsets[:-1]], np.diff(cuts))
+    return upto[ends - sizes + 1] - 1 - before, upto[ends] - before
 
 
 def token_texts(data: bytes, sizes: np.ndarray) -> list[str]:
@@ -191,9 +201,8 @@ def token_texts(data: bytes, sizes: np.ndarray) -> list[str]:
     return [data[a:b].decode("utf-8", "replace") for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
-    ends = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*values, np.zeros(0, dtype=np.int32)]), kind))
+def _lists(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(values, pa.int32()))
 
 
 def encode(
@@ -214,29 +223,18 @@ def encode(
 
     def encoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = vocabulary.value
-        for batch in arrowtext.slices(batches, text):
-            texts = [t or "" for t in batch.column(text).to_pylist()]
-            ids = encode_texts(texts, shared.serialised)
+        for batch in arrowtext.slices(batches, text, SLICE):
+            ids, cuts = encode_texts(batch.column(text), shared.serialised)
             new = [ids]
             if offsets:
-                sizes = [token_bytes(i, shared.offsets) for i in ids]
-                places = [character_offsets(t.encode(), s) for t, s in zip(texts, sizes, strict=True)]
-                new += [[p[0] for p in places], [p[1] for p in places]]
+                new += character_offsets(batch.column(text), token_bytes(ids, shared.offsets), cuts)
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(f.name) for f in kept], *[_lists(v, pa.int32()) for v in new]], names=[*[f.name for f in kept], *added]
+                [*[batch.column(f.name) for f in kept], *[_lists(v, cuts) for v in new]], names=[*[f.name for f in kept], *added]
             )
 
     return rows.mapInArrow(encoded, schema)
 
 
-def _id_rows(column: pa.Array) -> list[np.ndarray | None]:
-    """The ids of each row; None for a null row or one with a null id."""
-    return [
-        None if not row.is_valid or row.values.null_count else row.values.to_numpy(zero_copy_only=False).astype(np.int64)
-        for row in column
-    ]
-
-
 def decode(encoded: DataFrame, vocabulary: Broadcast[Vocabulary], ids: str = "ids", pieces: bool = False) -> DataFrame:
     """All rows and columns with decoded (the bytes) and decoded_text, and with ``pieces`` the text that each token adds.
 
@@ -251,11 +249,10 @@ def decode(encoded: DataFrame, vocabulary: Broadcast[Vocabulary], ids: str = "id
     def decoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = vocabulary.value
         for batch in batches:
-            lists = _id_rows(batch.column(ids))
-            data = [None if i is None else decode_ids(i, shared) for i in lists]
+            data, sizes = decode_lists(batch.column(ids), shared)
             new = [pa.array(data, pa.binary()), pa.array([None if d is None else d.decode("utf-8", "replace") for d in data], pa.string())]
             if pieces:
-                split = [None if d is None else token_texts(d, token_bytes(i, shared.offsets)) for i, d in zip(lists, data, strict=True)]
+                split = [None if d is None else token_texts(d, n) for d, n in zip(data, sizes, strict=True)]
                 new.append(pa.array(split, pa.list_(pa.string())))
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, *[f.name for f in added]])
 
@@ -265,24 +262,27 @@ def decode(encoded: DataFrame, vocabulary: Broadcast[Vocabulary], ids: str = "id
 def round_trip_digests(encoded: DataFrame, vocabulary: Broadcast[Vocabulary], ids: str = "ids") -> DataFrame:
     """The other columns with n_tokens, ids_sha256 (of the ids as little-endian 32-bit integers) and decoded_sha256.
 
-    Both digests read the ids back: the second is of the bytes they decode to, null where some id has no token.
+    Both digests read the ids back: the second is of the bytes they decode to. Both are null where ids are, or an id has no token.
     """
     rest = [f for f in encoded.drop("n_tokens", "ids_sha256", "decoded_sha256").schema.fields if f.name != ids]
     added = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
 
-    def digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def digested(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = vocabulary.value
         for batch in batches:
-            lists = _id_rows(batch.column(ids))
-            data = [None if i is None else decode_ids(i, shared) for i in lists]
+            lists = batch.column(ids)
+            data, _ = decode_lists(lists, shared)
+            raw = memoryview(pc.list_flatten(lists).cast(pa.int32()).to_numpy(zero_copy_only=False).astype("<u4").tobytes())
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy()).tolist()
+            digests = [hashlib.sha256(raw[4 * a : 4 * b]).hexdigest() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     *[batch.column(f.name) for f in rest],
-                    pa.array([None if i is None else len(i) for i in lists], pa.int64()),
-                    pa.array([None if i is None else hashlib.sha256(i.astype("<u4").tobytes()).hexdigest() for i in lists], pa.string()),
+                    pc.list_value_length(lists).cast(pa.int64()),
+                    pa.array([None if d is None else i for i, d in zip(digests, data, strict=True)], pa.string()),
                     pa.array([None if d is None else hashlib.sha256(d).hexdigest() for d in data], pa.string()),
                 ],
                 names=[*[f.name for f in rest], *[f.name for f in added]],
             )
 
-    return encoded.mapInArrow(digests, T.StructType([*rest, *added]))
+    return encoded.mapInArrow(digested, T.StructType([*rest, *added]))
