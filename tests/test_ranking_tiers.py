@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tests import brute
 from waterline.operators import tiers
-from waterline.operators.ranking import number_rows
+from waterline.operators.ranking import number_rows, number_rows_by
 
 
 def test_numbers_in_skewed_groups(spark):
@@ -76,6 +76,75 @@ def test_centers_and_silhouettes(spark):
         assert scores[k] == pytest.approx(brute.silhouette(values, member))
 
 
+@pytest.mark.parametrize("blocks", [1, 7, 40])
+def test_rounds_read_blocks_and_not_the_line(spark, blocks):
+    """With an index of few blocks the centers stay the same, and a round reads no more than a block for every new cut."""
+    rng = random.Random(8)
+    values = [round(rng.gauss(0, 2), 3) for _ in range(4000)] + [0.5, 1.5, 2.5] * 40
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    line = tiers.value_line(df, "v", blocks)
+    index = tiers.LineIndex.of(line)
+    assert 1 <= len(index.first) <= blocks and index.size.sum() == len(set(values))
+    ks = range(3, 9)
+    starts = tiers.quantile_starts(line, len(values), ks, index)
+    found = tiers.lloyd(line, starts, index)
+    for k in ks:
+        centers, _ = brute.kmeans(values, k)
+        assert found[k] == pytest.approx(centers, abs=1e-9)
+    assert len(index.known) > 30
+    assert 0 < index.rows_read <= len(index.known) * index.size.max()
+    if blocks == 40:
+        assert index.rows_read < len(index.known) * len(set(values)) / 20
+
+
+def test_an_index_of_single_values_needs_no_further_read(spark):
+    line = tiers.value_line(spark.range(500).selectExpr("double(id * id % 97) AS v"), "v")
+    index = tiers.LineIndex.of(line)
+    tiers.lloyd(line, tiers.quantile_starts(line, 500, range(2, 6), index), index)
+    assert index.rows_read == 0 and len(index.first) == line.count()
+
+
+def test_block_filters_reach_the_file_reader(spark):
+    index = tiers.LineIndex.of(tiers.value_line(spark.range(3000).selectExpr("double(id) AS v"), "v", 100))
+    some = index.rows_of({3, 4, 50, 98})
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(" in plan and "GreaterThanOrEqual(block,3),LessThanOrEqual(block,4)" in plan
+    assert some.count() == 4 * 30
+
+
+def test_tiers_do_not_depend_on_the_layout(spark):
+    rng = random.Random(12)
+    rows = [(rng.gauss(0, 1) / 3, i) for i in range(900)]
+    order = {i: n for n, (_, i) in enumerate(sorted(rows, reverse=True), 1)}
+    df = spark.createDataFrame([(v, order[i], i) for v, i in rows], "war double, overall_rank int, i int")
+    one, many = (tiers.assign_tiers(df.repartition(n, "i")).select("i", "tier").collect() for n in (1, 13))
+    assert sorted(one) == sorted(many)
+
+
+def test_values_that_are_no_numbers_are_in_no_cluster(spark):
+    rows = [(float(v), r) for r, v in enumerate(range(80, 0, -1), 1)] + [(float("nan"), 81), (float("inf"), 82), (None, 83)]
+    got = {r.overall_rank: r.tier for r in tiers.assign_tiers(spark.createDataFrame(rows, "war double, overall_rank int")).collect()}
+    assert [got[r] for r in range(1, 81)] == brute.tiers([float(v) for v in range(80, 0, -1)])
+    assert len(got) == 83 and None not in got.values()
+
+
+def test_two_numbers_from_one_layout(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice(["hot", "hot", "hot", "a", "b", None]), float(rng.randint(0, 50)), i) for i in range(2500)]
+    df = spark.createDataFrame(rows, "g string, v double, id int")
+    order = [F.col("v").desc(), F.col("id").asc()]
+    numbered = number_rows_by(df, order, {"place": "g", "at": None}, groups=4)
+    got = {r.id: (r.place, r.at) for r in numbered.collect()}
+    seen = {}
+    for at, (g, _, i) in enumerate(sorted(rows, key=lambda r: (-r[1], r[2])), 1):
+        seen[g] = seen.get(g, 0) + 1
+        assert got[i] == (seen[g], at)
+    # The rows themselves are not moved again: what is exchanged are the small tables of counts.
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in plan and "Repartition" not in plan and "Sort" not in plan
+    assert number_rows_by(df.limit(0), order, {"place": "g", "at": None}, groups=4).count() == 0
+
+
 def test_value_line_counts(spark):
     values = [1.0, 5.0, 5.0, 2.0, 9.0, 9.0, 9.0]
     line = tiers.value_line(spark.createDataFrame([(v,) for v in values], "v double"), "v").orderBy("value").collect()

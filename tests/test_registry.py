@@ -12,7 +12,6 @@ from waterline.registry.queries import REGISTRY
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ORACLE = oracle.build()
-ROWS_ONLY = {"tiers_kmeans"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the generated tables")
 
@@ -33,7 +32,7 @@ def comparable(rows, columns, names):
 
 
 def test_registry_is_complete():
-    assert set(REGISTRY) - set(ORACLE) == ROWS_ONLY and not set(ORACLE) - set(REGISTRY)
+    assert set(REGISTRY) == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -48,11 +47,5 @@ def test_query(spark, duck, name):
     assert got
 
 
-def test_kmeans_tiers_cover_the_pool(spark):
-    rows = REGISTRY["tiers_kmeans"](spark, SF).collect()
-    ordered = [r.tier for r in sorted(rows, key=lambda r: r.overall_rank)]
-    assert ordered == sorted(ordered) and min(ordered) == 1
-
-
 def test_entry(spark):
     assert entry(spark).count() > 0

@@ -11,7 +11,7 @@ from waterline.functions.scoring import fantasy_points
 from waterline.functions.text import clean_position, entity_key, position_label, row_id
 from waterline.operators.model import environment, value_scores, yardsticks
 from waterline.operators.pools import pool_ranks
-from waterline.operators.ranking import number_rows
+from waterline.operators.ranking import number_rows_by
 from waterline.schema import Fields
 from waterline.sources.storage import small
 
@@ -100,10 +100,9 @@ def projected_war(pool: DataFrame, env: DataFrame, config: LeagueConfig) -> Data
 
 
 def rank_projections(valued: DataFrame) -> DataFrame:
-    """Add ``pos_rank`` with its label, and ``overall_rank``, by WAR."""
+    """Add ``pos_rank`` with its label, and ``overall_rank``, by WAR; one layout of the rows serves both."""
     best_first = [rank_key(F.col("war")).desc(), F.col("ord").asc()]
-    by_position = number_rows(valued, best_first, "pos_rank", within=["pos"], groups=len(POSITIONS))
-    ranked = number_rows(by_position, best_first, "overall_rank")
+    ranked = number_rows_by(valued, best_first, {"pos_rank": "pos", "overall_rank": None}, len(POSITIONS))
     return ranked.withColumn("pos_rank_label", position_label(F.col("pos_rank"), F.col("pos")))
 
 

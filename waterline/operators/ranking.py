@@ -8,10 +8,13 @@ in earlier partitions is the row number.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waterline.sources.storage import materialise, small
 
@@ -61,6 +64,62 @@ def number_rows(
     )
 
 
+def _running_counts(codes: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """How many rows of its own group each row is, counting on from ``before``, which is updated."""
+    order = np.argsort(codes, kind="stable")
+    sizes = np.bincount(codes, minlength=len(before))
+    starts = np.cumsum(sizes) - sizes
+    numbers = np.empty(len(codes), dtype=np.int64)
+    numbers[order] = np.arange(1, len(codes) + 1) - np.repeat(starts - before, sizes)
+    before += sizes
+    return numbers
+
+
+def number_rows_by(df: DataFrame, order: Sequence[Column], outs: Mapping[str, str | None], groups: int) -> DataFrame:
+    """Several row numbers in one ``order``: ``outs`` names each with the column whose groups it counts in, None for all rows.
+
+    One layout serves them all, the overall order: a task counts every group's rows as they pass in order, and a
+    (piece, group) table of the counts shifts them. ``groups`` is the caller's bound on the groups of a column, so a task
+    holds that many counters and the tables have at most that many rows a piece. Null is a group like others.
+    """
+    width = shuffle_width(df)
+    laid = df.repartitionByRange(width, *order).sortWithinPartitions(*order).withColumn("_piece", F.spark_partition_id())
+    columns = {out: within for out, within in outs.items()}
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = {out: {} for out in columns}
+        before = {out: np.zeros(0, dtype=np.int64) for out in columns}
+        for batch in batches:
+            added = []
+            for out, within in columns.items():
+                if within is None:
+                    codes = np.zeros(batch.num_rows, dtype=np.int64)
+                    seen[out].setdefault(None, 0)
+                else:
+                    coded = batch.column(within).dictionary_encode(null_encoding="encode")
+                    own = [seen[out].setdefault(g, len(seen[out])) for g in coded.dictionary.to_pylist()]
+                    codes = np.array(own, dtype=np.int64)[coded.indices.to_numpy()] if own else np.zeros(0, dtype=np.int64)
+                before[out] = np.pad(before[out], (0, len(seen[out]) - len(before[out])))
+                added.append(pa.array(_running_counts(codes, before[out])))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, *columns])
+
+    schema = T.StructType([*laid.schema.fields, *[T.StructField(out, T.LongType()) for out in columns]])
+    numbered = materialise(laid.mapInArrow(count, schema))
+    for out, within in columns.items():
+        keys = [within] if within else []
+        totals = numbered.groupBy(*keys, "_piece").agg(F.max(out).alias("_n"))
+        earlier = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+        shift = totals.select(
+            F.col("_piece").alias("_at"), *[F.col(k).alias("_group") for k in keys], F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift")
+        )
+        on = F.col("_piece") == F.col("_at")
+        if within:
+            on = on & F.col(within).eqNullSafe(F.col("_group"))
+        numbered = numbered.join(small(shift, width * (groups if within else 1)), on)
+        numbered = numbered.withColumn(out, (F.col(out) + F.col("_shift")).cast("int")).drop("_at", "_group", "_shift")
+    return numbered.drop("_piece")
+
+
 def best_rows(
     df: DataFrame,
     order: Sequence[Column],

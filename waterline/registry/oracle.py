@@ -273,6 +273,55 @@ def projected(select: str, with_history: bool = False) -> str:
     return head + _projected(with_history=with_history) + select
 
 
+TIERS = """
+tline AS MATERIALIZED (
+  SELECT v, count(*) AS n, round(v * 1000000000::DOUBLE)::BIGINT::HUGEINT * count(*) AS units FROM (SELECT round(war, 9) AS v FROM results) GROUP BY v),
+tall AS MATERIALIZED (SELECT list(v ORDER BY v) AS s, count(*) AS n FROM (SELECT round(war, 9) AS v FROM results)),
+tks AS (SELECT unnest(range(least(30, n), least(48, greatest(least(30, n), ceil(sqrt(n) * 2.5)::BIGINT), n) + 1)) AS k, s, n FROM tall),
+tstart AS (
+  SELECT k, list_transform(range(k), lambda i: s[least(n - 1, floor((i::DOUBLE + 0.5::DOUBLE) / k * n)::BIGINT) + 1]) AS cs FROM tks),
+tmove AS (
+  SELECT 0 AS round, k, cs FROM tstart
+  UNION ALL
+  SELECT round + 1, k, list_transform(range(1, k + 1), lambda i: coalesce(means[i], cs[i]))
+  FROM (
+    SELECT round, k, cs, map_from_entries(list((cl, mean))) AS means
+    FROM (
+      SELECT round, k, cs, list_position(list_transform(cs, lambda c: abs(v - c)), list_min(list_transform(cs, lambda c: abs(v - c)))) AS cl,
+             sum(units)::DOUBLE / sum(n)::DOUBLE / 1000000000::DOUBLE AS mean
+      FROM tmove, tline WHERE round < 50 GROUP BY ALL)
+    GROUP BY ALL)),
+tmember AS MATERIALIZED (
+  SELECT k, cs, v, n, list_position(list_transform(cs, lambda c: abs(v - c)), list_min(list_transform(cs, lambda c: abs(v - c)))) AS cl
+  FROM tmove, tline WHERE round = 50),
+tsize AS (SELECT k, cl, sum(n) AS size FROM tmember GROUP BY ALL),
+tfar AS (
+  SELECT a.k, a.v, a.n, a.cl, b.cl AS other, sum(abs(a.v - b.v) * b.n) AS s, sum(b.n) AS m
+  FROM tmember a JOIN tmember b ON a.k = b.k GROUP BY ALL),
+tab AS (
+  SELECT k, v, n, max(s / nullif(m - 1, 0)) FILTER (WHERE cl = other) AS a, min(s / m) FILTER (WHERE cl <> other) AS b FROM tfar GROUP BY k, v, n),
+tscore AS (
+  SELECT k, CASE WHEN min(least) < 2 OR min(filled) < 2 THEN -1 ELSE round(sum(n * (b - a) / greatest(a, b, 0.000001::DOUBLE)) / sum(n), 10) END AS score
+  FROM tab JOIN (SELECT k, min(size) AS least, count(*) AS filled FROM tsize GROUP BY k) USING (k) GROUP BY k),
+tbest AS (SELECT k FROM tscore ORDER BY score DESC, k LIMIT 1),
+ttier AS (
+  SELECT cl, row_number() OVER (ORDER BY c DESC, cl) AS tier
+  FROM (SELECT unnest(cs) AS c, unnest(range(1, k + 1)) AS cl FROM (SELECT DISTINCT k, cs FROM tmember JOIN tbest USING (k)))),
+tused AS (SELECT count(DISTINCT cl) AS used FROM tmember JOIN tbest USING (k)),
+tiered AS (
+  SELECT r.*, CAST(CASE WHEN n.n < 4 THEN 1
+                        WHEN used < least(30, n.n) THEN least(least(30, n.n), floor((overall_rank - 1)::DOUBLE / n.n * least(30, n.n)) + 1)
+                        ELSE tier END AS INTEGER) AS tier
+  FROM results r CROSS JOIN (SELECT n FROM tall) n CROSS JOIN tused
+  JOIN (SELECT v, cl FROM tmember JOIN tbest USING (k)) m ON m.v = round(r.war, 9) JOIN ttier USING (cl))
+"""
+
+
+def tiered(select: str, with_history: bool = False) -> str:
+    """As ``projected``, with the results' tiers found by rounds of k-means, silhouettes from all pairs."""
+    return projected(", " + TIERS + select, with_history).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def _fixed_silhouettes() -> str:
     """Silhouettes of fixed centers, from all pairs."""
     parts = []
@@ -401,14 +450,15 @@ def _templates() -> dict[str, str]:
             SELECT player_key || '-' || pos || '-' || ord AS id, CAST(place AS INTEGER) AS overall_rank,
                    CAST(least({q.BALANCED_TIERS}, floor((place - 1)::DOUBLE / n * {q.BALANCED_TIERS}) + 1) AS INTEGER) AS tier FROM o""",
         "tiers_silhouette_fixed": _fixed_silhouettes(),
+        "tiers_kmeans": tiered("SELECT id, pos, overall_rank, R6[war] AS war, tier FROM tiered"),
         "visible_top": projected(
             f"""SELECT id, player, team, pos, overall_rank, {_r('value')} FROM (
                 SELECT * FROM results WHERE pos IN ('QB', 'TE') AND contains(lower(player || ' ' || team), 'nation_1')
                 ORDER BY value DESC NULLS FIRST, overall_rank LIMIT 400)"""
         ),
-        "ranked_projection_table": projected(
+        "ranked_projection_table": tiered(
             f"""SELECT overall_rank, player, team, pos, pos_rank_label, {_r('war', 'flex_war', 'superflex_war')},
-                {_r('historical_war', 'delta_vs_historical', 'adp', 'value')} FROM results ORDER BY overall_rank LIMIT 400""",
+                {_r('historical_war', 'delta_vs_historical', 'adp', 'value')}, tier FROM tiered ORDER BY overall_rank LIMIT 400""",
             True,
         ),
         "summary_cards": projected(
@@ -496,9 +546,11 @@ def _templates() -> dict[str, str]:
         "manifest_document": """SELECT strftime(max(l_shipdate) - INTERVAL 2 HOUR, '%Y-%m-%d %H:%M:%S') AS updated_at,
             CAST(NULL AS INTEGER) AS season_year, CAST(min(year(l_shipdate)) AS INTEGER) AS historical_start_year,
             CAST(max(year(l_shipdate)) AS INTEGER) AS historical_end_year FROM lineitem""",
-        "export_roundtrip": projected(
-            f"""SELECT overall_rank, year, player, team, pos_rank_label AS pos_rank, {_r('war', 'historical_war', 'adp')},
-                {_r('adp_discount', 'value', 'avg', 'flex_war')} FROM results"""
+        "export_roundtrip": tiered(
+            f"""SELECT year, overall_rank, player, team, pos, pos_rank_label AS pos_rank, tier,
+                {_r('war', 'historical_war', 'delta_vs_historical', 'adp', 'adp_discount', 'value', 'avg', 'flex_war', 'superflex_war')},
+                CAST(NULL AS DOUBLE) AS fpts FROM tiered""",
+            True,
         ),
         "weekly_roundtrip": history(upto="elig")
         + "SELECT year, week, pos, player, team, R6[fpts + CASE WHEN year = 1996 AND week > 6 THEN 1 ELSE 0 END] "

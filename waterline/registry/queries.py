@@ -251,9 +251,9 @@ def visible_top(spark, sf):
 
 @query
 def ranked_projection_table(spark, sf):
-    shown = series.result_table(valuation(spark, sf, history=True).results)
+    shown = series.result_table(valuation(spark, sf, history=True, tiers=True).results)
     columns = ("overall_rank", "player", "team", "pos", "pos_rank_label", "war", "flex_war", "superflex_war")
-    return rounded(shown, *columns, "historical_war", "delta_vs_historical", "adp", "value")
+    return rounded(shown, *columns, "historical_war", "delta_vs_historical", "adp", "value", "tier")
 
 
 @query
@@ -452,17 +452,12 @@ def manifest_document(spark, sf):
 @query
 def export_roundtrip(spark, sf):
     path = scratch_path(spark, "export")
-    found = valuation(spark, sf).results.withColumn("tier", F.lit(1))
-    sinks.export_results(found, path)
+    sinks.export_results(valuation(spark, sf, history=True, tiers=True).results, path)
     back = tables.read_csv(spark, path)
-    doubles = ("WAR", "Historical WAR", "ADP", "ADP Discount", "Value", "AVG", "Flex WAR")
+    kinds = {"Year": "int", "Overall Rank": "int", "Tier": "int", "Player": "string", "Team": "string", "Pos": "string", "Pos Rank": "string"}
     return rounded(
-        back.select(
-            F.col("Overall Rank").cast("int").alias("overall_rank"), F.col("Year").cast("int").alias("year"),
-            F.col("Player").alias("player"), F.col("Team").alias("team"), F.col("Pos Rank").alias("pos_rank"),
-            *[F.col(c).cast("double").alias(c.lower().replace(" ", "_")) for c in doubles],
-        )
-    )
+        back.select(*[F.col(c).cast(kinds.get(c, "double")).alias(c.lower().replace(" ", "_")) for c, _ in sinks.EXPORT_COLUMNS])
+    )
 
 
 @query
