@@ -19,10 +19,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waterline.llm import arrowtext
+from waterline.operators.ranking import best_rows
 from waterline.sources.storage import materialise, small
 
 LONGEST = 5
@@ -267,7 +268,7 @@ def collocations(
     """
     dictionary = materialise(parse(documents, text, lang, every))
     found = scored(*frequent_phrases(dictionary, least))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    # The limit reaches the map side, so a language sends its best rows only.
-    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= best)
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    # Numbered in range partitions, so that no language is one task's.
+    ranked = best_rows(found, order, best, ["lang"], "rank")
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
