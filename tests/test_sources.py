@@ -209,3 +209,55 @@ def test_repeated_headers_and_input_order(spark, tmp_path):
         tables.read_csv(spark, str(folder), order="ord").selectExpr("*", "'QB' AS Pos", "YDS AS AVG"), LeagueConfig(teams=1), "ord"
     ).results
     assert results.count() == 120
+
+
+NESTED = """
+<!-- <table id="data"><thead><tr><th>no</th></tr></thead><tbody><tr><td>x</td></tr></tbody></table> -->
+<script>var t = "<table id='data'><tbody>";</script><STYLE>td > b { x: "</td>" }</style>
+<table id="nav"><tr><td>n</td></tr></table>
+<table title="<table id='data'>" id="data"><thead><tr><th>A</th><th>B<!-- th --></th><th>C</th></tr></thead><tbody>
+<tr><td>1</td><td> x <!-- no --> y <table><thead><tr><th>q</th></tr></thead><tbody><tr><td> in </td></tr></tbody></table></td><td>3</td></tr>
+<!-- <tr><td>gone</td></tr> -->
+<tr><td>4<script>"</td>"</script></td><td title="a > b">5</td></tr></tbody></table>
+<table id="data"><tbody><tr><td>second</td></tr></tbody></table>"""
+
+
+def test_tables_inside_cells_comments_and_scripts(spark):
+    pages_of = {
+        1: NESTED, 2: "<table id=data><tbody></tbody></table>", 3: "<p>", 4: None, 5: "<table id=data><thead><tr><th>A</th></tr></thead></table>",
+        6: "<table id='data'><thead><tr><th>A</th></tr></thead><tbody><tr><td>a</tr><tr><td>b", 7: NESTED.replace("<t", "<T").replace("</t", "</T"),
+        8: "<table id=data><thead><tr><th>A</th><th>B</th></tr></thead><tbody>" + "<tr><td>o<table><tr><td>i</td></tr></table></td></tr>" * 200 + "</tbody></table>",
+        9: "a\x01<table id=data></td></tr><thead></tr><tr><th>\x01A</th></tr></thead><tbody></td><tr></td><td>z</td></tr></tbody></table>",
+    }
+    df = spark.createDataFrame(list(pages_of.items()), "page int, html string")
+    problems = {r.page: r.problem for r in pages.parsed_pages(df, ["page"], "html").collect()}
+    assert problems == {1: None, 2: pages.NO_HEAD, 3: pages.NO_TABLE, 4: pages.NO_TABLE, 5: pages.NO_BODY, 6: None, 7: None, 8: None, 9: None}
+    rows = pages.table_rows(df, ["page"], "html").orderBy("page", "row").collect()
+    for page in (1, 7):
+        assert [(r.row, r.cells) for r in rows if r.page == page] == [(0, ["1", "xyqin", "in"]), (2, ["in"]), (3, ["4", "5"])]
+        assert next(r.headers for r in rows if r.page == page) == ["A", "B", "C"]
+    assert [r.cells for r in rows if r.page == 6] == [["a"], ["b"]]
+    assert [(r.row, r.cells) for r in rows if r.page == 8] == [(k, ["i"] if k % 2 else ["oi", "i"]) for k in range(400)]
+    assert [(r.headers, r.cells) for r in rows if r.page == 9] == [(["A"], ["z"])]
+
+
+def test_elements_equal_a_parse_by_a_stack(spark):
+    """Random streams of start and end tags, against counting by hand."""
+    import random
+
+    def by_hand(tokens):
+        depth, starts, spans = 0, [], {}
+        for at, token in enumerate(tokens):
+            if token == "<td>":
+                starts.append(at)
+                depth += 1
+            elif token == "</td>" and starts:
+                spans[starts.pop()] = at
+        text = lambda a, b: "".join(t if t[0] != "<" else "" for t in tokens[a + 1 : b])
+        return [text(a, spans.get(a, len(tokens))) for a, t in enumerate(tokens) if t == "<td>"]
+
+    rng = random.Random(2)
+    streams = [[rng.choice(["<td>", "</td>", "x", "y"]) for _ in range(rng.randint(0, 30))] for _ in range(300)]
+    df = spark.createDataFrame([(k, "".join(s)) for k, s in enumerate(streams)], "k int, html string")
+    got = {r.k: r.c for r in df.select("k", pages._cells(pages.tag_stream(F.col("html")), "td").alias("c")).collect()}
+    assert all(got[k] == by_hand(s) for k, s in enumerate(streams))

@@ -129,8 +129,12 @@ def market(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stat_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stat pages: one per part and year with a table row per month; excluded types get no stat table."""
+    """Stat pages: one per part and year with a table row per month; excluded types get no stat table.
+
+    Every third month's row holds a table in a cell. Comments and scripts hold tables and rows that are none.
+    """
     cell = lambda text: F.concat(F.lit("<td>"), text, F.lit("</td>"))
+    inner = F.lit("<table><thead><tr><th>n</th></tr></thead><tbody><tr><td> in </td></tr></tbody></table>")
     months = (
         weekly(spark, sf_dir)
         .groupBy(F.col("Player").alias("player"), F.col("Year").alias("year"), F.col("Pos").alias("pos"))
@@ -148,7 +152,7 @@ def stat_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("<tr class='r'>\n "),
             cell(m["Week"].cast("string")),
             cell(F.concat(F.lit(" <b> "), m["qty"].cast("string"), F.lit(" </b> "))),
-            cell(F.lit(" a &amp; b ")),
+            cell(F.when(m["Week"] % 3 == 0, F.concat(F.lit(" a &amp; b "), inner)).otherwise(" a &amp; <!-- no --> b ")),
             cell(m["d"]),
             cell(F.lit("surplus")),
             F.lit("</tr>"),
@@ -156,9 +160,10 @@ def stat_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     table_id = F.when(F.col("pos").isin(*PART_POSITIONS.values()), "data").otherwise("other")
     html = F.concat(
-        F.lit("<html><body><table class=\"x\" id=\""), table_id,
+        F.lit("<html><body><!-- <table id=\"data\"><thead><tr><th>no</th></tr></thead><tbody><tr><td>no</td></tr></tbody></table> -->"),
+        F.lit("<script>var t = '<table id=\"data\"><tbody>';</script><table class=\"<table id='data'>\" id=\""), table_id,
         F.lit("\"><thead><tr><th>Week</th><th> QTY </th><th></th><th><span>QTY</span></th></tr></thead><tbody>"),
-        F.array_join(rows, "\n"), F.lit("<tr></tr></tbody></table></body></html>"),
+        F.array_join(rows, "\n<!-- <tr><td>gone</td></tr> -->"), F.lit("<tr></tr></tbody></table></body></html>"),
     )
     return months.select("player", "year", html.alias("html"))
 

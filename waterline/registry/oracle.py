@@ -365,10 +365,16 @@ named AS (
 
 
 def _html(select: str) -> str:
+    """Cells of the stat pages. A row with a table in its third cell has that table's cell as its fourth, and its two rows after it."""
     return f"""WITH {WEEKLY},
-rows AS (SELECT player, year, CAST(row_number() OVER (PARTITION BY player, year ORDER BY week) - 1 AS INTEGER) AS row,
+outer_rows AS (
+  SELECT player, year, week, CAST(row_number() OVER w - 1 + 2 * (count(*) FILTER (WHERE week % 3 = 0) OVER w - (week % 3 = 0)::INT) AS INTEGER) AS row,
          CAST(week AS VARCHAR) AS a, CAST(CAST(rec AS BIGINT) AS VARCHAR) AS b,
-         CAST(round(ints, 1) AS VARCHAR) AS d FROM weekly WHERE pos IN {POSITIONS})
+         CASE WHEN week % 3 = 0 THEN 'a & bnin' ELSE 'a &b' END AS c, CASE WHEN week % 3 = 0 THEN 'in' ELSE CAST(round(ints, 1) AS VARCHAR) END AS d
+  FROM weekly WHERE pos IN {POSITIONS} WINDOW w AS (PARTITION BY player, year ORDER BY week ROWS UNBOUNDED PRECEDING)),
+rows AS (
+  SELECT player, year, row, a, b, c, d FROM outer_rows
+  UNION ALL SELECT player, year, row + 2, 'in', NULL, NULL, NULL FROM outer_rows WHERE week % 3 = 0)
 {select}"""
 
 
@@ -514,12 +520,12 @@ def _templates() -> dict[str, str]:
         "split_number_text": f"WITH {_source_text()} SELECT p_partkey, main, high, low FROM named",
         "html_table_cells": _html(
             " UNION ALL ".join(
-                f"SELECT player, year, row, {i} AS col, '{h}' AS header, {v} AS value FROM rows"
-                for i, (h, v) in enumerate((("Week", "a"), ("QTY", "b"), ("Column", "'a & b'"), ("QTY_1", "d")))
+                f"SELECT player, year, row, {i} AS col, '{h}' AS header, {v} AS value FROM rows WHERE {v} IS NOT NULL"
+                for i, (h, v) in enumerate((("Week", "a"), ("QTY", "b"), ("Column", "c"), ("QTY_1", "d")))
             )
         ),
         "html_table_wide": _html(
-            'SELECT player, year, row, a AS "Week", b AS "QTY", \'a & b\' AS "Column", d AS "QTY_1", '
+            'SELECT player, year, row, a AS "Week", b AS "QTY", c AS "Column", d AS "QTY_1", '
             "CAST(NULL AS VARCHAR) AS absent FROM rows"
         ),
         "ingest_projections": f"""WITH {_source_text()}

@@ -1,4 +1,9 @@
-"""Stat tables out of stored HTML pages."""
+"""Stat tables out of stored HTML pages.
+
+A page is read as a stream of tags: comments, scripts and styles go first, and a mark is set before every real tag, so
+what looks like a tag inside an attribute or a script is none. Elements are then paired by a depth counter over the tags
+of their own name, so a table inside a cell ends itself and not the table around it. All of it is column expressions.
+"""
 
 from __future__ import annotations
 
@@ -13,16 +18,14 @@ from waterline.functions.text import strip
 # Attributes up to the end of a tag; a quoted value may hold any character.
 _REST = r"[^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+>"
 _SOME = r"[^>\"']*?(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*?)*?"
-
-
-def _element(name: str) -> str:
-    return rf"(?is)<{name}\b{_REST}(.*?)</{name}\s*>"
-
-
-# The parts of a page that hold the stat table.
-DATA_TABLE = rf"(?is)<table\b{_SOME}\sid\s*=\s*(?:\"data\"|'data'|data(?=[\s>])){_REST}(.*?)</table\s*>"
-HEAD, BODY, HEADER_CELL, ROW, CELL = map(_element, ("thead", "tbody", "th", "tr", "td"))
-TAG = rf"(?s)</?[A-Za-z!]{_REST}"
+# A character that no text holds, set before every tag, and in the place of what is no text.
+_MARK = "\x01"
+_NEAR = 64
+# Comments, declarations, scripts and styles with all they hold, and tags (group 2).
+_STREAM = rf"(?is)<!--.*?(?:-->|\z)|<[!?][^>]*+>|<(script|style)\b{_REST}.*?(?:</\1\s*>|\z)|(</?[a-z]{_REST})"
+_TAG = rf"(?s){_MARK}(?:</?[A-Za-z]{_REST})?"
+# The table that holds the stats.
+DATA_TABLE = rf"(?is){_MARK}<table\b{_SOME}\sid\s*=\s*(?:\"data\"|'data'|data(?=[\s>])){_REST}"
 # Named references of Latin-1 and of markup; the ampersand comes last and a fixed space stays a space.
 NAMED = {name: chr(code) for name, code in name2codepoint.items() if 160 <= code < 256} | {
     "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " "
@@ -30,10 +33,15 @@ NAMED = {name: chr(code) for name, code in name2codepoint.items() if 160 <= code
 BLANK_HEADER = "Column"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _plain(cell: Column) -> Column:
     """Visible text of a cell: each text node trimmed, tags gone, references undone."""
-    text = F.regexp_replace(cell, rf"\s*{TAG}\s*", "")
-    return strip(F.when(F.contains(text, F.lit("&")), _decoded(text)).otherwise(text))
+    bare = F.regexp_replace(cell, rf"\s*{_TAG}\s*", "")
+    return _let(bare, lambda text: strip(F.when(F.contains(text, F.lit("&")), _decoded(text)).otherwise(text)))
 
 
 def _decoded(text: Column) -> Column:
@@ -58,14 +66,97 @@ def _decoded(text: Column) -> Column:
 
         return char
 
-    text = undo("&[A-Za-z]+[0-9]*;", named, text)
-    text = undo("&#[0-9]{1,8};", numbered(2, 10), text)
-    text = undo("&#[xX][0-9A-Fa-f]{1,7};", numbered(3, 16), text)
-    return F.replace(text, F.lit("&amp;"), F.lit("&"))
+    def numbers(text: Column) -> Column:
+        return _let(undo("&#[0-9]{1,8};", numbered(2, 10), text), lambda t: undo("&#[xX][0-9A-Fa-f]{1,7};", numbered(3, 16), t))
+
+    return F.replace(_let(undo("&[A-Za-z]+[0-9]*;", named, text), numbers), F.lit("&amp;"), F.lit("&"))
+
+
+def tag_stream(html: Column) -> Column:
+    """The page with every tag marked, and without comments, declarations, scripts and styles."""
+    return F.regexp_replace(F.replace(html, F.lit(_MARK), F.lit("")), _STREAM, f"{_MARK}$2")
+
 
+def _pieces(stream: Column, name: str) -> Column:
+    """The stream cut before every tag of a name."""
+    return F.split(stream, rf"(?i)(?={_MARK}</?{name}\b)")
 
-def _cells(source: Column, pattern: str) -> Column:
-    return F.transform(F.regexp_extract_all(source, F.lit(pattern), 1), _plain)
+
+def _kind(piece: Column, name: str) -> Column:
+    """1 for a piece that a start tag begins, -1 for an end tag, 0 for what stands before the first of them."""
+    begins, ends = (F.rlike(piece, F.lit(rf"(?i)^{_MARK}<{slash}{name}\b")) for slash in ("", "/"))
+    return F.when(begins, 1).when(ends, -1).otherwise(0)
+
+
+def _depths(kinds: Column) -> Column:
+    """How many elements are open after each piece's tag; an end tag without a start counts for nothing."""
+    last = lambda acc: F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0))
+    return F.aggregate(kinds, F.array().cast("array<int>"), lambda acc, k: F.concat(acc, F.array(F.greatest(last(acc) + k, F.lit(0)))))
+
+
+def _without_tag(piece: Column) -> Column:
+    return F.regexp_replace(piece, rf"(?s)^{_MARK}<{_REST}", "")
+
+
+def _start(name: str) -> str:
+    return rf"{_MARK}<{name}\b"
+
+
+def elements(stream: Column, name: str) -> Column:
+    """What every element of a name holds, in the order of their start tags; those inside others count as well.
+
+    An element ends at its own end tag, by depth, or with the stream. Where each start tag has an end tag before the next one,
+    one pattern finds them all and nothing needs counting.
+    """
+    flat = F.regexp_extract_all(stream, F.lit(rf"(?is){_start(name)}{_REST}(.*?){_MARK}</{name}\b"), F.lit(1))
+
+    def deep(cut: Column) -> Column:
+        pieces, kinds = cut["pieces"], cut["kinds"]
+        return _let(_depths(kinds), lambda depths: F.array_compact(F.transform(pieces, lambda p, at: held(pieces, kinds, depths, p, at))))
+
+    def held(pieces: Column, kinds: Column, depths: Column, piece: Column, at: Column) -> Column:
+        def end(reach: Column | int) -> Column:
+            return F.nullif(F.array_position(F.slice(depths, at + 2, reach), (depths[at] - 1).cast("int")), F.lit(0))
+
+        ends = F.coalesce(end(_NEAR), end(F.size(depths)), F.lit(0))  # most end soon
+        size = F.when(ends > 0, ends).otherwise(F.size(depths) - at).cast("int")
+        return F.when(kinds[at] == 1, _without_tag(F.array_join(F.slice(pieces, at + 1, size), "")))
+
+    def kinds_of(pieces: Column) -> Column:
+        return F.struct(pieces.alias("pieces"), F.transform(pieces, lambda p: _kind(p, name)).alias("kinds"))
+
+    counted = _let(_let(_pieces(stream, name), kinds_of), deep)
+    return F.when(F.regexp_count(stream, F.lit(f"(?i){_start(name)}")) == F.size(flat), flat).otherwise(counted)
+
+
+def first_element(stream: Column, name: str, start: str | None = None) -> Column:
+    """What the first element of a name holds, or the first whose tag matches ``start``; NULL without one.
+
+    Where it holds another of its name, a fold over the few tags of the name takes pieces from the start tag on while the
+    depth is not back to zero.
+    """
+    opening = start or rf"(?is){_start(name)}{_REST}"
+    flat = rf"{opening}(.*?){_MARK}</{name}\b"
+    found = F.regexp_extract(stream, flat, 1)
+    plain = F.rlike(stream, F.lit(flat)) & ~F.rlike(found, F.lit(f"(?i){_start(name)}"))
+    opening = opening.replace("(?is)", "(?is)^", 1)
+    state = F.struct(F.lit(0).alias("depth"), F.lit(None).cast("string").alias("held"), F.lit(False).alias("over"))
+
+    def step(at: Column, piece: Column) -> Column:
+        begins = at["held"].isNull() & F.rlike(piece, F.lit(opening))
+        inside = at["held"].isNotNull() & ~at["over"]
+        opens, closes = (F.rlike(piece, F.lit(rf"(?i)^{_MARK}<{end}{name}\b")) for end in ("", "/"))
+        depth = F.when(begins, 1).when(inside & opens, at["depth"] + 1).when(inside & closes, at["depth"] - 1).otherwise(at["depth"])
+        over = at["over"] | (inside & (depth == 0))
+        held = F.when(begins, _without_tag(piece)).when(inside & ~over, F.concat(at["held"], piece)).otherwise(at["held"])
+        return F.struct(depth.alias("depth"), held.alias("held"), over.alias("over"))
+
+    counted = F.aggregate(_pieces(stream, name), state, step)["held"]
+    return F.when(plain, found).when(F.rlike(stream, F.lit(opening.replace("^", "", 1))), counted)
+
+
+def _cells(source: Column, name: str) -> Column:
+    return F.transform(elements(source, name), _plain)
 
 
 def unique_headers(headers: Column) -> Column:
@@ -79,24 +170,36 @@ def unique_headers(headers: Column) -> Column:
     return F.transform(named, numbered)
 
 
+#: Why a page holds no stat table that can be read.
+NO_TABLE, NO_HEAD, NO_BODY = "no stat table", "no table head", "no table body"
+
+
+def parsed_pages(pages: DataFrame, keys: Sequence[str], html: str) -> DataFrame:
+    """(keys, headers, rows, problem) of every page: the markup of its rows, or why there are none. One pass without a shuffle."""
+    # A step a projection: what is used more than once is a column and not worked out again.
+    streams = pages.select(*keys, tag_stream(F.col(html)).alias("_stream"))
+    tables = streams.select(*keys, first_element(F.col("_stream"), "table", DATA_TABLE).alias("_table"))
+    parts = tables.select(*keys, "_table", first_element(F.col("_table"), "thead").alias("_head"), first_element(F.col("_table"), "tbody").alias("_body"))
+    problem = (
+        F.when(F.col("_table").isNull(), NO_TABLE).when(F.col("_head").isNull(), NO_HEAD).when(F.col("_body").isNull(), NO_BODY)
+    )
+    rows = F.when(F.col("_head").isNotNull(), elements(F.col("_body"), "tr"))
+    named = parts.select(*keys, _cells(F.col("_head"), "th").alias("_names"), rows.alias("rows"), problem.alias("problem"))
+    return named.select(*keys, unique_headers(F.col("_names")).alias("headers"), "rows", "problem")
+
+
 def table_rows(pages: DataFrame, keys: Sequence[str], html: str) -> DataFrame:
     """Rows (keys, headers, row, cells) of every page that holds a stat table.
 
     One pass over the pages without a shuffle. Rows without cells are dropped, surplus cells are
-    cut to the header count, and a page without a stat table gives no rows.
+    cut to the header count, and a page without a stat table, its head or its body gives no rows (``parsed_pages`` tells why).
+    Rows and cells of a table inside a cell count as rows and cells too, after the ones that hold them.
     """
-    parsed = (
-        pages.filter(F.col(html).rlike(DATA_TABLE))
-        .select(*keys, F.regexp_extract(html, DATA_TABLE, 1).alias("table"))
-        .select(
-            *keys,
-            unique_headers(_cells(F.regexp_extract("table", HEAD, 1), HEADER_CELL)).alias("headers"),
-            F.regexp_extract_all(F.regexp_extract("table", BODY, 1), F.lit(ROW), 1).alias("rows"),
-        )
-    )
-    rows = parsed.select(*keys, "headers", F.posexplode("rows").alias("row", "markup"))
-    cells = rows.select(*keys, "headers", "row", _cells(F.col("markup"), CELL).alias("cells"))
-    return cells.filter(F.size("cells") > 0).withColumn("cells", F.slice("cells", F.lit(1), F.size("headers")))
+    # Cells are found inside the generator, so that dropping empty rows does not parse them again.
+    cells = F.transform("rows", lambda markup, at: F.struct(at.alias("row"), _cells(markup, "td").alias("cells")))
+    found = F.filter(cells, lambda r: F.size(r["cells"]) > 0)
+    rows = parsed_pages(pages, keys, html).select(*keys, "headers", F.inline(found))
+    return rows.withColumn("cells", F.slice("cells", F.lit(1), F.size("headers")))
 
 
 def _filled_headers() -> Column:
