@@ -261,3 +261,59 @@ def test_elements_equal_a_parse_by_a_stack(spark):
     df = spark.createDataFrame([(k, "".join(s)) for k, s in enumerate(streams)], "k int, html string")
     got = {r.k: r.c for r in df.select("k", pages._cells(pages.tag_stream(F.col("html")), "td").alias("c")).collect()}
     assert all(got[k] == by_hand(s) for k, s in enumerate(streams))
+
+
+def weekly_page(rows, head=("Player", "YDS", "FL"), table="data"):
+    cells = lambda tag, row: "<tr>" + "".join(f"<{tag}>{c}</{tag}>" for c in row) + "</tr>"
+    return f"<table id={table}><thead>{cells('th', head)}</thead><tbody>{''.join(cells('td', r) for r in rows)}</tbody></table>"
+
+
+def test_backfill_keeps_bad_pages_aside_and_loads_a_period_after_its_rows(spark, tmp_path, monkeypatch):
+    store = backfill.WeeklyStore(str(tmp_path / "weekly"))
+    grid = backfill.expected_periods(spark, 2020, 2020, last_week=3, positions=("QB", "WR"))
+    page = lambda week, pos, html: (2020, week, pos, "http://x", html)
+    good = [page(1, "qb", weekly_page([("A B (KC)", "1,200", 1), ("C D (NE)", "-", 2)])), page(1, "WR", weekly_page([("E F (SF)", 7, 0)]))]
+    bad = [page(2, "qb", weekly_page([("G H (KC)", 3, 0)])), page(2, "qb", weekly_page([("I J (KC)", 4, 0)], table="other"))]
+    odd = [page(3, "WR", weekly_page([("K", 1)])), page(3, "QB", weekly_page([])), page(2, "WR", weekly_page([("x", 1, 2)], head=("Who", "YDS", "FL")))]
+    frame = lambda rows: spark.createDataFrame(rows, "year int, week int, pos string, url string, page string")
+
+    backfill.backfill_from_pages(frame([*good, *bad, *odd]), store, grid, "a", html="page")
+    got = {(r.week, r.pos, r.Player): r for r in store.weekly(spark).collect()}
+    assert set(got) == {(1, "QB", "A B"), (1, "QB", "C D"), (1, "WR", "E F")}
+    first = got[1, "QB", "A B"]
+    assert (first.Team, first.PassingYDS, first.FL, first.ReceivingYDS) == ("KC", 1200.0, 1.0, None) and got[1, "WR", "E F"].ReceivingYDS == 7.0
+    assert set(store.weekly(spark).columns) == {"year", "week", "pos", "Player", "Team", "PassingYDS", "ReceivingYDS", "FL"}
+    aside = sorted((r.week, r.pos, r.problem) for r in store.quarantine(spark).collect())
+    assert aside == [(2, "QB", pages.NO_TABLE), (2, "WR", backfill.NO_PLAYER), (3, "WR", backfill.SHORT_ROWS)]
+
+    # A run that ends after its rows are written has loaded nothing; the next one replaces them.
+    mended = frame([*good, bad[0], page(2, "qb", weekly_page([("I J (KC)", 4, 0)], head=("Player", "YDS", "G")))])
+    real = backfill.write_weekly
+    monkeypatch.setattr(backfill, "write_weekly", lambda rows, path: (real(rows, path), 1 / 0))
+    with pytest.raises(ZeroDivisionError):
+        backfill.backfill_from_pages(mended, store, grid, "b", html="page")
+    monkeypatch.setattr(backfill, "write_weekly", real)
+    assert store.weekly(spark).count() == 3 and spark.read.parquet(store.rows).count() == 5
+    backfill.backfill_from_pages(mended, store, grid, "c", html="page")
+    rows = {(r.Player, r.PassingYDS, r.G) for r in store.weekly(spark).filter("week = 2").collect()}
+    assert rows == {("G H", 3.0, None), ("I J", 4.0, 0.0)}
+    assert sorted((r.week, r.pos, r.rows, r.run) for r in store.loads(spark).collect()) == [(1, "QB", 2, "a"), (1, "WR", 1, "a"), (2, "QB", 2, "c")]
+    # Nothing is left to do for what is loaded.
+    backfill.backfill_from_pages(mended, store, grid, "d", html="page")
+    assert store.loads(spark).filter("run = 'd'").count() == 0 and store.weekly(spark).count() == 5
+
+
+def test_keys_of_a_page_are_no_stats(spark):
+    df = spark.createDataFrame([(7, 0, "Josh Allen (BUF)", "1,250", "3")], "page int, row int, Player string, YDS string, REC string")
+    weekly = ingest.weekly_table(df, "qb", 2020, 3, keys=("page", "row")).first().asDict()
+    assert weekly == {"Player": "Josh Allen", "Team": "BUF", "Pos": "QB", "Year": 2020, "Week": 3, "page": 7, "row": 0, "PassingYDS": 1250.0, "REC": 3.0}
+    found = ingest.current_projections({"QB": df}, 2026, keys=("page", "row"))
+    assert found.columns[:6] == ["Year", "Player", "Team", "Pos", "page", "row"] and "page High" not in found.columns
+
+
+def test_layouts_are_few(spark, monkeypatch):
+    df = spark.createDataFrame([(k, weekly_page([("a", 1, 2)], head=("Player", f"h{k}", "FL"))) for k in range(4)], "k int, html string")
+    assert pages.stat_frame(df, ["k"], "html").columns == ["k", "row", "Player", "h0", "FL", "h1", "h2", "h3"]
+    monkeypatch.setattr(pages, "MOST_LAYOUTS", 3)
+    with pytest.raises(ValueError):
+        pages.stat_frame(df, ["k"], "html")

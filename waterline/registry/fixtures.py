@@ -23,6 +23,9 @@ SUPERFLEX_LEAGUE = LeagueConfig(weeks=12, start_year=1995, scoring=WEIGHTS, rost
 SMOKE_LEAGUE = LeagueConfig(teams=2, weeks=12, start_year=1995, scoring=WEIGHTS)
 EVENT_LEAGUE = LeagueConfig(weeks=5, start_year=2024, roster=Roster(SUPERFLEX=1))
 POOL_LEAGUE = LeagueConfig(projection_year=1998)
+CLAMPED_LEAGUE = LeagueConfig.clamped(25.7, projection_year=1998)
+# Periods of the stored pages that cannot be read at first, or never.
+BAD_PERIOD, UNNAMED_PERIOD = (1996, 2, "WR"), (1997, 3, "QB")
 DUPLICATE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
 
 
@@ -168,6 +171,65 @@ def stat_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return months.select("player", "year", html.alias("html"))
 
 
+def weekly_pages(spark: SparkSession, sf_dir: str, mended: bool) -> DataFrame:
+    """Stored stat pages (year, week, pos, fetched, html): a period's players, a page for every thousand part numbers.
+
+    One page of ``BAD_PERIOD`` has no stat table unless ``mended``; those of ``UNNAMED_PERIOD`` never name the players.
+    """
+    cell = lambda text: F.concat(F.lit("<td>"), text, F.lit("</td>"))
+    team = F.element_at(F.array(*[F.lit(t) for t in TEXT_TEAMS]), (F.col("key") % len(TEXT_TEAMS) + 1).cast("int"))
+    facts = weekly(spark, sf_dir).filter(F.col("Pos").isin(*PART_POSITIONS.values())).withColumn("key", F.col("Player").cast("int"))
+    row = F.concat(
+        F.lit("<tr>"), cell(F.concat(F.lit("<a href='#'>Part "), "Player", F.lit(" ("), team, F.lit(")</a>"))),
+        cell(F.floor("REC").cast("string")), cell(F.format_number(F.floor("ReceivingYDS"), 0)), cell(F.round("INTS", 1).cast("string")),
+        cell(F.lit("-")), cell(F.lit("1")), F.lit("</tr>"),
+    )
+    part = F.floor(F.col("key") / 1000).alias("part")
+    listed = facts.groupBy(F.col("Year").alias("year"), F.col("Week").alias("week"), F.col("Pos").alias("pos"), part).agg(
+        F.array_sort(F.collect_list(row)).alias("rows")
+    )
+    at = lambda period: (F.col("year") == period[0]) & (F.col("week") == period[1]) & (F.col("pos") == period[2])
+    table_id = F.when(at(BAD_PERIOD) & (F.col("part") == 0) & F.lit(not mended), "datum").otherwise("data")
+    who = F.when(at(UNNAMED_PERIOD), "Who").otherwise("Player")
+    html = F.concat(
+        F.lit("<table id='nav'><tr><td>x</td></tr></table><table id='"), table_id, F.lit("'><thead><tr><th>"), who,
+        F.lit("</th><th>REC</th><th>YDS</th><th>INT</th><th>FL</th><th>G</th></tr></thead><tbody><!-- <tr><td>ad</td></tr> -->"),
+        F.array_join("rows", "\n"), F.lit("</tbody></table>"),
+    )
+    return listed.select("year", "week", F.lower("pos").alias("pos"), F.lit("stored").alias("fetched"), html.alias("html"))
+
+
+def letters(key: str) -> Column:
+    """A number as letters, for keys that keep letters only."""
+    return F.translate(F.col(key).cast("string"), "0123456789", "abcdefghij")
+
+
+def named_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixture P with names in letters, season totals in place of averages, bounds, and positions with digits."""
+    total = F.col("`FPTS/G`") * 17
+    return projections(spark, sf_dir).select(
+        "custkey", F.concat(F.lit("CUSTOMER-"), letters("custkey"), F.lit(" "), "custkey").alias("Name"), "TEAM",
+        F.concat(F.lower("position"), F.lit("7")).alias("position"), total.alias("FPTS"), (total + 17).alias("FPTS High"), (total - 8.5).alias("FPTS Low"),
+    )
+
+
+def market_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored market pages (page, html) of a hundred ranks each."""
+    cell = lambda text: F.concat(F.lit("<td>"), text, F.lit("</td>"))
+    team = F.element_at(F.array(*[F.lit(t) for t in TEXT_TEAMS]), (F.col("custkey") % len(TEXT_TEAMS) + 1).cast("int"))
+    rows = market(spark, sf_dir).select(
+        F.floor(F.col("Rank") / 100).alias("page"),
+        F.concat(
+            F.lit("<tr>"), cell(F.col("Rank").cast("string")),
+            cell(F.concat(F.lit("Customer "), letters("custkey"), F.lit(" "), team, F.lit(" (7)"))),
+            cell(F.lit("RB12")), cell(F.concat(F.col("Rank").cast("string"), F.lit(".5"))), F.lit("</tr>"),
+        ).alias("row"),
+    )
+    head = "<table id=data><thead><tr><th>Rank</th><th>Player Team (Bye)</th><th>POS</th><th>AVG</th></tr></thead><tbody>"
+    html = F.concat(F.lit(head), F.array_join(F.collect_list("row"), ""), F.lit("</tbody></table>"))
+    return rows.groupBy("page").agg(html.alias("html"))
+
+
 def source_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw text cells out of part and lineitem: combined names in five layouts, run-together numbers."""
     totals = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.sum("l_quantity").cast("bigint").alias("q"))

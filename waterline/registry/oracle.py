@@ -378,6 +378,29 @@ rows AS (
 {select}"""
 
 
+def _letters(key: str) -> str:
+    return f"translate(CAST({key} AS VARCHAR), '0123456789', 'abcdefghij')"
+
+
+def _pages_history() -> str:
+    team = "[" + ", ".join(f"'{t}'" for t in fx.TEXT_TEAMS) + f"][CAST(player AS INTEGER) % {len(fx.TEXT_TEAMS)} + 1]"
+    yds = lambda *positions: f"CASE WHEN pos IN {positions} THEN floor(yds) END" if len(positions) > 1 else f"CASE WHEN pos = '{positions[0]}' THEN floor(yds) END"
+    is_period = lambda p: f"(year = {p[0]} AND week = {p[1]} AND pos = '{p[2]}')"
+    bad, unnamed = is_period(fx.BAD_PERIOD), is_period(fx.UNNAMED_PERIOD)
+    return f"""WITH {WEEKLY},
+named AS (SELECT * FROM weekly WHERE pos IN {POSITIONS})
+SELECT year, week, pos, CASE WHEN {bad} THEN 'second' ELSE 'first' END AS run, 'Part ' || player AS player, {team} AS team,
+       {yds("QB")} AS passingyds, {yds("RB")} AS rushingyds, {yds("WR", "TE")} AS receivingyds,
+       floor(rec) AS rec, CASE WHEN pos = 'QB' THEN R6[round(ints, 1)] END AS ints, CAST(NULL AS DOUBLE) AS fl, 1.0::DOUBLE AS g, CAST(NULL AS VARCHAR) AS problem, CAST(NULL AS BIGINT) AS pages
+FROM named WHERE NOT {unnamed}
+UNION ALL
+SELECT year, week, pos, run, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, problem, count(DISTINCT CAST(player AS INTEGER) // 1000) FROM (
+  SELECT *, 'first' AS run, 'no stat table' AS problem FROM named WHERE {bad} AND CAST(player AS INTEGER) < 1000
+  UNION ALL SELECT *, unnest(['first', 'second']), 'no player column' FROM named WHERE {unnamed})
+GROUP BY year, week, pos, run, problem
+"""
+
+
 SEEN = "year BETWEEN {} AND {}"
 
 
@@ -528,6 +551,16 @@ def _templates() -> dict[str, str]:
             'SELECT player, year, row, a AS "Week", b AS "QTY", c AS "Column", d AS "QTY_1", '
             "CAST(NULL AS VARCHAR) AS absent FROM rows"
         ),
+        "backfill_from_pages": _pages_history(),
+        "market_from_pages": f"""WITH {POOL}
+            SELECT CAST(2026 AS INTEGER) AS year, 'Customer ' || {_letters('player_key')} AS player,
+                   [{', '.join(map(repr, fx.TEXT_TEAMS))}][CAST(player_key AS INTEGER) % {len(fx.TEXT_TEAMS)} + 1] AS team,
+                   adp AS adp_rank, 'RB12' AS pos, adp + 0.5 AS adp FROM market""",
+        "named_pool_market": f"""WITH {POOL}
+            SELECT 'customer' || {_letters('ord')} || '-' || pos || '-' || ord AS id, 'customer' || {_letters('ord')} AS player_key,
+                   'CUSTOMER-' || {_letters('ord')} || ' ' || ord AS player, pos, R6[avg * 17] AS fpts, R6[avg * 17 / 18] AS avg,
+                   R6[(avg * 17 + 17) / 18] AS avg_high, R6[(avg * 17 - 8.5::DOUBLE) / 18] AS avg_low, adp + 0.5 AS adp, adp AS adp_rank
+            FROM pool LEFT JOIN market ON market.player_key = pool.player_key""",
         "ingest_projections": f"""WITH {_source_text()}
             SELECT CAST(2026 AS INTEGER) AS "Year", player AS "Player", team AS "Team", pos AS "Pos", CAST(count(*) AS INTEGER) AS n,
                    CASE WHEN pos = 'QB' THEN round(sum(main), 4) + 0.0 END AS passingyds,

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from waterline.config import POSITIONS, LeagueConfig, Roster, Scenarios, ScoringWeights
 from waterline.functions.text import entity_tokens, split_high_low, split_player_team
 from waterline.operators import tiers as tiering
-from waterline.operators.market import normalise_market
+from waterline.operators.market import attach_market, normalise_market
 from waterline.operators.model import pool_model, team_model
 from waterline.operators.pools import pool_ranks, roles
 from waterline.operators.projection import baselines, projection_pool
@@ -22,7 +22,8 @@ from waterline.plans.history import HistoryModel, history_model, scenario_season
 from waterline.plans.valuation import Valuation, value_projections
 from waterline.registry import fixtures as fx
 from waterline.sources import ingest, pages, sinks, tables
-from waterline.sources.backfill import append_rows, expected_periods, missing_periods
+from waterline.sources.backfill import WeeklyStore, append_rows, expected_periods, missing_periods
+from waterline.sources.backfill import backfill_from_pages as fill_from_pages
 from waterline.sources.storage import scratch_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -374,6 +375,39 @@ def html_table_wide(spark, sf):
     return pages.table_columns(fx.stat_pages(spark, sf), ["player", "year"], "html", headers)
 
 
+@query
+def backfill_from_pages(spark, sf):
+    """Two runs over stored pages, one of them mended in between; the weekly rows with their run, and the pages set aside."""
+    store = WeeklyStore(scratch_path(spark, "history"))
+    expected = expected_periods(spark, 1995, 2001, last_week=12)
+    fill_from_pages(fx.weekly_pages(spark, sf, mended=False), store, expected, "first")
+    fill_from_pages(fx.weekly_pages(spark, sf, mended=True), store, expected, "second")
+    rows = store.weekly(spark).join(F.broadcast(store.loads(spark).drop("rows")), ["year", "week", "pos"])  # a row a period of the grid
+    aside = store.quarantine(spark).groupBy("year", "week", "pos", "problem", "run").agg(F.count(F.lit(1)).alias("pages"))
+    stats = ("PassingYDS", "RushingYDS", "ReceivingYDS", "REC", "INTS", "FL", "G")
+    named = rows.select("year", "week", "pos", "run", F.col("Player").alias("player"), F.col("Team").alias("team"), *[F.col(c).alias(c.lower()) for c in stats])
+    return rounded(named.unionByName(aside, allowMissingColumns=True))
+
+
+@query
+def market_from_pages(spark, sf):
+    """Stored market pages to a written market table, read back."""
+    path = scratch_path(spark, "market")
+    cells = pages.stat_frame(fx.market_pages(spark, sf), ["page"], "html").drop("page", "row")
+    sinks.write_table_csv(ingest.market_table(cells, 2026), path)
+    back = tables.read_csv(spark, path)
+    return rounded(back.selectExpr("int(Year) AS year", "Player AS player", "Team AS team", "double(`ADP Rank`) AS adp_rank", "POS AS pos", "double(ADP) AS adp"))
+
+
+@query
+def named_pool_market(spark, sf):
+    """Projections joined to market pages by the letters of names, one side out of the pages' text; season totals per clamped week."""
+    cells = pages.stat_frame(fx.market_pages(spark, sf), ["page"], "html")
+    pool = projection_pool(fx.named_projections(spark, sf), fx.CLAMPED_LEAGUE, "custkey")
+    joined = attach_market(pool, normalise_market(cells))
+    return rounded(joined, "id", "player_key", "player", "pos", "fpts", "avg", "avg_high", "avg_low", "adp", "adp_rank")
+
+
 @query
 def ingest_projections(spark, sf):
     cells = fx.source_text(spark, sf)

@@ -66,13 +66,18 @@ def _split_players(df: DataFrame, column: str, teams: Sequence[str] | None) -> D
     ).drop("_parts")
 
 
-def position_projections(df: DataFrame, pos: str, teams: Sequence[str] | None = TEAM_CODES) -> DataFrame:
-    """One position's projection page: split names, canonical headers, each stat as main/High/Low."""
+def position_projections(
+    df: DataFrame, pos: str, teams: Sequence[str] | None = TEAM_CODES, keys: Sequence[str] = ()
+) -> DataFrame:
+    """One position's projection page: split names, canonical headers, each stat as main/High/Low.
+
+    ``keys`` are columns that tell where a row comes from, as of its page; they are passed through and are no stats.
+    """
     split = _split_players(df, "Player", teams)
-    named = split.withColumnsRenamed(rename_map(pos, split.columns))
-    stats = [c for c in named.columns if c not in ("Player", "Team")]
-    parsed = named.select("Player", "Team", *[split_high_low(F.col(f"`{c}`")).alias(c) for c in stats])
-    columns: list[Column] = [F.col("Player"), F.col("Team"), F.lit(pos.upper()).alias("Pos")]
+    named = split.withColumnsRenamed(rename_map(pos, [c for c in split.columns if c not in keys]))
+    stats = [c for c in named.columns if c not in ("Player", "Team", *keys)]
+    parsed = named.select("Player", "Team", *keys, *[split_high_low(F.col(f"`{c}`")).alias(c) for c in stats])
+    columns: list[Column] = [F.col("Player"), F.col("Team"), F.lit(pos.upper()).alias("Pos"), *[F.col(k) for k in keys]]
     for stat in stats:
         for at, suffix in enumerate(("", " High", " Low"), start=1):
             columns.append(F.try_element_at(F.col(f"`{stat}`"), F.lit(at)).alias(stat + suffix))
@@ -92,9 +97,10 @@ def current_projections(
     year: int,
     excluded: Sequence[str] = EXCLUDED_PLAYERS,
     teams: Sequence[str] | None = TEAM_CODES,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """All positions' projections for a season, without the excluded players."""
-    stacked = union_positions([position_projections(df, pos, teams) for pos, df in pages.items()])
+    stacked = union_positions([position_projections(df, pos, teams, keys) for pos, df in pages.items()])
     kept = stacked.filter(~F.col("Player").isin(*excluded)) if excluded else stacked
     return kept.select(F.lit(year).alias("Year"), "*")
 
@@ -128,10 +134,10 @@ def market_table(df: DataFrame, year: int, teams: Sequence[str] | None = TEAM_CO
 
 
 def weekly_table(df: DataFrame, pos: str, year: Column | int, week: Column | int,
-                 teams: Sequence[str] | None = TEAM_CODES) -> DataFrame:
-    """Weekly stat rows of one position: split names, constant keys, canonical numeric stats."""
+                 teams: Sequence[str] | None = TEAM_CODES, keys: Sequence[str] = ()) -> DataFrame:
+    """Weekly stat rows of one position: split names, constant keys, canonical numeric stats; ``keys`` are passed through."""
     split = _split_players(df, "Player", teams)
-    stats = [c for c in split.columns if c not in ("Player", "Team", "Year", "Week", "Pos")]
+    stats = [c for c in split.columns if c not in ("Player", "Team", "Year", "Week", "Pos", *keys)]
     renames = rename_map(pos, stats)
     as_column = lambda v: v if isinstance(v, Column) else F.lit(v)
     return split.select(
@@ -140,5 +146,6 @@ def weekly_table(df: DataFrame, pos: str, year: Column | int, week: Column | int
         F.lit(pos.upper()).alias("Pos"),
         as_column(year).cast("int").alias("Year"),
         as_column(week).cast("int").alias("Week"),
+        *keys,
         *[to_number(F.col(f"`{c}`").cast("string")).alias(renames.get(c, c)) for c in stats],
     )

@@ -159,6 +159,11 @@ def _cells(source: Column, name: str) -> Column:
     return F.transform(elements(source, name), _plain)
 
 
+def cell_texts(markup: Column) -> Column:
+    """Texts of a row's cells."""
+    return _cells(markup, "td")
+
+
 def unique_headers(headers: Column) -> Column:
     """Blank headers become "Column"; the n-th repeat of a header gets the suffix _n."""
     named = F.transform(headers, lambda h: F.when(h == "", BLANK_HEADER).otherwise(h))
@@ -196,7 +201,7 @@ def table_rows(pages: DataFrame, keys: Sequence[str], html: str) -> DataFrame:
     Rows and cells of a table inside a cell count as rows and cells too, after the ones that hold them.
     """
     # Cells are found inside the generator, so that dropping empty rows does not parse them again.
-    cells = F.transform("rows", lambda markup, at: F.struct(at.alias("row"), _cells(markup, "td").alias("cells")))
+    cells = F.transform("rows", lambda markup, at: F.struct(at.alias("row"), cell_texts(markup).alias("cells")))
     found = F.filter(cells, lambda r: F.size(r["cells"]) > 0)
     rows = parsed_pages(pages, keys, html).select(*keys, "headers", F.inline(found))
     return rows.withColumn("cells", F.slice("cells", F.lit(1), F.size("headers")))
@@ -223,3 +228,21 @@ def table_columns(pages: DataFrame, keys: Sequence[str], html: str, headers: Seq
         return F.get("cells", (F.array_position("headers", F.lit(name)) - 1).cast("int")).alias(name)
 
     return table_rows(pages, keys, html).select(*keys, "row", *[cell(name) for name in headers])
+
+
+#: Different header rows of one set of pages, at most: a site's pages have a few.
+MOST_LAYOUTS = 1000
+
+
+def layouts(rows: DataFrame, by: Sequence[str] = ()) -> list:
+    """The different (by, headers) among rows that have headers; they are counted, and too many are no layouts."""
+    found = rows.filter(F.size("headers") > 0).select(*by, "headers").distinct().limit(MOST_LAYOUTS + 1).collect()
+    if len(found) > MOST_LAYOUTS:
+        raise ValueError(f"the pages have more than {MOST_LAYOUTS} different header rows")
+    return sorted(found)
+
+
+def stat_frame(pages: DataFrame, keys: Sequence[str], html: str) -> DataFrame:
+    """One table (keys, row, a text column for every header) of all pages, headers in the order in which layouts bring them."""
+    names = dict.fromkeys(h for layout in layouts(parsed_pages(pages, keys, html)) for h in layout["headers"])
+    return table_columns(pages, keys, html, list(names))
