@@ -199,6 +199,39 @@ def test_many_leagues_keep_the_facts_in_place(spark):
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
 
 
+def test_scans_do_not_grow_with_the_scorings(spark, tmp_path, monkeypatch):
+    from waterline.plans import history
+
+    weekly = spark.createDataFrame(
+        [(p, t, pos, y, w, s) for p, t, pos, y, w, s, _ in random_rows(8) if t == "A"],
+        "Player string, Team string, Pos string, Year int, Week int, REC double",
+    )
+    weekly.write.parquet(str(tmp_path / "facts"))
+    facts = spark.read.parquet(str(tmp_path / "facts"))
+    heads, real = [], history.pool_ranks
+    monkeypatch.setattr(history, "pool_ranks", lambda *a, **k: heads.append(real(*a, **k)) or heads[-1])
+    scans = lambda df: df._jdf.queryExecution().executedPlan().toString().count(f"{tmp_path}/facts")
+    for n in (1, 7):
+        weights = [LeagueConfig().scoring.__class__(rec=k / 4) for k in range(n)]
+        sweep = {f"{k}-{t}": LeagueConfig(teams=t, weeks=5, scoring=w) for k, w in enumerate(weights) for t in (2, 3)}
+        seasons = scenario_seasons(facts, Scenarios(sweep), key="Player")
+        assert scans(seasons) == 1 and scans(heads[-1]) == 1
+        assert {r.scenario for r in seasons.select("scenario").distinct().collect()} == set(sweep)
+
+
+def test_a_single_order_column_needs_no_sort_of_the_facts(spark, tmp_path):
+    from waterline.sources.tables import read_csv
+
+    (tmp_path / "a.csv").write_text("Player,Pos,Year,Week,REC,TD,TD\nP,QB,2020,1,5,1,9\nP,QB,2020,1,7,2,9\nQ,QB,2020,1,7,2,9\n")
+    (tmp_path / "b.csv").write_text("Player,Pos,Year,Week,REC,TD,TD\nP,QB,2020,1,1,0,9\n\nP,QB,2020,2,3,0,9\n")
+    read = read_csv(spark, str(tmp_path), multi_line=False, order="ord")
+    assert "TD_1" in read.columns
+    found = history_model(read, LeagueConfig(teams=1, weeks=2), key="Player", order=["ord"])
+    plan = found.seasons._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    assert {(r.player, r.games, r.fpts) for r in found.seasons.collect()} == {("P", 2, 4.0), ("Q", 1, 19.0)}
+
+
 def test_a_repeated_week_needs_an_order(spark):
     rows = [("P", "QB", 2020, 1, 5.0, 1), ("P", "QB", 2020, 1, 9.0, 2)]
     df = spark.createDataFrame(rows, "Player string, Pos string, Year int, Week int, REC double, ord int")

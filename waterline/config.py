@@ -21,7 +21,7 @@ MAX_CURVE_RANK = 250
 TABLE_ROWS = 400
 FIRST_WEEK, LAST_WEEK = 1, 18
 
-SCENARIO = "scenario"
+SCENARIO, SCORING = "scenario", "scoring"
 
 
 def _whole(name: str, value, low: int) -> None:
@@ -145,20 +145,21 @@ class Scenarios:
     def column(self, pick: Callable[[LeagueConfig], float]) -> Column:
         return F.expr(self.sql(pick))
 
+    @property
+    def scorings(self) -> list[ScoringWeights]:
+        """The distinct scorings, numbered by their place."""
+        return list(dict.fromkeys(cfg.scoring for cfg in self.configs.values()))
+
     def expand(self, df: DataFrame) -> DataFrame:
-        """Repeat each row once per scenario (a generator over literals, no join)."""
+        """Repeat each row once per scenario, of its own scoring if it has one (a generator over literals, no join)."""
         if self.single:
             return df
         names = F.array(*[F.lit(name) for name in self.configs])
+        if SCORING in df.columns:
+            own = [[F.lit(n) for n, cfg in self.configs.items() if cfg.scoring == w] for w in self.scorings]
+            names = F.get(F.array(*[F.array(*group) for group in own]), F.col(SCORING))
         return df.select(F.explode(names).alias(SCENARIO), "*")
 
-    def by_scoring(self) -> dict[ScoringWeights, dict[str, LeagueConfig]]:
-        """Group scenarios that share scoring weights, so each weight set is scored once."""
-        groups: dict[ScoringWeights, dict[str, LeagueConfig]] = {}
-        for name, cfg in self.configs.items():
-            groups.setdefault(cfg.scoring, {})[name] = cfg
-        return groups
-
     def labels(self, spark) -> DataFrame:
         """One row per scenario with its roster and scoring label."""
         rows = [(name, cfg.label()) for name, cfg in self.configs.items()]

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waterline.config import MAX_CURVE_RANK, POSITIONS, LeagueConfig, Scenarios, ScoringWeights
+from waterline.config import MAX_CURVE_RANK, POSITIONS, SCORING, LeagueConfig, Scenarios, ScoringWeights
 from waterline.functions.numeric import rank_key
 from waterline.functions.scoring import fantasy_points
 from waterline.functions.text import entity_key, row_id
@@ -22,14 +22,7 @@ REPEATED = "a season holds a week twice; name the columns of the input order"
 TIES = ("player", "team", "player_key")
 
 
-def score_weekly(
-    weekly: DataFrame, weights: ScoringWeights, key: str | None = None, carry: Sequence[str] = ()
-) -> DataFrame:
-    """Typed facts (id, player, team, pos, year, week, fpts) re-scored under ``weights``.
-
-    ``key`` names the entity column; the default is the letters of the player's name. Points are
-    rounded to nine places, so equal scores stay equal whatever order their stats were summed in.
-    """
+def _typed(weekly: DataFrame, key: str | None, carry: Sequence[str], points: Callable[[Fields, Column], Column]) -> DataFrame:
     row = Fields(weekly)
     pos = F.upper(F.coalesce(row.text("pos"), F.lit("")))
     player = row.text("player", "")
@@ -42,11 +35,39 @@ def score_weekly(
         pos.alias("pos"),
         row.whole("year").alias("year"),
         row.whole("week").alias("week"),
-        rank_key(fantasy_points(row, pos, weights)).alias("fpts"),
+        points(row, pos),
         *carry,
     )
 
 
+def score_weekly(
+    weekly: DataFrame, weights: ScoringWeights, key: str | None = None, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Typed facts (id, player, team, pos, year, week, fpts) re-scored under ``weights``.
+
+    ``key`` names the entity column; the default is the letters of the player's name. Points are
+    rounded to nine places, so equal scores stay equal whatever order their stats were summed in.
+    """
+    return _typed(weekly, key, carry, lambda row, pos: rank_key(fantasy_points(row, pos, weights)).alias("fpts"))
+
+
+def score_weekly_each(
+    weekly: DataFrame, scenarios: Scenarios, key: str | None = None, carry: Sequence[str] = ()
+) -> DataFrame:
+    """As ``score_weekly`` under every distinct scoring of ``scenarios`` in one pass: a row each, with ``scoring`` its number.
+
+    A fact carries its points as a short array, which is read off without a shuffle; the facts are scanned once
+    however many scorings there are.
+    """
+
+    def points(row: Fields, pos: Column) -> Column:
+        found = [rank_key(fantasy_points(row, pos, w)).alias("fpts") for w in scenarios.scorings]
+        return F.array(*[F.struct(F.lit(k).alias(SCORING), p) for k, p in enumerate(found)]).alias("_points")
+
+    typed = _typed(weekly, key, carry, points)
+    return typed.select(*[c for c in typed.columns if c != "_points"], F.inline("_points"))
+
+
 def eligible(scored: DataFrame, league: LeagueConfig | Scenarios) -> DataFrame:
     """Rows that count: named entity, one of the four positions, season and week in range, a score.
 
@@ -68,7 +89,8 @@ def last_rows(scored: DataFrame, order: Sequence[str]) -> DataFrame:
     A single numeric order column is the cheapest: its aggregation hashes instead of sorting.
     """
     latest = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    return scored.groupBy(*SEASON, "player_key", "week").agg(F.max_by("fpts", latest).alias("fpts"))
+    scoring = [c for c in (SCORING,) if c in scored.columns]
+    return scored.groupBy(*scoring, *SEASON, "player_key", "week").agg(F.max_by("fpts", latest).alias("fpts"))
 
 
 def season_values(
@@ -80,13 +102,18 @@ def season_values(
     constant per season and position in the shared pools, so the missing weeks are never spelt out.
     ``order`` gives the input order when a season may hold several rows of a week, the last of which
     counts; without it such a season raises an error. With ``weeks`` the (at most 18) valued weeks come along as an array.
+    Facts with a column ``scoring`` meet the leagues of that scoring only.
     """
     scenarios = Scenarios.of(league)
+    scoring = [c for c in (SCORING,) if c in scored.columns]
     facts = last_rows(scored, order) if order else scored
-    facts = facts.select("player_key", *SEASON, "week", "fpts")
+    facts = facts.select(*scoring, "player_key", *SEASON, "week", "fpts")
     # One row per league, season and position. They are written first, so that they can be counted before a broadcast.
-    sticks = materialise(yardsticks(env, [*scenarios.keys, "year"]))
-    valued = value_scores(facts, sticks, ["year"], sticks.count())
+    sticks = yardsticks(env, [*scenarios.keys, "year"])
+    if scoring:
+        sticks = sticks.withColumn(SCORING, scenarios.column(lambda c: scenarios.scorings.index(c.scoring)))
+    sticks = materialise(sticks)
+    valued = value_scores(facts, sticks, [*scoring, "year"], sticks.count())
     if not scenarios.single:
         valued = within_scenario(valued, scenarios)
     aggregates = [

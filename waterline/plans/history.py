@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass
-from functools import cached_property, reduce
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from waterline.config import LeagueConfig, Scenarios
+from waterline.config import SCORING, LeagueConfig, Scenarios
 from waterline.operators.model import environment, mean_team, pool_model, team_model
 from waterline.operators.pools import pool_ranks
-from waterline.operators.season import TIES, eligible, rank_curve, rank_seasons, score_weekly, season_values, top_seasons
+from waterline.operators.season import TIES, eligible, rank_curve, rank_seasons, score_weekly, score_weekly_each, season_values, top_seasons
 from waterline.sources.storage import materialise
 
 
@@ -84,11 +84,7 @@ def history_model(
 def scenario_seasons(
     weekly: DataFrame, scenarios: Scenarios, key: str | None = None, order: Sequence[str] = ()
 ) -> DataFrame:
-    """Season values of every scenario; facts are scored and read once per distinct scoring."""
-    parts = []
-    for weights, configs in scenarios.by_scoring().items():
-        group = Scenarios(configs)
-        facts = eligible(score_weekly(weekly, weights, key, carry=order), group)
-        heads = pool_ranks(facts, group, ties=["id", *order], unique=not order)
-        parts.append(season_values(facts, environment(heads, group), group, order))
-    return reduce(DataFrame.unionByName, parts)
+    """Season values of every scenario. The facts are read for the heads and for the values, whatever number of scorings there is."""
+    facts = eligible(score_weekly_each(weekly, scenarios, key, carry=order), scenarios)
+    heads = pool_ranks(facts, scenarios, (SCORING, "year", "week"), ties=["id", *order], unique=not order)
+    return season_values(facts, environment(heads, scenarios), scenarios, order)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,6 +85,24 @@ def weekly_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Header of the written facts; the second YDS is a surplus column that must not be taken for the first.
+CSV_HEADER = "Player,Team,Pos,Year,Week,REC,YDS,INTS,YDS,FL"
+
+
+def write_weekly_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The facts of ``weekly_duplicates`` as CSV files in input order, each with a header that repeats a name."""
+    facts = weekly_duplicates(spark, sf_dir).orderBy(*DUPLICATE_ORDER)
+    cells = ("Player", "Team", "Pos", "Year", "Week", "REC", "ReceivingYDS", "INTS", "l_orderkey", "FL")
+    lines = facts.select(F.concat_ws(",", *[F.col(c).cast("string") for c in cells]).alias("value"))
+
+    def with_header(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_pydict({"value": [CSV_HEADER]})
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(batch.columns, names=["value"])
+
+    lines.mapInArrow(with_header, "value string").write.text(path)
+
+
 def event_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixture E: scored facts (year, week, id, player, pos, fpts) of users by event type and ISO week."""
     events = table(spark, sf_dir, "events").select(

@@ -452,6 +452,7 @@ def _templates() -> dict[str, str]:
         "season_value": history(upto="seasons") + f"SELECT {SEASON_SELECT} FROM seasons",
         "season_value_superflex": history(sf, "seasons") + f"SELECT {SEASON_SELECT} FROM seasons",
         "season_value_duplicates": _duplicates(),
+        "csv_season_value": _duplicates(),
         "season_weeks_array": history(upto="seasons")
         + "SELECT year, player, team, pos, CAST(week AS INTEGER) AS week, R6[actual] AS fpts, "
         "R6[w_war] AS war FROM valued WHERE actual IS NOT NULL",

@@ -150,6 +150,15 @@ def season_value_duplicates(spark, sf):
     return rounded(found.seasons, *SEASON_COLUMNS)
 
 
+@query
+def csv_season_value(spark, sf):
+    """From written CSV with repeated headers and repeated weeks to season values, the place in the input deciding ties and last rows."""
+    path = scratch_path(spark, "facts")
+    fx.write_weekly_csv(spark, sf, path)
+    read = tables.read_csv(spark, path, multi_line=False, order="ord")
+    return rounded(history_model(read, fx.WEEKLY_LEAGUE, key="Player", order=["ord"]).seasons, *SEASON_COLUMNS)
+
+
 @query
 def season_weeks_array(spark, sf):
     flat = model(spark, sf, weeks=True).seasons.select("year", "player", "team", "pos", F.explode("weeks").alias("w"))
