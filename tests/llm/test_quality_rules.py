@@ -1,6 +1,12 @@
-from helpers import awkward, frame, prose, quality_counts, row, with_clashes
+import os
 
-from waterline.llm.quality_rules import COUNTS, LEAST_ROWS, quality_rules, sketches, thresholds, with_counts
+import pytest
+from helpers import awkward, frame, prose, quality_counts, row, with_clashes, words
+
+from waterline.llm.quality_rules import COUNTS, LEAST_ROWS, RATES, TWO_SIDED, quality_rules, sketches, thresholds, with_counts
+
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the generated tables")
 
 
 def test_counts_equal_brute_force(spark):
@@ -33,6 +39,35 @@ def test_outliers_of_their_own_group_go(spark):
     assert not got.pop(9000) and all(got.values())
 
 
+def rates_of(text):
+    counts = quality_counts(text)
+    return 1000 * sum(not c.isalnum() for w in words(text) for c in w) // counts[1]
+
+
+def test_the_same_text_stays_in_one_source_and_goes_in_another(spark):
+    """Both sources have spread, and the text lies beyond the least distances in both: only their quantiles tell them apart."""
+    marked = lambda seed, every: " ".join(w + ("*" if k % every == 0 else "") for k, w in enumerate(prose(seed, 120)))
+    plain = [row(k, marked(k, 30 - k % 11), "en", "plain") for k in range(120)]
+    noisy = [row(1000 + k, marked(k, 2 + k % 7), "en", "noisy") for k in range(120)]
+    text = marked(7000, 3)
+    least = RATES["marks"][-1]
+    for rows in (plain, noisy):
+        mine = sorted(rates_of(r[1]) for r in rows)
+        assert rates_of(text) > mine[len(mine) // 2] + least and mine[-1] > mine[0]
+    got = {r.doc_id: r.kept for r in quality_rules(frame(spark, [*plain, *noisy, row(5001, text, "en", "plain"), row(5002, text, "en", "noisy")])).collect()}
+    assert not got.pop(5001) and got.pop(5002) and all(got.values())
+
+
+@needs_data
+def test_quantiles_decide_on_the_given_data(spark):
+    """In most groups and rates the sketch, and not the least distance, sets the limit."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    counted = with_counts(docs).filter("n_words >= 10 AND 100 * n_repeat_words <= 20 * n_words")
+    limits = thresholds(sketches(counted, "lang", "source")).collect()
+    halves = [r[f"{n}_high"] - r[f"{n}_low"] > 2 * RATES[n][-1] if n in TWO_SIDED else r[f"{n}_high"] > RATES[n][-1] for r in limits for n in RATES]
+    assert sum(halves) > 0.75 * len(halves)
+
+
 def test_awkward_rows_and_columns(spark):
     df = with_clashes(awkward(spark))
     got = quality_rules(df)

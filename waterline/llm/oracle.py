@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from waterline.llm.licenses import PER_CENT, TEMPLATES, bigrams
-from waterline.llm.quality_rules import LEAST_ROWS, RATES, REACH, TWO_SIDED
 from waterline.llm.sharding import SLACK
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -59,14 +58,22 @@ groups AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1)
 SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN groups USING (doc_id)"""
 
 
+#: Of the adaptive rules: count, of which count, upper per cent, reach, and least distance. Spelt out, so that they are checked.
+_RULES = {
+    "marks": ("_marks", "word_chars", 90, 5, 20),
+    "word_length": ("word_chars", "n_words", 90, 5, 500),
+    "dup_lines": ("n_dup_lines", "_lines", 99, 3, 300),
+    "repeats": ("n_repeat_words", "n_words", 99, 3, 100),
+}
+
+
 def quality_rules_sql() -> str:
-    rates = ", ".join(f"{{'rate': '{n}', 'v': {a} * 1000 // greatest({b}, 1)}}" for n, (a, b, _) in RATES.items())
-    limits = ", ".join(
-        f"max(CASE WHEN rate = '{n}' THEN {f'q1 - greatest({REACH} * (q3 - q1), {least})' if n in TWO_SIDED else '-1'} END) AS {n}_low, "
-        f"max(CASE WHEN rate = '{n}' THEN q3 + greatest({REACH} * (q3 - q1), {least}) END) AS {n}_high"
-        for n, (_, _, least) in RATES.items()
+    rates = ", ".join(f"{{'rate': '{n}', 'v': {a} * 1000 // greatest({b}, 1)}}" for n, (a, b, *_) in _RULES.items())
+    high = " ".join(
+        f"WHEN '{n}' THEN q50 + greatest({reach} * (q{q} - q50), {least})" for n, (_, _, q, reach, least) in _RULES.items()
     )
-    within = " AND ".join(f"({a} * 1000 // greatest({b}, 1)) BETWEEN {n}_low AND {n}_high" for n, (a, b, _) in RATES.items())
+    columns = ", ".join(f"max(low) FILTER (rate = '{n}') AS {n}_low, max(high) FILTER (rate = '{n}') AS {n}_high" for n in _RULES)
+    within = " AND ".join(f"({a} * 1000 // greatest({b}, 1)) BETWEEN {n}_low AND {n}_high" for n, (a, b, *_) in _RULES.items())
     return rf"""
 WITH worded AS (
   SELECT doc_id, lang, source, coalesce(text, '') AS body, {_WORDS} AS w,
@@ -78,26 +85,31 @@ repeated AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY d
 covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM repeated, range(5) AS r(k) GROUP BY 1),
 counted AS (
   SELECT d.doc_id, lang, source, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         length(regexp_replace(array_to_string(w, ''), '[\p{{L}}\p{{N}}\p{{M}}]+', '', 'g')) AS _marks,
          len(regexp_extract_all(body, '[#*$%&|<>]')) AS n_symbols, len(l) AS _lines,
          len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
   FROM worded d LEFT JOIN covered c USING (doc_id)),
 based AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted),
 measured AS (SELECT lang, source, unnest([{rates}], recursive := true) FROM based WHERE NOT base_failed),
 bucketed AS (
-  SELECT lang, source, rate, v - v % (1::BIGINT << greatest(0, length(bin(v)) - 6)) AS bucket, count(*) AS n FROM measured GROUP BY ALL),
+  SELECT lang, source, rate, v - v % (1::BIGINT << greatest(0, length(bin(v)) - 9)) AS bucket, count(*) AS n FROM measured GROUP BY ALL),
 levels AS (
   SELECT level, CASE WHEN level < 2 THEN lang END AS lang, CASE WHEN level < 1 THEN source END AS source, rate, bucket, sum(n) AS n
   FROM bucketed, range(3) AS r(level) GROUP BY ALL),
 running AS (
   SELECT *, sum(n) OVER (PARTITION BY level, lang, source, rate ORDER BY bucket) AS upto,
          sum(n) OVER (PARTITION BY level, lang, source, rate) AS total FROM levels),
-quartiles AS (
-  SELECT level, lang, source, rate, min(bucket) FILTER (upto * 4 >= total) AS q1, min(bucket) FILTER (upto * 4 >= total * 3) AS q3,
-         max(total) AS total FROM running GROUP BY ALL),
-limits AS (SELECT level, lang, source, {limits}, max(total) AS total FROM quartiles GROUP BY level, lang, source),
+quantiles AS (
+  SELECT level, lang, source, rate, min(bucket) FILTER (upto * 100 >= total * 10) AS q10, min(bucket) FILTER (upto * 100 >= total * 50) AS q50,
+         min(bucket) FILTER (upto * 100 >= total * 90) AS q90, min(bucket) FILTER (upto * 100 >= total * 99) AS q99, max(total) AS total
+  FROM running GROUP BY ALL),
+sides AS (
+  SELECT *, CASE WHEN rate <> 'word_length' THEN -1 ELSE q50 - greatest(5 * (q50 - q10), 500) END AS low, CASE rate {high} END AS high
+  FROM quantiles),
+limits AS (SELECT level, lang, source, {columns}, max(total) AS total FROM sides GROUP BY level, lang, source),
 judged AS (
   SELECT b.*, NOT base_failed AND coalesce({within}, true) AS kept
-  FROM based b LEFT JOIN limits l ON (l.total >= {LEAST_ROWS} OR l.level = 2)
+  FROM based b LEFT JOIN limits l ON (l.total >= 50 OR l.level = 2)
        AND (l.level = 2 OR l.lang IS NOT DISTINCT FROM b.lang) AND (l.level > 0 OR l.source IS NOT DISTINCT FROM b.source)
   QUALIFY row_number() OVER (PARTITION BY b.doc_id ORDER BY l.level) = 1)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,

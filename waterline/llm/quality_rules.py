@@ -1,11 +1,11 @@
 """Quality rules whose thresholds follow each language and source.
 
 Every document gets a few counts of its words, lines and symbols. Their rates are summarised for each (lang,
-source) by a mergeable quantile sketch, and a document is rejected if a rate lies far outside
-the quartiles of its own group. All of it is column expressions.
+source) by a mergeable quantile sketch, and a document is rejected if a rate lies far beyond an upper quantile of its own
+group, measured in that quantile's distance from the median. All of it is column expressions.
 
-The sketch is a log-linear histogram: a rate is an integer (thousandths), values below 64 have a bucket each and every
-doubling above has 32, so a quantile is off by at most 1/32 of itself. Counts of buckets add up, so sketches of parts
+The sketch is a log-linear histogram: a rate is an integer (thousandths), values below 512 have a bucket each and every
+doubling above has 256, so a quantile is off by at most 1/256 of itself. Counts of buckets add up, so sketches of parts
 merge into those of the whole, of a language, or of the corpus, exactly and in any order.
 """
 
@@ -21,20 +21,22 @@ SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
-#: Rates in thousandths of the named counts, and the least distance from the quartiles that counts as far.
+#: Rates in thousandths: (count, of which count), the upper quantile in per cent, how many times its distance from the median
+#: is far, and the least distance that is, for groups with next to no spread; in ordinary groups the quantiles decide. Marks are
+#: characters of words that are no letter, digit or combining mark. Lines and words are repeated in few documents of a group, so
+#: their quantile is a high one.
 RATES = {
-    "symbols": ("n_symbols", "n_words", 60),
-    "dup_lines": ("n_dup_lines", "_lines", 500),
-    "repeats": ("n_repeat_words", "n_words", 150),
-    "word_length": ("word_chars", "n_words", 2500),
+    "marks": ("_marks", "word_chars", 90, 5, 20),
+    "word_length": ("word_chars", "n_words", 90, 5, 500),
+    "dup_lines": ("n_dup_lines", "_lines", 99, 3, 300),
+    "repeats": ("n_repeat_words", "n_words", 99, 3, 100),
 }
-#: Rates of which small values are suspect as well.
+#: Rates of which small values are suspect as well, by the lower quantile that mirrors the upper one.
 TWO_SIDED = ("word_length",)
-#: Distance from the quartiles, in interquartile ranges, that is far.
-REACH = 4
 #: Groups of fewer rows borrow the sketch of their language, and small languages that of the corpus.
 LEAST_ROWS = 50
-SUB_BUCKETS = 32
+#: Leading binary digits of a value that its bucket keeps.
+DIGITS = 9
 
 
 def _let(name: str, value: str, body: str) -> str:
@@ -62,7 +64,7 @@ def repeat_words_sql(words: str, hashes: str) -> str:
 
 
 def with_counts(documents: DataFrame, text: str = "text") -> DataFrame:
-    """Add n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and _lines (lines with a word)."""
+    """Add n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, _lines (lines with a word) and _marks."""
     body = documents.withColumns(
         {
             "_body": F.coalesce(F.col(text), F.lit("")),
@@ -75,6 +77,7 @@ def with_counts(documents: DataFrame, text: str = "text") -> DataFrame:
         {
             "n_words": F.expr("bigint(size(_words))"),
             "word_chars": F.expr("bigint(char_length(array_join(_words, '')))"),
+            "_marks": F.expr(r"bigint(char_length(regexp_replace(array_join(_words, ''), '[\\p{L}\\p{N}\\p{M}]+', '')))"),
             "n_symbols": F.expr(f"bigint(octet_length(_body) - octet_length(regexp_replace(_body, '{SYMBOLS}+', '')))"),
             "_lines": F.expr("bigint(size(_all_lines))"),
             "n_dup_lines": F.expr("bigint(size(_all_lines) - size(array_distinct(_all_lines)))"),
@@ -91,13 +94,13 @@ def with_counts(documents: DataFrame, text: str = "text") -> DataFrame:
 
 def bucket_sql(v: str) -> str:
     """The smallest value of the bucket of a non-negative integer."""
-    return f"{v} - {v} % shiftleft(1L, greatest(0, length(bin({v})) - 6))"
+    return f"{v} - {v} % shiftleft(1L, greatest(0, length(bin({v})) - {DIGITS}))"
 
 
 def sketches(counted: DataFrame, lang: str, source: str) -> DataFrame:
     """(lang, source, rate, bucket, n): the sketch of every group's rates, combined before the exchange."""
     entries = ", ".join(
-        f"struct('{name}' AS rate, {a} * 1000 div greatest({b}, 1) AS v)" for name, (a, b, _) in RATES.items()
+        f"struct('{name}' AS rate, {a} * 1000 div greatest({b}, 1) AS v)" for name, (a, b, *_) in RATES.items()
     )
     values = counted.selectExpr(f"string(`{lang}`) AS lang", f"string(`{source}`) AS source", f"inline(array({entries}))")
     return values.groupBy("lang", "source", "rate", F.expr(bucket_sql("v")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
@@ -111,36 +114,35 @@ def thresholds(sketch: DataFrame) -> DataFrame:
     merged = levels.selectExpr(
         "level", "CASE WHEN level < 2 THEN lang END AS lang", "CASE WHEN level < 1 THEN source END AS source", "rate", "bucket", "n"
     ).groupBy("level", "lang", "source", "rate", "bucket").agg(F.sum("n").alias("n"))
-    # A sketch has some hundred buckets at most, so a window over one is small whatever it counts.
+    # A sketch has some thousand buckets at most, so a window over one is small whatever it counts.
     running = merged.selectExpr(
         "*",
         "sum(n) OVER (PARTITION BY level, lang, source, rate ORDER BY bucket) AS upto",
         "sum(n) OVER (PARTITION BY level, lang, source, rate) AS total",
     )
-    quartiles = running.groupBy("level", "lang", "source", "rate").agg(
-        F.expr("min(CASE WHEN upto * 4 >= total THEN bucket END) AS q1"),
-        F.expr("min(CASE WHEN upto * 4 >= total * 3 THEN bucket END) AS q3"),
-        F.max("total").alias("total"),
+    wanted = sorted({50, *(q for _, _, q, _, _ in RATES.values()), *(100 - RATES[name][2] for name in TWO_SIDED)})
+    quantiles = running.groupBy("level", "lang", "source", "rate").agg(
+        *[F.expr(f"min(CASE WHEN upto * 100 >= total * {q} THEN bucket END) AS q{q}") for q in wanted], F.max("total").alias("total")
     )
     sides = []
-    for name, (_, _, least) in RATES.items():
-        far = f"greatest({REACH} * (q3 - q1), {least})"
-        low = f"q1 - {far}" if name in TWO_SIDED else "-1L"
+    for name, (_, _, q, reach, least) in RATES.items():
+        far = lambda gap: f"greatest({reach} * ({gap}), {least})"  # noqa: B023, E731
+        low = f"q50 - {far(f'q50 - q{100 - q}')}" if name in TWO_SIDED else "-1L"
         sides += [
             F.expr(f"max(CASE WHEN rate = '{name}' THEN {low} END) AS {name}_low"),
-            F.expr(f"max(CASE WHEN rate = '{name}' THEN q3 + {far} END) AS {name}_high"),
+            F.expr(f"max(CASE WHEN rate = '{name}' THEN q50 + {far(f'q{q} - q50')} END) AS {name}_high"),
         ]
-    limits = quartiles.groupBy("level", "lang", "source").agg(*sides, F.max("total").alias("total"))
+    limits = quantiles.groupBy("level", "lang", "source").agg(*sides, F.max("total").alias("total"))
     names = [f"{name}_{side}" for name in RATES for side in ("low", "high")]
     # Every group looks at its own limits, its language's and the corpus's, and takes the first with enough rows.
-    wanted = limits.filter("level = 0").selectExpr(
+    looked = limits.filter("level = 0").selectExpr(
         "lang AS _lang",
         "source AS _source",
         "inline(array(struct(0 AS level, lang AS lang, source AS source), "
         "struct(1 AS level, lang AS lang, string(NULL) AS source), "
         "struct(2 AS level, string(NULL) AS lang, string(NULL) AS source)))",
     )
-    found = wanted.alias("w").join(
+    found = looked.alias("w").join(
         limits.alias("l"),
         F.expr("w.level = l.level AND w.lang <=> l.lang AND w.source <=> l.source"),
     )
@@ -163,7 +165,7 @@ def quality_rules(
     their own. Repeated rows count, and are judged, each for itself. Columns of ``documents`` that have the
     name of a result are replaced. An empty table gives an empty result.
     """
-    names = {*COUNTS, "base_failed", "kept", "_lines", "_lang", "_source"}
+    names = {*COUNTS, "base_failed", "kept", "_lines", "_marks", "_lang", "_source"}
     counted = with_counts(documents.drop(*names), text)
     counted = counted.withColumn("base_failed", F.expr("n_words < 10 OR 100 * n_repeat_words > 20 * n_words"))
     counted = materialise(counted if keep_text else counted.drop(text))
@@ -172,7 +174,7 @@ def quality_rules(
     side = small(limits, limits.count())
     on = counted[lang].eqNullSafe(side["_lang"]) & counted[source].eqNullSafe(side["_source"])
     within = " AND ".join(
-        f"({a} * 1000 div greatest({b}, 1)) BETWEEN {name}_low AND {name}_high" for name, (a, b, _) in RATES.items()
+        f"({a} * 1000 div greatest({b}, 1)) BETWEEN {name}_low AND {name}_high" for name, (a, b, *_) in RATES.items()
     )
     judged = counted.join(side, on, "left").withColumn("kept", F.expr(f"NOT base_failed AND coalesce({within}, true)"))
-    return judged.drop(*[f"{name}_{side}" for name in RATES for side in ("low", "high")], "_lang", "_source", "_lines")
+    return judged.drop(*[f"{name}_{side}" for name in RATES for side in ("low", "high")], "_lang", "_source", "_lines", "_marks")
