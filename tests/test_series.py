@@ -55,3 +55,49 @@ def test_sort_text_blank_first(spark):
     df = spark.createDataFrame([("b",), (None,), ("a",)], "team string")
     assert [r.team for r in df.orderBy(*series.sort_columns(df, "team")).collect()] == [None, "a", "b"]
     assert [r.team for r in df.orderBy(*series.sort_columns(df, "team", True)).collect()] == ["b", "a", None]
+
+
+def test_text_goes_by_locale(spark):
+    names = ["Zoe", "zoe", "Émile", "emile", "Emile", "émile", "abe", None, "Abe", "zoë", "Ab e"]
+    df = spark.createDataFrame([(n, k) for k, n in enumerate(names)], "team string, k int")
+    ordered = [None, "Ab e", "abe", "Abe", "emile", "Emile", "émile", "Émile", "zoe", "Zoe", "zoë"]
+    assert [r.team for r in df.orderBy(*series.sort_columns(df, "team")).collect()] == ordered
+    assert [r.team for r in series.place_rows(df.repartition(3), "team", ["k"]).orderBy("place").collect()] == ordered
+    points = [r.team for r in df.orderBy(*series.sort_columns(df, "team", collation=None)).collect()]
+    assert points == [None, *sorted(n for n in names if n)]
+
+
+def scanned_rows(df):
+    """Rows that the file reader gave, after it skipped what it could."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(k).metrics().apply("numOutputRows").value() for k in range(leaves.size()))
+
+
+def test_an_entity_is_found_without_reading_all_seasons(spark, tmp_path, monkeypatch):
+    rows = [(2000 + y, f"P{k}", "T", "QB", f"p{k:05d}", float(k), None, None, 1, 1.0, 1.0, None) for k in range(4000) for y in range(3)]
+    path = str(tmp_path / "seasons")
+    series.store_by_entity(spark.createDataFrame(rows, SCHEMA), path, row_group=200)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        some = [("p00017", "QB"), ("p03999", "QB"), ("p00100", "WR")]
+        found = series.stored_history(spark, path, some)
+        assert [(r.player, r.year) for r in found.collect()] == [(p, y) for p in ("P17", "P3999") for y in (2002, 2001, 2000)]
+        assert 0 < scanned_rows(series.stored_history(spark, path, some)) <= 3 * 2 * 200
+        # A key between others, which no row has, is ruled out by the Bloom filters.
+        assert scanned_rows(series.stored_history(spark, path, [("p00017x", "QB")])) == 0
+        assert series.stored_history(spark, path, []).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_default_trend_reads_the_facts_once(spark, seasons, tmp_path, monkeypatch):
+    seasons.write.parquet(str(tmp_path / "facts"))
+    facts, stored = spark.read.parquet(str(tmp_path / "facts")), []
+    real = series.materialise
+    monkeypatch.setattr(series, "materialise", lambda df: stored.append(df) or real(df))
+    found = series.default_seasons(facts.filter("war > -1"), 2)
+    scans = lambda df: df._jdf.queryExecution().executedPlan().toString().count(f"{tmp_path}/facts")
+    assert scans(found) == 0 and [scans(df) for df in stored] == [1]
+    assert {(r.player, r.pos) for r in found.collect()} == {("Cy D", "RB"), ("Al B", "WR")}
+    assert series.default_seasons(facts.limit(0), 2).count() == 0

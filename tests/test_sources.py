@@ -317,3 +317,27 @@ def test_layouts_are_few(spark, monkeypatch):
     monkeypatch.setattr(pages, "MOST_LAYOUTS", 3)
     with pytest.raises(ValueError):
         pages.stat_frame(df, ["k"], "html")
+
+
+def test_damaged_manifests_have_no_entries(spark, tmp_path):
+    documents = {
+        "a.json": '{"updated_at": "2024-01-02T00:00:00Z",\n "k": "one", "n": 3, "deep": {"x": [1]}, "none": null}', "b.json": '{"updated_at": "2025-01-01T00:00:00Z", "k": "tw',
+        "c.json": "", "d.json": "[1, 2]", "e.json": '{"updated_at": "never", "late": true}',
+    }
+    for name, text in documents.items():
+        (tmp_path / name).write_text(text)
+    found = tables.manifest_entries(spark, str(tmp_path))
+    assert {(r.key, r.value) for r in found.collect()} == {("k", "one"), ("n", "3"), ("deep", '{"x":[1]}'), ("late", "true")}
+    assert found.filter("updated_at IS NULL").count() == 0
+
+
+def test_a_compacted_log_says_the_same(spark, tmp_path):
+    rows = [(f"k{k % 5}", f"v{k}", f"2024-01-{1 + k % 20:02d}") for k in range(60)]
+    log = spark.createDataFrame(rows, "key string, value string, t string").selectExpr("key", "value", "cast(t AS timestamp_ntz) AS updated_at")
+    sinks.append_run_log(log, str(tmp_path / "log"))
+    sinks.compact_run_log(spark, str(tmp_path / "log"), str(tmp_path / "small"))
+    small = spark.read.parquet(str(tmp_path / "small"))
+    key = lambda df: sorted(map(tuple, df.select("key", "value", "updated_at").collect()))
+    assert small.count() == 5 and key(sinks.latest_run_values(small)) == key(sinks.latest_run_values(log, tie_break="value")) == key(small)
+    sinks.append_run_log(log.limit(1).selectExpr("'k0' AS key", "'new' AS value", "timestamp_ntz'2030-01-01' AS updated_at"), str(tmp_path / "small"))
+    assert sinks.latest_run_values(spark.read.parquet(str(tmp_path / "small"))).filter("key = 'k0'").first().value == "new"

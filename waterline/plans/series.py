@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,13 +11,17 @@ from pyspark.sql import types as T
 
 from waterline.config import POSITIONS, TABLE_ROWS
 from waterline.functions.numeric import rank_key
-from waterline.operators.ranking import number_rows
+from waterline.operators.ranking import number_rows, shuffle_width
 from waterline.operators.season import full_curve
-from waterline.sources.storage import small
+from waterline.sources.storage import materialise, small
 
 # Metrics a season trend can show.
 SEASON_METRICS = ("war", "fpts", "avg", "flex_war", "superflex_war")
 DEFAULT_TREND_ENTITIES = 6
+#: Text order of reports: letters first, then accents, then case, by the Unicode root locale.
+TEXT_ORDER = "UNICODE"
+#: Rows of a row group of seasons stored by entity.
+ENTITY_ROW_GROUP = 20_000
 
 
 def visible(results: DataFrame, positions: Sequence[str] = POSITIONS, search: str = "") -> DataFrame:
@@ -28,8 +33,11 @@ def visible(results: DataFrame, positions: Sequence[str] = POSITIONS, search: st
     return rows.filter(F.lower(F.concat_ws(" ", "player", F.coalesce("team", F.lit("")))).contains(wanted))
 
 
-def sort_columns(df: DataFrame, key: str, descending: bool = False, collation: str | None = None) -> list[Column]:
-    """Ordering by any column: missing numbers count as +infinity, missing text as blank."""
+def sort_columns(df: DataFrame, key: str, descending: bool = False, collation: str | None = TEXT_ORDER) -> list[Column]:
+    """Ordering by any column: missing numbers count as +infinity, missing text as blank.
+
+    Text goes by ``collation``, also where the columns make a range layout; None compares code points.
+    """
     if isinstance(df.schema[key].dataType, T.StringType):
         text = F.coalesce(F.col(key), F.lit(""))
         text = F.collate(text, collation) if collation else text
@@ -44,10 +52,18 @@ def result_table(
     sort: str = "overall_rank",
     descending: bool = False,
     rows: int = TABLE_ROWS,
+    collation: str | None = TEXT_ORDER,
 ) -> DataFrame:
     """The first rows of the visible results in the chosen order."""
     shown = visible(results, positions, search)
-    return shown.orderBy(*sort_columns(shown, sort, descending), F.col("overall_rank").asc()).limit(rows)
+    return shown.orderBy(*sort_columns(shown, sort, descending, collation), F.col("overall_rank").asc()).limit(rows)
+
+
+def place_rows(
+    rows: DataFrame, sort: str, ties: Sequence[str], descending: bool = False, out: str = "place", collation: str | None = TEXT_ORDER
+) -> DataFrame:
+    """All rows with their place in the chosen order, for tables of any length; ``ties`` make the order total."""
+    return number_rows(rows, [*sort_columns(rows, sort, descending, collation), *[F.col(t).asc() for t in ties]], out)
 
 
 def summary(results: DataFrame, env: DataFrame) -> DataFrame:
@@ -116,15 +132,20 @@ def token_seasons(seasons: DataFrame, tokens: DataFrame) -> DataFrame:
 
 
 def default_seasons(seasons: DataFrame, entities: int = DEFAULT_TREND_ENTITIES) -> DataFrame:
-    """All seasons of the latest season's best entities, told apart by key and position."""
-    latest = seasons.agg(F.max("year").alias("y"))
+    """All seasons of the latest season's best entities, told apart by key and position.
+
+    The seasons are written once, so that the facts behind them are read once: the latest season, its best and their
+    other seasons all come from the written table.
+    """
+    stored = materialise(seasons)
+    latest = stored.agg(F.max("year")).first()[0]
     best = (
-        seasons.filter(F.col("year") == latest.scalar())
+        stored.filter(F.col("year") == F.lit(latest))
         .orderBy(rank_key(F.col("war")).desc(), "player", "team")
         .limit(entities)
         .select("player_key", "pos")
     )
-    return seasons.join(small(best, entities), ["player_key", "pos"], "left_semi")
+    return stored.join(small(best, entities), ["player_key", "pos"], "left_semi")
 
 
 def entity_trend(
@@ -150,6 +171,28 @@ def entity_history(seasons: DataFrame, chosen: DataFrame, chosen_rows: int) -> D
     return own.orderBy("player_key", "pos", F.col("year").desc(), "team")
 
 
+def store_by_entity(seasons: DataFrame, path: str, row_group: int = ENTITY_ROW_GROUP) -> None:
+    """Write seasons for look-ups of single entities: files by range of ``player_key``, sorted, with Bloom filters of it.
+
+    A reader that knows the keys skips files and row groups by their least and greatest key, and those that the Bloom
+    filter rules out, so a look-up reads a few row groups of ``row_group`` rows and not the table.
+    """
+    laid = seasons.repartitionByRange(shuffle_width(seasons), "player_key", "pos").sortWithinPartitions("player_key", "pos", "year")
+    writer = laid.write.mode("overwrite").option("parquet.bloom.filter.enabled#player_key", "true")
+    writer.option("parquet.bloom.filter.expected.ndv#player_key", row_group).option("parquet.block.row.count.limit", row_group).parquet(path)
+
+
+def stored_history(spark, path: str, entities: Sequence[tuple[str, str]]) -> DataFrame:
+    """``entity_history`` of the (player_key, pos) ``entities`` from a table of ``store_by_entity``; the keys reach the file reader.
+
+    The entities are a user's choice, some at most: each key is a condition of its own, so that it skips by itself.
+    """
+    wanted = [(F.col("player_key") == key) & (F.col("pos") == pos) for key, pos in dict.fromkeys(entities)]
+    rows = spark.read.parquet(path)
+    own = rows.filter(reduce(Column.__or__, wanted)) if wanted else rows.limit(0)
+    return own.orderBy("player_key", "pos", F.col("year").desc(), "team")
+
+
 def newest_season(history: DataFrame) -> DataFrame:
     """Each entity's newest season (the first team by name when it has two)."""
     newest = Window.partitionBy("player_key", "pos").orderBy(F.col("year").desc(), F.col("team").asc())

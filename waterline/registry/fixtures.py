@@ -251,6 +251,14 @@ def market_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("page").agg(html.alias("html"))
 
 
+def mixed_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names of mixed case and with accents; a few are blank or missing."""
+    name = F.when(F.col("p_size") % 5 == 0, F.replace("p_name", F.lit("e"), F.lit("é"))).otherwise(F.col("p_name"))
+    cased = F.when(F.col("p_size") % 3 == 0, F.initcap(name)).when(F.col("p_size") % 3 == 1, F.upper(name)).otherwise(name)
+    rows = table(spark, sf_dir, "part")
+    return rows.select("p_partkey", F.when(F.col("p_partkey") % 97 == 0, F.lit(None)).when(F.col("p_partkey") % 89 == 0, "").otherwise(cased).alias("name"))
+
+
 def source_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw text cells out of part and lineitem: combined names in five layouts, run-together numbers."""
     totals = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.sum("l_quantity").cast("bigint").alias("q"))

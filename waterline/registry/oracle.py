@@ -382,6 +382,22 @@ def _letters(key: str) -> str:
     return f"translate(CAST({key} AS VARCHAR), '0123456789', 'abcdefghij')"
 
 
+def _names() -> str:
+    """Text order by its three levels: letters without accents and case, accents, case with small letters first."""
+    levels = ("strip_accents(lower(t))", "lower(t)", "regexp_replace(regexp_replace(t, '[A-ZÉ]', '1', 'g'), '[^1]', '0', 'g')")
+    up, down = ", ".join(levels), ", ".join(f"{level} DESC" for level in levels)
+    return f"""
+WITH accented AS (SELECT *, CASE WHEN p_size % 5 = 0 THEN replace(p_name, 'e', 'é') ELSE p_name END AS a FROM part),
+cased AS (
+  SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN array_to_string(list_transform(string_split(a, ' '), lambda w: upper(w[1]) || w[2:]), ' ')
+                                    WHEN 1 THEN upper(a) ELSE a END AS c FROM accented),
+named AS (SELECT p_partkey, CASE WHEN p_partkey % 97 = 0 THEN NULL WHEN p_partkey % 89 = 0 THEN '' ELSE c END AS name FROM cased),
+texts AS (SELECT *, coalesce(name, '') AS t FROM named)
+SELECT p_partkey, name, CAST(row_number() OVER (ORDER BY {up}, p_partkey) AS INTEGER) AS place,
+       CAST(row_number() OVER (ORDER BY {down}, p_partkey) AS INTEGER) AS place_down FROM texts
+"""
+
+
 def _pages_history() -> str:
     team = "[" + ", ".join(f"'{t}'" for t in fx.TEXT_TEAMS) + f"][CAST(player AS INTEGER) % {len(fx.TEXT_TEAMS)} + 1]"
     yds = lambda *positions: f"CASE WHEN pos IN {positions} THEN floor(yds) END" if len(positions) > 1 else f"CASE WHEN pos = '{positions[0]}' THEN floor(yds) END"
@@ -481,6 +497,7 @@ def _templates() -> dict[str, str]:
                    CAST(least({q.BALANCED_TIERS}, floor((place - 1)::DOUBLE / n * {q.BALANCED_TIERS}) + 1) AS INTEGER) AS tier FROM o""",
         "tiers_silhouette_fixed": _fixed_silhouettes(),
         "tiers_kmeans": tiered("SELECT id, pos, overall_rank, R6[war] AS war, tier FROM tiered"),
+        "names_by_locale": _names(),
         "visible_top": projected(
             f"""SELECT id, player, team, pos, overall_rank, {_r('value')} FROM (
                 SELECT * FROM results WHERE pos IN ('QB', 'TE') AND contains(lower(player || ' ' || team), 'nation_1')
@@ -583,6 +600,13 @@ def _templates() -> dict[str, str]:
                    CASE WHEN pos <> 'RB' THEN CAST(p_partkey AS DOUBLE) WHEN layout = 4 THEN main END AS "RushingYDS",
                    CAST(p_partkey AS DOUBLE) AS "row" FROM named WHERE pos IN ('QB', 'RB', 'WR', 'TE')""",
         "source_fallbacks": f"""WITH {POOL} SELECT '"' || player || '", Jr.' AS player, 'fallback' AS source, team, pos, {_r('avg')} FROM pool""",
+        "manifest_merge": """WITH d AS (SELECT min(year(l_shipdate)) AS a, max(year(l_shipdate)) AS b, count(*) AS n FROM lineitem)
+            SELECT * FROM (SELECT unnest([
+              {'key': 'adp_scoring', 'value': 'half', 'updated_at': '2024-01-01 00:00:00'},
+              {'key': 'first', 'value': a::VARCHAR, 'updated_at': '2024-03-01 10:00:00'},
+              {'key': 'last', 'value': b::VARCHAR, 'updated_at': '2024-03-01 10:00:00'},
+              {'key': 'rows', 'value': n::VARCHAR, 'updated_at': '2024-03-01 10:00:00'},
+              {'key': 'job', 'value': 'run', 'updated_at': '2024-03-02 00:00:00'}], recursive := true) FROM d)""",
         "manifest_document": """SELECT strftime(max(l_shipdate) - INTERVAL 2 HOUR, '%Y-%m-%d %H:%M:%S') AS updated_at,
             CAST(NULL AS INTEGER) AS season_year, CAST(min(year(l_shipdate)) AS INTEGER) AS historical_start_year,
             CAST(max(year(l_shipdate)) AS INTEGER) AS historical_end_year FROM lineitem""",

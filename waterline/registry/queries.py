@@ -16,7 +16,7 @@ from waterline.operators.market import attach_market, normalise_market
 from waterline.operators.model import pool_model, team_model
 from waterline.operators.pools import pool_ranks, roles
 from waterline.operators.projection import baselines, projection_pool
-from waterline.operators.season import full_curve, wide_curve
+from waterline.operators.season import full_curve, top_seasons, wide_curve
 from waterline.plans import series
 from waterline.plans.history import HistoryModel, history_model, scenario_seasons
 from waterline.plans.valuation import Valuation, value_projections
@@ -259,6 +259,13 @@ def visible_top(spark, sf):
     return rounded(shown, "id", "player", "team", "pos", "overall_rank", "value")
 
 
+@query
+def names_by_locale(spark, sf):
+    """All names of mixed case and accents with their place in text order, either way."""
+    up = series.place_rows(fx.mixed_names(spark, sf), "name", ["p_partkey"])
+    return series.place_rows(up, "name", ["p_partkey"], descending=True, out="place_down").select("p_partkey", "name", "place", "place_down")
+
+
 @query
 def ranked_projection_table(spark, sf):
     shown = series.result_table(valuation(spark, sf, history=True, tiers=True).results)
@@ -318,10 +325,12 @@ def entity_trend_default(spark, sf):
 
 @query
 def entity_season_card(spark, sf):
-    found = model(spark, sf)
-    chosen = found.top(CARD_RANK).select("player_key", "pos").distinct()
-    history = series.entity_history(found.seasons, chosen, CARD_RANK * len(POSITIONS) * 10_000)
-    return rounded(history, *SEASON_COLUMNS)
+    """The best entities' cards, looked up in seasons stored by entity."""
+    found, path = model(spark, sf), scratch_path(spark, "seasons")
+    series.store_by_entity(found.seasons, path)
+    # The best of every season and position, looked up as a user's choice would be.
+    chosen = top_seasons(spark.read.parquet(path), CARD_RANK).select("player_key", "pos").distinct().collect()
+    return rounded(series.stored_history(spark, path, [tuple(r) for r in chosen]), *SEASON_COLUMNS)
 
 
 @query
@@ -492,6 +501,24 @@ def manifest_document(spark, sf):
     return kept.select(stamp, "season_year", "historical_start_year", "historical_end_year")
 
 
+@query
+def manifest_merge(spark, sf):
+    """A good, a damaged and an old manifest document merged with a run's own entries, through a compacted log."""
+    folder, log, compacted = (scratch_path(spark, n) for n in ("documents", "log", "compacted"))
+    facts = fx.table(spark, sf, "lineitem").agg(F.min(F.year("l_shipdate")).alias("first"), F.max(F.year("l_shipdate")).alias("last"), F.count(F.lit(1)).alias("rows"))
+    good = facts.select(F.to_json(F.struct(F.lit("2024-03-01T12:00:00+02:00").alias("updated_at"), "first", "last", "rows")).alias("value"))
+    old = good.select(F.lit('{"updated_at": "2024-01-01T00:00:00Z", "adp_scoring": "half", "rows": 1, "gone": null}').alias("value"))
+    damaged = good.select(F.concat(F.lit('{"updated_at": "2025-01-01T00:00:00Z", "first": 1, '), F.substring("value", 5, 30)).alias("value"))
+    for name, document in (("good", good), ("damaged", damaged), ("old", old)):
+        document.coalesce(1).write.text(f"{folder}/{name}")
+    sinks.append_run_log(tables.manifest_entries(spark, f"{folder}/*/part-*"), log)
+    run = facts.select(F.lit("job").alias("key"), F.lit("run").alias("value"), F.lit("2024-03-02 00:00:00").cast("timestamp_ntz").alias("updated_at"))
+    sinks.append_run_log(run, log)
+    sinks.compact_run_log(spark, log, compacted)
+    merged = sinks.latest_run_values(spark.read.parquet(compacted))
+    return merged.select("key", "value", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss").alias("updated_at"))
+
+
 @query
 def export_roundtrip(spark, sf):
     path = scratch_path(spark, "export")

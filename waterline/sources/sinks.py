@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Export columns in order, as (header, result column).
@@ -56,3 +56,11 @@ def latest_run_values(log: DataFrame, tie_break: str | None = None) -> DataFrame
     return log.groupBy("key").agg(
         F.max_by("value", order).alias("value"), F.max("updated_at").alias("updated_at")
     )
+
+
+def compact_run_log(spark: SparkSession, path: str, compacted: str) -> None:
+    """Write the current value of every key of the log at ``path`` as a new log, whose readers see the same values.
+
+    The old log is left as it is until the caller drops it, so a run that ends early loses nothing.
+    """
+    latest_run_values(spark.read.parquet(path), tie_break="value").write.parquet(compacted)

@@ -110,3 +110,15 @@ def read_weekly_table(spark: SparkSession, path: str) -> DataFrame:
 def manifest_time(manifest: DataFrame) -> DataFrame:
     """Manifest rows with ``updated_at`` as a timestamp, NULL when it cannot be read."""
     return manifest.withColumn("updated_at", F.try_to_timestamp(F.col("updated_at")))
+
+
+def manifest_entries(spark: SparkSession, path: str) -> DataFrame:
+    """(key, value, updated_at) of every manifest document below ``path``, a file each, to go into the run log.
+
+    A document counts as of its own ``updated_at``, or of its file's time without one that can be read. One that is damaged
+    has no entries, and does no harm to the others. Values that are no text come as their JSON text.
+    """
+    documents = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_modification_time").alias("_written"))
+    parsed = documents.select(F.from_json("value", "map<string,string>", {"mode": "PERMISSIVE"}).alias("entries"), "_written")
+    stamp = F.coalesce(F.try_to_timestamp(F.col("entries")["updated_at"]), F.col("_written")).cast("timestamp_ntz")
+    return parsed.select(F.explode("entries").alias("key", "value"), stamp.alias("updated_at")).filter("key <> 'updated_at' AND value IS NOT NULL")
