@@ -1,8 +1,14 @@
+import os
+import re
+
+import numpy as np
 import pytest
 from helpers import awkward, frame, prose, row, with_clashes
 
+from waterline.llm import mixing
 from waterline.llm.mixing import TARGETS, Mix, mixed, mixing_rates
 
+SF = os.environ.get("TEST_LABELS_DIR", "/root/testdata/sf0.1")
 LABELS = "doc_id long, quality int, toxic int"
 
 
@@ -84,3 +90,66 @@ def test_awkward_rows(spark):
     blank = mixing_rates(df, frame(spark, [], LABELS)).collect()
     assert {round(r.p_clean, 4) for r in blank} == {0.3333}
     assert mixing_rates(frame(spark, []), known).count() == 0
+
+
+def plain_features(text, lexicon):
+    """Bins of the statistics and presence of the lexicon's words, by hand."""
+    body = text or ""
+    w = [x for x in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", body.lower()) if x]
+    log = lambda v: 0 if v <= 0 else min(15, v.bit_length())
+    n, size = max(len(w), 1), max(len(body.encode()), 1)
+    bins = [
+        log(len(re.findall(r"[#*$%&|<>!]", body)) * 1000 // n), log(len(re.findall("[A-Z]", body)) * 1000 // size),
+        log(sum(a == b for a, b in zip(w, w[1:], strict=False)) * 1000 // n), log(1000 - len(set(w)) * 1000 // n), log(len(w)),
+        min(111, max(0, sum(map(len, w)) * 8 // n - 16)),
+    ]
+    x = [float(b == v) for b, width in zip(bins, mixing._WIDTHS, strict=True) for v in range(width)]
+    return x + [float(word in w) for word in lexicon]
+
+
+def test_posteriors_equal_a_plain_regression(spark):
+    """The same rows fitted in plain Python by other steps: small gradient steps to the same optimum."""
+    rows, labels = corpus(150)
+    docs, how = frame(spark, rows), Mix(steps=3000)
+    known = mixing.labelled_domains(frame(spark, labels, LABELS), how, mixing.DOMAINS, "doc_id")
+    lexicon = mixing.learned_lexicon(docs.join(known, "doc_id"), 3, how, "text")
+    assert {"vile", "awful"} <= set(lexicon)
+    part = {r.doc_id: (r.domain, r.part) for r in known.selectExpr("doc_id", "domain", f"pmod(xxhash64(doc_id), {how.held}) AS part").collect()}
+    x = {r[0]: np.array([*plain_features(r[1], lexicon), 1.0]) for r in rows}
+    fitted = [(x[i], d) for i, (d, p) in part.items() if p]
+    weights = np.zeros((3, len(x[0])))
+    keep = np.full(len(x[0]), how.penalty)
+    keep[-1] = 0.1
+    for _ in range(6000):
+        gradient = keep * weights
+        for v, d in fitted:
+            e = np.exp(weights @ v - (weights @ v).max())
+            gradient += np.outer(e / e.sum() - np.eye(3)[d], v)
+        weights -= 0.01 * gradient
+        if np.abs(gradient).max() < 1e-5:
+            break
+    held = [(weights @ x[i], d) for i, (d, p) in part.items() if not p]
+    loss = lambda f: sum(-np.log(np.exp(f * z - (f * z).max())[d] / np.exp(f * z - (f * z).max()).sum() + 1e-12) for z, d in held)
+    factor = min((1.25**k for k in range(-12, 7)), key=lambda f: round(loss(f) / len(held), 9))
+    got = mixing_rates(docs, frame(spark, labels, LABELS), how=how).collect()
+    for r in got:
+        z = factor * (weights @ x[r.doc_id])
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert np.abs(p - [r.p_junk, r.p_toxic, r.p_clean]).max() < 2e-3
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="needs the generated tables")
+def test_labels_that_were_not_fitted(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    half = "pmod(xxhash64(doc_id, 7), 2) = {}"
+    scored = mixing_rates(docs, labels.filter(half.format(0)), keep_text=False)
+    domain = "CASE WHEN quality = 0 THEN 0 WHEN toxic = 1 THEN 1 WHEN quality = 1 THEN 2 END AS y"
+    rows = scored.join(labels.filter(half.format(1)), "doc_id").selectExpr(domain, "array(p_junk, p_toxic, p_clean) AS p").dropna().collect()
+    y, p = np.array([r.y for r in rows]), np.array([r.p for r in rows])
+    right = p.argmax(axis=1) == y
+    assert len(y) > 1500 and np.mean([right[y == k].mean() for k in range(3)]) > 0.88
+    assert right[y == 2].mean() > 0.99 and right[y == 0].mean() > 0.95
+    # How sure it says it is, against how often it is right, by tenths.
+    bins = np.minimum((p.max(axis=1) * 10).astype(int), 9)
+    assert sum(abs(right[bins == b].mean() - p.max(axis=1)[bins == b].mean()) * (bins == b).mean() for b in set(bins)) < 0.03
+    assert (p.max(axis=1) > 0.999).mean() < 0.6

@@ -1,13 +1,16 @@
 """Mixing by soft membership: documents get rates that bring expected domain tokens to target weights.
 
-1. A naive Bayes classifier learns domains from the labelled table: which of a learned lexicon's words a text has, and how dense
-   its symbols, capitals and repetitions are. It gives every document a posterior over domains.
+1. A classifier learns domains from the labelled table: which of a learned lexicon's words a text has, and bins of a few
+   statistics of it. It is a multinomial regression with a penalty, so words that come together share their weight and are not
+   counted each for itself, and its posteriors are as soft as documents that were not fitted say. It gives every document a
+   posterior over domains.
 2. Rates r within bounds of the documents minimise sum over domains of (tokens(r) - target)^2 / tokens(1), where tokens(r) of a domain is
    the sum of rate * tokens * posterior. Projected gradient steps, scaled by 1 / tokens of the document, are
    r <- bounded(r - p . v) with v = (tokens(r) - target) / tokens(1). The scaled Hessian has a row-stochastic
    form, so its largest eigenvalue is 1 and the full step never overshoots.
 
-All of it is column expressions. As a step depends on the posterior alone, documents of equal posterior share a rate, and the
+All that touches documents is column expressions; the regression is fitted in the driver to a row for each of the bounded
+labelled ids. As a step depends on the posterior alone, documents of equal posterior share a rate, and the
 iterations run over one row per distinct posterior; between them only one number per domain reaches the driver.
 """
 
@@ -15,8 +18,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
-from math import log
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,13 +30,17 @@ DOMAINS = {"junk": "quality = 0", "toxic": "toxic = 1", "clean": "quality = 1"}
 TARGETS = {"junk": 0.05, "toxic": 0.05, "clean": 0.9}
 
 _SPLIT = r"[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-_BINS = 12
-#: Binned statistics of a text, in thousandths.
+_BINS = 16
+#: Bins of a text's statistics: by doublings of thousandths, and word length in eighths of a letter between two and 16.
 STATISTICS = {
-    "symbols": "_symbols * 1000 div greatest(n_tokens, 1)",
-    "capitals": "_capitals * 1000 div greatest(_bytes, 1)",
-    "repeats": "_repeats * 1000 div greatest(n_tokens, 1)",
+    "symbols": "_log(_symbols * 1000 div greatest(n_tokens, 1))",
+    "capitals": "_log(_capitals * 1000 div greatest(_bytes, 1))",
+    "repeats": "_log(_repeats * 1000 div greatest(n_tokens, 1))",
+    "distinct": "_log(1000 - _distinct * 1000 div greatest(n_tokens, 1))",
+    "length": "_log(n_tokens)",
+    "word_length": "least(111, greatest(0, _letters * 8 div greatest(n_tokens, 1) - 16))",
 }
+_WIDTHS = [112 if name == "word_length" else _BINS for name in STATISTICS]
 
 
 @dataclass(frozen=True)
@@ -47,6 +54,11 @@ class Mix:
     least_chi: float = 40.0
     rounds: int = 60
     tolerance: float = 1e-6
+    #: Of the regression: the penalty on half the squared weights, its gradient steps, and one labelled id in so many, which is not
+    #: fitted but sets how soft the posteriors are.
+    penalty: float = 1.0
+    steps: int = 400
+    held: int = 5
 
 
 def _log_bin(v: str) -> str:
@@ -96,40 +108,78 @@ def featured(documents: DataFrame, lexicon: list[str], text: str) -> DataFrame:
         {
             "n_tokens": F.expr("bigint(size(_words))"),
             "_repeats": F.expr("size(filter(_words, (w, i) -> w = get(_words, i - 1)))"),
+            "_distinct": F.expr("size(array_distinct(_words))"),
+            "_letters": F.expr("char_length(array_join(_words, ''))"),
             "_found": F.array_intersect("_words", listed),
             "_bytes": F.expr("octet_length(_body)"),
             "_symbols": F.expr("octet_length(_body) - octet_length(regexp_replace(_body, '[#*$%&|<>!]+', ''))"),
             "_capitals": F.expr("octet_length(_body) - octet_length(regexp_replace(_body, '[A-Z]+', ''))"),
         }
     )
-    bins = {f"_b{k}": F.expr(_log_bin(f"({v})")) for k, v in enumerate(STATISTICS.values())}
+    bins = {f"_b{k}": F.expr(_log_bin(v[4:]) if v.startswith("_log(") else f"int({v})") for k, v in enumerate(STATISTICS.values())}
     places = F.transform("_found", lambda w: F.array_position(listed, w).cast("int"))
     return body.withColumns(bins | {"_hits": places}).drop(
-        "_words", "_body", "_repeats", "_found", "_bytes", "_symbols", "_capitals"
+        "_words", "_body", "_repeats", "_distinct", "_letters", "_found", "_bytes", "_symbols", "_capitals"
     )
 
 
-def posterior_sql(sample: DataFrame, n_domains: int, lexicon: list[str]) -> list[str]:
-    """SQL of each domain's posterior, from the counts of the labelled sample with add-one smoothing."""
-    n_bins = len(STATISTICS)
-    entries = ", ".join(f"struct({k} AS f, _b{k} AS v)" for k in range(n_bins))
-    seen = sample.selectExpr(
-        "domain", f"inline(concat(array({entries}, struct(-1 AS f, 0 AS v)), transform(_hits, h -> struct({n_bins} AS f, h AS v))))"
+def regression(x: np.ndarray, y: np.ndarray, n_domains: int, penalty: float, steps: int) -> tuple[np.ndarray, np.ndarray]:
+    """Weights (features by domains) and bases of a multinomial regression: the rows' log loss and ``penalty`` / 2 times the squared weights.
+
+    Accelerated gradient steps; the length of a step follows from the largest row.
+    """
+    one = np.eye(n_domains)[y]
+    full = np.hstack([x, np.ones((len(x), 1))])
+    keep = np.append(np.full(x.shape[1], penalty), 0.1)[:, None]
+    pace = 1.0 / (0.5 * np.linalg.norm(full, 2) ** 2 + keep.max()) if len(x) else 1.0
+    w = ahead = np.zeros((full.shape[1], n_domains))
+    for k in range(steps):
+        gradient = full.T @ (softmax(full @ ahead) - one) + keep * ahead
+        w, before = ahead - pace * gradient, w
+        ahead = w + k / (k + 3) * (w - before)
+    return w[:-1], w[-1]
+
+
+def softmax(logits: np.ndarray) -> np.ndarray:
+    e = np.exp(logits - logits.max(axis=1, keepdims=True))
+    return e / e.sum(axis=1, keepdims=True)
+
+
+def softness(logits: np.ndarray, y: np.ndarray) -> float:
+    """The factor on the logits that gives rows which were not fitted the least log loss; 1 without such rows."""
+    if not len(y):
+        return 1.0
+    factors = [1.25**k for k in range(-12, 7)]
+    loss = [-np.log(softmax(f * logits)[np.arange(len(y)), y] + 1e-12).mean() for f in factors]
+    return factors[int(np.argmin(np.round(loss, 9)))]
+
+
+def posterior_sql(sample: DataFrame, n_domains: int, lexicon: list[str], how: Mix, doc_id: str) -> list[str]:
+    """SQL of each domain's logit, from a row for every labelled id; an id in many rows counts with the least of them."""
+    columns = [f"_b{k}" for k in range(len(STATISTICS))]
+    rows = (
+        sample.groupBy(F.col(doc_id).alias("id"))
+        .agg(F.min(F.struct("domain", *columns, "_hits")).alias("row"), F.pmod(F.xxhash64(F.first(doc_id)), F.lit(how.held)).alias("part"))
+        .select("id", "row.*", "part")
+        .orderBy("id")
+        .collect()
     )
-    counts = {(r["domain"], r["f"], r["v"]): r["count"] for r in seen.groupBy("domain", "f", "v").count().collect()}
-    sizes = [counts.get((k, -1, 0), 0) for k in range(n_domains)]
+    at = np.concatenate([[0], np.cumsum([*_WIDTHS, len(lexicon)])])
+    x = np.zeros((len(rows), at[-1]))
+    for k, r in enumerate(rows):
+        x[k, [at[f] + r[c] for f, c in enumerate(columns)]] = 1
+        x[k, [at[-2] + h - 1 for h in r["_hits"]]] = 1
+    y = np.array([r["domain"] for r in rows], dtype=int)
+    held = np.array([r["part"] == 0 for r in rows], dtype=bool)
+    weights, bases = regression(x[~held], y[~held], n_domains, how.penalty, how.steps)
+    factor = softness(x[held] @ weights + bases, y[held])
     logits = []
-    for k in range(n_domains):
-        base = log((sizes[k] + 1) / (sum(sizes) + n_domains))
-        terms = []
-        for f in range(n_bins):
-            table = [log((counts.get((k, f, v), 0) + 1) / (sizes[k] + _BINS)) for v in range(_BINS)]
-            terms.append(f"element_at(array({', '.join(f'{x!r}D' for x in table)}), _b{f} + 1)")
+    for d in range(n_domains):
+        own, base = np.round(weights[:, d] * factor, 9), round(float(bases[d] * factor), 9)
+        listed = [f"array({', '.join(f'{float(v)!r}D' for v in own[a:b])})" for a, b in zip(at[:-1], at[1:], strict=True)]
+        terms = [f"element_at({listed[f]}, {c} + 1)" for f, c in enumerate(columns)]
         if lexicon:
-            present = [(counts.get((k, n_bins, v + 1), 0) + 1) / (sizes[k] + 2) for v in range(len(lexicon))]
-            base += sum(log(1 - p) for p in present)
-            odds = ", ".join(f"{log(p / (1 - p))!r}D" for p in present)
-            terms.append(f"aggregate(_hits, 0D, (a, h) -> a + element_at(array({odds}), h))")
+            terms.append(f"aggregate(_hits, 0D, (a, h) -> a + element_at({listed[-1]}, h))")
         logits.append(f"{base!r}D + " + " + ".join(terms))
     return logits
 
@@ -144,7 +194,7 @@ def with_posteriors(
     lexicon = learned_lexicon(sample, len(names), how, text)
     measured = featured(documents, lexicon, text)
     measured = materialise(measured if keep_text else measured.drop(text))
-    logits = posterior_sql(measured.join(ids, F.col(doc_id) == F.col("_labelled")), len(names), lexicon)
+    logits = posterior_sql(measured.join(ids, F.col(doc_id) == F.col("_labelled")), len(names), lexicon, how, doc_id)
     scored = measured.withColumns({f"_l{k}": F.expr(sql) for k, sql in enumerate(logits)})
     top = f"greatest({', '.join(f'_l{k}' for k in range(len(names)))})"
     scored = scored.withColumns({f"_e{k}": F.expr(f"exp(_l{k} - {top})") for k in range(len(names))})
