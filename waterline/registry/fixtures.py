@@ -220,6 +220,19 @@ def weekly_pages(spark: SparkSession, sf_dir: str, mended: bool) -> DataFrame:
     return listed.select("year", "week", F.lower("pos").alias("pos"), F.lit("stored").alias("fetched"), html.alias("html"))
 
 
+def projection_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored projection pages (pos, page, html) of five hundred part numbers each, in their order."""
+    cell = lambda text: F.concat(F.lit("<td>"), text, F.lit("</td>"))
+    number = cell(F.concat(F.lit("<span>"), "cell", F.lit("</span>")))
+    row = F.concat(F.lit("<tr>"), cell(F.concat(F.lit("<a>"), "text", F.lit("</a>"))), number, number, number, number, F.lit("</tr>"))
+    listed = source_text(spark, sf_dir).groupBy("pos", F.floor(F.col("p_partkey") / 500).alias("page")).agg(
+        F.array_sort(F.collect_list(F.struct("p_partkey", row.alias("row")))).alias("rows")
+    )
+    head = "<table id='data'><thead><tr><th>Player</th><th>YDS</th><th>TDS</th><th>YDS</th><th>FL</th></tr></thead><tbody>"
+    html = F.concat(F.lit(head), F.array_join("rows.row", ""), F.lit("</tbody></table>"))
+    return listed.select("pos", "page", html.alias("html"))
+
+
 def letters(key: str) -> Column:
     """A number as letters, for keys that keep letters only."""
     return F.translate(F.col(key).cast("string"), "0123456789", "abcdefghij")

@@ -574,6 +574,16 @@ def _templates() -> dict[str, str]:
             SELECT CAST(2026 AS INTEGER) AS year, 'Customer ' || {_letters('player_key')} AS player,
                    [{', '.join(map(repr, fx.TEXT_TEAMS))}][CAST(player_key AS INTEGER) % {len(fx.TEXT_TEAMS)} + 1] AS team,
                    adp AS adp_rank, 'RB12' AS pos, adp + 0.5 AS adp FROM market""",
+        "projections_from_pages": f"""WITH {_source_text()},
+            paged AS (
+              SELECT *, p_partkey // 500 AS page, CAST(row_number() OVER (PARTITION BY pos, p_partkey // 500 ORDER BY p_partkey) - 1 AS INTEGER) AS row
+              FROM named WHERE pos IN {POSITIONS})
+            SELECT CAST(2026 AS INTEGER) AS "Year", player AS "Player", team AS "Team", pos AS "Pos", page, row,
+                   CASE WHEN pos = 'QB' THEN main END AS passingyds, main AS rushingyds,
+                   CASE WHEN pos <> 'QB' THEN high END AS receivingyds_high, CASE WHEN pos = 'QB' THEN low END AS passingtd_low,
+                   CASE WHEN pos = 'RB' THEN main END AS rushingtd, CASE WHEN pos IN ('WR', 'TE') THEN main END AS receivingtd,
+                   main AS fl, high AS fl_high
+            FROM paged WHERE player NOT IN ('red widget', 'hot ring')""",
         "named_pool_market": f"""WITH {POOL}
             SELECT 'customer' || {_letters('ord')} || '-' || pos || '-' || ord AS id, 'customer' || {_letters('ord')} AS player_key,
                    'CUSTOMER-' || {_letters('ord')} || ' ' || ord AS player, pos, R6[avg * 17] AS fpts, R6[avg * 17 / 18] AS avg,

@@ -24,7 +24,7 @@ from waterline.registry import fixtures as fx
 from waterline.sources import ingest, pages, sinks, tables
 from waterline.sources.backfill import WeeklyStore, append_rows, expected_periods, missing_periods
 from waterline.sources.backfill import backfill_from_pages as fill_from_pages
-from waterline.sources.storage import scratch_path
+from waterline.sources.storage import materialise, scratch_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -336,8 +336,8 @@ def entity_season_card(spark, sf):
 @query
 def entity_week_grid(spark, sf):
     found = model(spark, sf, weeks=True)
-    chosen = found.top(CARD_RANK).select("player_key", "pos").distinct()
-    history = series.entity_history(found.seasons, chosen, CARD_RANK * len(POSITIONS) * 10_000)
+    chosen = materialise(found.top(CARD_RANK).select("player_key", "pos").distinct())
+    history = series.entity_history(found.seasons, chosen, chosen.count())
     return rounded(series.week_grid(series.newest_season(history), fx.WEEKLY_LEAGUE.weeks))
 
 
@@ -417,6 +417,17 @@ def market_from_pages(spark, sf):
     return rounded(back.selectExpr("int(Year) AS year", "Player AS player", "Team AS team", "double(`ADP Rank`) AS adp_rank", "POS AS pos", "double(ADP) AS adp"))
 
 
+@query
+def projections_from_pages(spark, sf):
+    """Stored projection pages to every position's projections, with the page and row they come from."""
+    stored = materialise(fx.projection_pages(spark, sf))
+    frames = {p: pages.stat_frame(stored.filter(F.col("pos") == p), ["page"], "html") for p in POSITIONS}
+    found = ingest.current_projections(frames, 2026, ("red widget", "hot ring"), keys=("page", "row"))
+    stats = ("PassingYDS", "RushingYDS", "ReceivingYDS High", "PassingTD Low", "RushingTD", "ReceivingTD", "FL", "FL High")
+    named = [F.col(c).alias(c.lower().replace(" ", "_")) for c in stats]
+    return rounded(found.select("Year", "Player", "Team", "Pos", "page", "row", *named))
+
+
 @query
 def named_pool_market(spark, sf):
     """Projections joined to market pages by the letters of names, one side out of the pages' text; season totals per clamped week."""
