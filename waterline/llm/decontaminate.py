@@ -26,6 +26,9 @@ from pyspark.sql import functions as F
 
 from waterline.llm import arrowtext
 
+#: Block entries whose upper bounds are worked on together.
+ENTRIES = 1 << 20
+
 
 @dataclass(frozen=True)
 class Search:
@@ -200,8 +203,14 @@ def _candidates(index: Index, words: np.ndarray, first: np.ndarray) -> Iterator[
     alive &= ~last | (n_cells[row] == 1)
     passages = here[alive]
     bounds = np.searchsorted(cell, np.arange(base[-1] + 1))
-    for start in range(0, len(passages), 512):
-        some = passages[start : start + 512]
+    # Terms of a cell have so many entries in the index of blocks; passages are taken together while they have
+    # about ``ENTRIES`` of them, at most 512.
+    held = np.concatenate([[0], np.cumsum(index.block_begin[term + 1] - index.block_begin[term])])
+    weight = held[bounds[np.minimum(passages + 2 - last[passages], base[-1])]] - held[bounds[passages]]
+    group = np.cumsum(np.maximum(weight, ENTRIES // 512)) // ENTRIES
+    cuts = np.append(np.unique(group, return_index=True)[1], len(passages)).tolist()
+    for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+        some = passages[start:stop]
         queries = [
             np.unique(term[bounds[c] : bounds[c + (1 if last[c] else 2)]]) for c in some
         ]
