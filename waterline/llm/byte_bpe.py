@@ -34,8 +34,8 @@ from waterline.llm import arrowtext
 # A vocabulary goes to every worker; larger files than this are not vocabularies.
 MOST_BYTES = 64 << 20
 # Texts of about so many bytes are cut into parts together, and so many parts are handed to the library at a time.
-SLICE = 1 << 20
-PARTS = 1 << 12
+SLICE = 4 << 20
+PARTS = 1 << 13
 _PLAIN = (np.arange(256) > 0x20) & (np.arange(256) < 0x7F)
 #: First bytes of two-byte characters of which none is white space.
 _LEADS = (np.arange(256) >= 0xC3) & (np.arange(256) < 0xE0)
