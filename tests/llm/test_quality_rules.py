@@ -4,6 +4,7 @@ import pytest
 from helpers import awkward, frame, prose, quality_counts, row, with_clashes, words
 
 from waterline.llm.quality_rules import COUNTS, LEAST_ROWS, RATES, TWO_SIDED, quality_rules, sketches, thresholds, with_counts
+from waterline.sources.storage import materialise
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the generated tables")
@@ -62,8 +63,8 @@ def test_the_same_text_stays_in_one_source_and_goes_in_another(spark):
 def test_quantiles_decide_on_the_given_data(spark):
     """In most groups and rates the sketch, and not the least distance, sets the limit."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    counted = with_counts(docs).filter("n_words >= 10 AND 100 * n_repeat_words <= 20 * n_words")
-    limits = thresholds(sketches(counted, "lang", "source")).collect()
+    counted = materialise(with_counts(docs).drop("text")).filter("n_words >= 10 AND 100 * n_repeat_words <= 20 * n_words")
+    limits = thresholds(materialise(sketches(counted, "lang", "source"))).collect()
     halves = [r[f"{n}_high"] - r[f"{n}_low"] > 2 * RATES[n][-1] if n in TWO_SIDED else r[f"{n}_high"] > RATES[n][-1] for r in limits for n in RATES]
     assert sum(halves) > 0.75 * len(halves)
 
