@@ -112,6 +112,16 @@ def test_block_filters_reach_the_file_reader(spark):
     assert some.count() == 4 * 30
 
 
+def test_many_scattered_blocks_make_few_conditions(spark):
+    index = tiers.LineIndex.of(tiers.value_line(spark.range(4000).selectExpr("double(id) AS v"), "v", 2000))
+    wanted = {b for b in range(0, 2000, 3)} | {1, 400}
+    some = index.rows_of(wanted)
+    assert some._jdf.queryExecution().optimizedPlan().toString().count(">=") <= 2 * tiers.MOST_RANGES
+    assert sorted(r.value for r in some.collect()) == [float(v) for b in sorted(wanted) for v in (2 * b, 2 * b + 1)]
+    starts = tiers.quantile_starts(index.line, 4000, range(30, 33), index)
+    assert starts[31].tolist() == [float(int((i + 0.5) / 31 * 4000)) for i in range(31)]
+
+
 def test_tiers_do_not_depend_on_the_layout(spark):
     rng = random.Random(12)
     rows = [(rng.gauss(0, 1) / 3, i) for i in range(900)]

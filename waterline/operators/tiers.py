@@ -36,6 +36,8 @@ SCORE_DIGITS = 10
 UNIT = 10.0**RANK_DIGITS
 #: Rows of the index that comes to the driver, at most.
 MOST_BLOCKS = 1 << 16
+#: Ranges of blocks in the condition of one read, at most.
+MOST_RANGES = 32
 
 
 def k_range(n: int) -> range:
@@ -165,14 +167,18 @@ class LineIndex:
             self.rows_read += r["rows"]
 
     def rows_of(self, blocks: set[int]) -> DataFrame:
-        """The rows of these blocks: neighbouring ones make ranges, which the file reader skips by."""
-        ranges: list[list[int]] = []
-        for b in sorted(blocks):
-            if ranges and ranges[-1][1] == b - 1:
-                ranges[-1][1] = b
-            else:
-                ranges.append([b, b])
-        return self.line.filter(_balanced_or([F.col("block").between(a, b) for a, b in ranges]))
+        """The rows of these blocks: neighbouring ones make ranges, which the file reader skips by.
+
+        At most ``MOST_RANGES`` ranges, over the smallest gaps; the blocks in those gaps are left out by a look-up. A condition
+        for each of hundreds of blocks would be too long to compile, anew in every round.
+        """
+        order = np.array(sorted(blocks), dtype=np.int64)
+        gaps = np.diff(order)
+        breaks = np.flatnonzero(gaps > 1)
+        widest = breaks[np.argsort(-gaps[breaks], kind="stable")][: MOST_RANGES - 1]
+        ranges = np.split(order, np.sort(widest) + 1)
+        rows = self.line.filter(_balanced_or([F.col("block").between(int(r[0]), int(r[-1])) for r in ranges]))
+        return rows if len(breaks) < MOST_RANGES else rows.filter(F.col("block").isin(order.tolist()))
 
 
 def _clusters(index: LineIndex, centers: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, list[int]]]:
@@ -316,10 +322,11 @@ def quantile_starts(line: DataFrame, n: int, ks: range, index: LineIndex | None
     alone = index.size[holder] == 1
     by_place = dict(zip(places[alone].tolist(), index.first[holder[alone]].tolist(), strict=True))
     if not alone.all():
-        wanted = F.array(*[F.lit(p) for p in places[~alone].tolist()])
-        hits = F.filter(wanted, lambda p: (p >= F.col("n_below")) & (p < F.col("n_below") + F.col("n")))
-        rows = index.rows_of(set(index.block[holder[~alone]].tolist())).select("value", F.explode(hits).alias("at"))
-        by_place |= {r["at"]: r["value"] for r in rows.collect()}
+        asked = list(zip(index.block[holder[~alone]].tolist(), places[~alone].tolist(), strict=True))
+        wanted = line.sparkSession.createDataFrame(asked, "block long, at long")
+        hit = (F.col("at") >= F.col("n_below")) & (F.col("at") < F.col("n_below") + F.col("n"))
+        rows = index.rows_of({b for b, _ in asked}).join(F.broadcast(wanted), "block").filter(hit)  # a row a place
+        by_place |= {r["at"]: r["value"] for r in rows.select("value", "at").collect()}
     return {k: np.array([by_place[p] for p in at]) for k, at in picks.items()}
 
 
