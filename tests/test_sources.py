@@ -311,6 +311,17 @@ def test_keys_of_a_page_are_no_stats(spark):
     assert found.columns[:6] == ["Year", "Player", "Team", "Pos", "page", "row"] and "page High" not in found.columns
 
 
+def test_layouts_come_from_pages_that_are_parsed(spark, monkeypatch):
+    html = "<table id=data><thead><tr><th>a</th><th>b</th></tr></thead><tbody><tr><td>1</td><td>2</td></tr></tbody></table>"
+    asked, real = [], pages.layouts
+    monkeypatch.setattr(pages, "layouts", lambda rows, by=(): asked.append(rows) or real(rows, by))
+    df = spark.createDataFrame([(1, html), (2, html.replace("<th>b", "<th>c")), (3, "none")], "k int, html string")
+    got = pages.stat_frame(df, ["k"], "html")
+    assert [tuple(r) for r in got.orderBy("k").collect()] == [(1, 0, "1", "2", None), (2, 0, "1", None, "2")]
+    plan = asked[0].filter("size(headers) > 0")._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan.lower()
+
+
 def test_layouts_are_few(spark, monkeypatch):
     df = spark.createDataFrame([(k, weekly_page([("a", 1, 2)], head=("Player", f"h{k}", "FL"))) for k in range(4)], "k int, html string")
     assert pages.stat_frame(df, ["k"], "html").columns == ["k", "row", "Player", "h0", "FL", "h1", "h2", "h3"]

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waterline.functions.text import strip
+from waterline.sources.storage import materialise
 
 # Attributes up to the end of a tag; a quoted value may hold any character.
 _REST = r"[^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+>"
@@ -200,10 +201,15 @@ def table_rows(pages: DataFrame, keys: Sequence[str], html: str) -> DataFrame:
     cut to the header count, and a page without a stat table, its head or its body gives no rows (``parsed_pages`` tells why).
     Rows and cells of a table inside a cell count as rows and cells too, after the ones that hold them.
     """
+    return _rows(parsed_pages(pages, keys, html), keys)
+
+
+def _rows(parsed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``table_rows`` of parsed pages."""
     # Cells are found inside the generator, so that dropping empty rows does not parse them again.
     cells = F.transform("rows", lambda markup, at: F.struct(at.alias("row"), cell_texts(markup).alias("cells")))
     found = F.filter(cells, lambda r: F.size(r["cells"]) > 0)
-    rows = parsed_pages(pages, keys, html).select(*keys, "headers", F.inline(found))
+    rows = parsed.select(*keys, "headers", F.inline(found))
     return rows.withColumn("cells", F.slice("cells", F.lit(1), F.size("headers")))
 
 
@@ -223,11 +229,15 @@ def table_cells(pages: DataFrame, keys: Sequence[str], html: str) -> DataFrame:
 
 def table_columns(pages: DataFrame, keys: Sequence[str], html: str, headers: Sequence[str]) -> DataFrame:
     """Wide form with one column per expected header, NULL where a page lacks it."""
+    return _columns(table_rows(pages, keys, html), keys, headers)
+
+
+def _columns(rows: DataFrame, keys: Sequence[str], headers: Sequence[str]) -> DataFrame:
     # By position, since headers may still clash: then the first counts.
     def cell(name: str) -> Column:
         return F.get("cells", (F.array_position("headers", F.lit(name)) - 1).cast("int")).alias(name)
 
-    return table_rows(pages, keys, html).select(*keys, "row", *[cell(name) for name in headers])
+    return rows.select(*keys, "row", *[cell(name) for name in headers])
 
 
 #: Different header rows of one set of pages, at most: a site's pages have a few.
@@ -243,6 +253,11 @@ def layouts(rows: DataFrame, by: Sequence[str] = ()) -> list:
 
 
 def stat_frame(pages: DataFrame, keys: Sequence[str], html: str) -> DataFrame:
-    """One table (keys, row, a text column for every header) of all pages, headers in the order in which layouts bring them."""
-    names = dict.fromkeys(h for layout in layouts(parsed_pages(pages, keys, html)) for h in layout["headers"])
-    return table_columns(pages, keys, html, list(names))
+    """One table (keys, row, a text column for every header) of all pages, headers in the order in which layouts bring them.
+
+    The parsed pages are written first: the layouts and the rows both come from them, and a condition on the headers
+    would otherwise go down to the pages and hold the whole parser, worked out anew for every use.
+    """
+    parsed = materialise(parsed_pages(pages, keys, html).select(*keys, "headers", "rows"))
+    names = dict.fromkeys(h for layout in layouts(parsed) for h in layout["headers"])
+    return _columns(_rows(parsed, keys), keys, list(names))
