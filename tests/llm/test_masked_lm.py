@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 from helpers import awkward, frame, prose, row, with_clashes
 
+from waterline.llm import masked_lm
 from waterline.llm.masked_lm import Network, Window, score_documents, text_words, vocabulary, windows
 
 SMALL = Window(classes=4, per_class=8, rare=8, batch=256)
@@ -48,6 +49,23 @@ def test_ordered_text_scores_above_shuffled(spark):
     assert min(got[k].per_token for k in range(60)) > max(got[1000 + k].per_token for k in range(3))
 
 
+def test_words_of_a_bucket_share_it_by_their_counts(spark, monkeypatch):
+    """Probabilities of all words of one context add up to one, whether a count is held by the tasks or joined."""
+    how = Window(classes=2, per_class=4, rare=2, side=1, batch=64)
+    texts = [f"w{k}" for k in range(20) for _ in range(k + 1)] + ["", None]
+    rows = frame(spark, [row(k, t) for k, t in enumerate(texts)])
+    found = {}
+    for held in (1 << 16, 3, 0):
+        monkeypatch.setattr(masked_lm, "HELD", held)
+        words = vocabulary(rows, how, "text")
+        assert words.beyond == max(0, 20 - 6 - held)
+        got = {r.doc_id: r.log_likelihood for r in score_documents(rows.coalesce(1), how).collect()}
+        found[held] = [got[k] for k in range(len(texts))]
+    single = {t: x for t, x in zip(texts[:-2], found[0], strict=False)}
+    assert abs(sum(np.exp(x) for x in single.values()) - 1) < 1e-4
+    assert np.allclose(found[0], found[3], atol=1e-6) and np.allclose(found[0], found[1 << 16], atol=1e-6)
+
+
 def test_awkward_rows(spark):
     got = score_documents(with_clashes(awkward(spark)), SMALL).collect()
     assert len(got) == 14

@@ -3,7 +3,8 @@
 Every word is predicted from the words on both of its sides, as if it were masked. The network (numpy) has an embedding for each place
 in the window and word, a tanh layer of their sum, and a two-level softmax: over classes of words, then over the
 words of the class. Frequent words are words of their own, the others share buckets by hash; a word of a bucket gets
-the bucket's probability divided by its number of distinct words.
+its own exact share of the bucket's probability, its count over the bucket's. Counts of the next ``HELD`` words go to every task,
+those of all others are joined to the documents' words.
 
 Word counts cover the corpus and are added up by Spark. Training is data-parallel: each task starts from the same
 network, makes one pass over its own documents, and the networks are averaged by the tokens they saw, block by
@@ -25,6 +26,12 @@ from waterline.llm import arrowtext
 from waterline.sources.storage import materialise
 
 
+#: Words of the buckets, most frequent first, whose counts every task holds.
+HELD = 1 << 16
+#: Logarithms of joined counts are added up in whole parts of this size, so that their order does not matter.
+SHARE_UNIT = 1e9
+
+
 @dataclass(frozen=True)
 class Window:
     """``classes`` times ``per_class`` words, of which ``rare`` are buckets; ``side`` words of context on each side."""
@@ -46,11 +53,17 @@ class Window:
 
 @dataclass
 class Vocabulary:
-    """Frequent words by descending count (hashes), log number of distinct words of each id, and smoothed counts."""
+    """Frequent words by descending count (hashes), log number of distinct words of each id, and smoothed counts.
+
+    ``held`` are the next words (hashes, ascending) with the log of their counts; ``beyond`` is the number of all other words.
+    """
 
     frequent: np.ndarray
     log_types: np.ndarray
     counts: np.ndarray
+    held: np.ndarray
+    held_log: np.ndarray
+    beyond: int
 
     def __post_init__(self) -> None:
         self.order = np.argsort(self.frequent)
@@ -64,6 +77,17 @@ class Vocabulary:
             ids = np.where(self.sorted[at] == hashes, self.order[at], ids)
         return ids
 
+    def shares(self, hashes: np.ndarray, ids: np.ndarray, how: Window) -> tuple[np.ndarray, np.ndarray]:
+        """Log share of each word in its bucket, and which of them still lack the log of their own count."""
+        own = how.size - how.rare
+        shared, held = ids >= own, np.zeros(len(ids), dtype=bool)
+        logs = np.where(shared, -np.log(np.maximum(self.counts[ids] - 1, 1)), 0.0)
+        if len(self.held):
+            at = np.minimum(np.searchsorted(self.held, hashes), len(self.held) - 1)
+            held = shared & (self.held[at] == hashes)
+            logs[held] += self.held_log[at[held]]
+        return logs, shared & ~held
+
 
 class Network:
     """Parameters as one flat vector, with named views into it."""
@@ -192,11 +216,12 @@ def word_counts(documents: DataFrame, text: str) -> DataFrame:
     return texts.mapInArrow(counted, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(documents: DataFrame, how: Window, text: str) -> Vocabulary:
-    """The most frequent words and the sums of the buckets of all others; ties go by hash."""
-    counts = materialise(word_counts(documents, text))
+def vocabulary(documents: DataFrame, how: Window, text: str, counts: DataFrame | None = None) -> Vocabulary:
+    """The most frequent words and the sums of the buckets of all others; ties go by hash. ``counts`` are written word counts."""
+    counts = materialise(word_counts(documents, text)) if counts is None else counts
     own = how.size - how.rare
-    top = counts.orderBy(F.col("n").desc(), "word").limit(own).collect()
+    first = counts.orderBy(F.col("n").desc(), "word").limit(own + HELD).collect()
+    top, held = first[:own], sorted((np.uint64(r["word"] % (1 << 64)), r["n"]) for r in first[own:])
     frequent = np.array([r["word"] for r in top], dtype=np.int64).view(np.uint64)
     # Buckets of unsigned hashes: 2**64 is a multiple of any bucket number that is a power of two.
     bucket = F.pmod(F.col("word"), F.lit(how.rare))
@@ -205,7 +230,22 @@ def vocabulary(documents: DataFrame, how: Window, text: str) -> Vocabulary:
     totals[: len(top)] += [r["n"] for r in top]
     for r in rest.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("types"), F.sum("n").alias("n")).collect():
         types[own + r["b"]], totals[own + r["b"]] = r["types"], 1 + r["n"]
-    return Vocabulary(frequent, np.log(types), totals)
+    beyond = int(types[own:].sum()) - int((totals[own:] == 1).sum()) - len(held)
+    logs = np.log(np.array([n for _, n in held], dtype=float))
+    return Vocabulary(frequent, np.log(types), totals, np.array([w for w, _ in held], dtype=np.uint64), logs, beyond)
+
+
+def _listed(row: np.ndarray, words: np.ndarray, rows: int) -> pa.Array:
+    """The distinct words of each row with how often they stand in it."""
+    order = np.lexsort((words, row))
+    row, words = row[order], words[order]
+    new = np.ones(len(row), dtype=bool)
+    new[1:] = (row[1:] != row[:-1]) | (words[1:] != words[:-1])
+    heads = np.flatnonzero(new)
+    times = np.diff(heads, append=len(row))
+    parts = [pa.array(words[heads].view(np.int64)), pa.array(times, pa.int64())]
+    offsets = pa.array(np.searchsorted(row[heads], np.arange(rows + 1)), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(parts, names=["word", "times"]))
 
 
 def train(documents: DataFrame, words: Vocabulary, how: Window, text: str) -> Network:
@@ -262,7 +302,8 @@ def score_documents(documents: DataFrame, how: Window = Window(), doc_id: str =
     and a null per_token. Repeated rows are trained on and scored as often as they come; other columns
     are ignored; an empty table gives an empty result.
     """
-    words = vocabulary(documents, how, text)
+    counts = materialise(word_counts(documents, text))
+    words = vocabulary(documents, how, text, counts)
     net = train(documents, words, how, text)
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -276,13 +317,26 @@ def score_documents(documents: DataFrame, how: Window = Window(), doc_id: str =
                 net.log_probabilities(around[:, at : at + how.batch], ids[at : at + how.batch])
                 for at in range(0, len(ids), how.batch)
             ]
-            each = np.concatenate([np.zeros(0), *parts]) - words.log_types[ids]
+            shares, lacking = words.shares(hashes, ids, how)
+            each = np.concatenate([np.zeros(0), *parts]) + shares
             n = np.diff(first)
-            sums = np.bincount(np.repeat(np.arange(len(n)), n), each, minlength=len(n)).astype(float)
-            mean = pa.array(np.divide(sums, n, where=n > 0, out=np.zeros(len(n))), mask=n == 0)
+            row = np.repeat(np.arange(len(n)), n)
+            sums = np.bincount(row, each, minlength=len(n)).astype(float)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(sums), mean],
-                names=["doc_id", "n_tokens", "log_likelihood", "per_token"],
+                [batch.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(sums), _listed(row[lacking], hashes[lacking], len(n))],
+                names=["doc_id", "n_tokens", "log_likelihood", "rest"],
             )
 
-    return rows.mapInArrow(scored, f"doc_id {kind}, n_tokens bigint, log_likelihood double, per_token double")
+    schema = f"doc_id {kind}, n_tokens bigint, log_likelihood double, rest array<struct<word: bigint, times: bigint>>"
+    found = rows.mapInArrow(scored, schema)
+    if words.beyond:
+        # Written once: the words and the rows they come back to are read from the same file.
+        found = materialise(found.withColumn("_row", F.monotonically_increasing_id()))
+        units = F.round(F.log("n") * SHARE_UNIT).cast("bigint") * F.col("times")
+        # The log of a count of one is nothing.
+        listed = found.select("_row", F.inline("rest")).join(counts.filter("n > 1"), "word")
+        added = listed.groupBy("_row").agg(F.sum(units).alias("_units"))
+        total = F.col("log_likelihood") + F.coalesce(F.col("_units"), F.lit(0)) / SHARE_UNIT
+        found = found.drop("rest").join(added, "_row", "left").withColumn("log_likelihood", total)
+    mean = F.try_divide("log_likelihood", "n_tokens").alias("per_token")
+    return found.select("doc_id", "n_tokens", "log_likelihood", mean)
