@@ -1,5 +1,6 @@
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -352,3 +353,26 @@ def test_a_compacted_log_says_the_same(spark, tmp_path):
     assert small.count() == 5 and key(sinks.latest_run_values(small)) == key(sinks.latest_run_values(log, tie_break="value")) == key(small)
     sinks.append_run_log(log.limit(1).selectExpr("'k0' AS key", "'new' AS value", "timestamp_ntz'2030-01-01' AS updated_at"), str(tmp_path / "small"))
     assert sinks.latest_run_values(spark.read.parquet(str(tmp_path / "small"))).filter("key = 'k0'").first().value == "new"
+
+
+def test_nested_elements_need_no_counting(spark, monkeypatch):
+    inner = "<table id=in><tbody><tr><td>x</td></tr></tbody></table>"
+    page = f"<table id='data'><tbody><tr><td>a{inner}</td><td>b</td></tr><tr></tr></tbody></table>"
+    rows = spark.createDataFrame([(page,)], "html string").select(pages.tag_stream(F.col("html")).alias("s"))
+    found = lambda: rows.select(pages.first_element(F.col("s"), "table", pages.DATA_TABLE), pages.elements(F.col("s"), "tr"), pages.elements(F.col("s"), "td")).first()
+    want = [found()[0], *map(list, found()[1:])]
+    assert [len(x) for x in want[1:]] == [3, 3] and want[0].count("tbody") == 4
+    monkeypatch.setattr(pages, "_pieces", lambda stream, name: F.array(F.raise_error(F.concat(stream, F.lit("counted"))).cast("string")))
+    assert [found()[0], *map(list, found()[1:])] == want
+
+
+def test_pattern_and_counting_find_the_same_elements(spark, monkeypatch):
+    rng = random.Random(5)
+    parts = ["<td>", "</td>", "<TD class='>'>", "</tr>", "<tr>", "x", " ", "<b>", "<!-- <td> -->", '<td a="', "</td", "<td/>"]
+    texts = ["".join(rng.choices(parts, weights=[6, 8, 2, 1, 2, 4, 2, 1, 1, 0.2, 0.2, 0.5], k=rng.randint(0, 30))) for _ in range(600)]
+    texts += [None, "<td>" * 9 + "x" + "</td>" * 9, "<td>" * 4 + "</td>" * 5]
+    rows = spark.createDataFrame([(t,) for t in texts], "html string").repartition(4).select("html", pages.tag_stream(F.col("html")).alias("s"))
+    found = lambda: {r[0]: r[1:] for r in rows.select("html", pages.elements(F.col("s"), "td"), pages.first_element(F.col("s"), "td")).collect()}
+    by_pattern = found()
+    monkeypatch.setattr(pages, "_balanced", lambda name: "(?!)")
+    assert by_pattern == found() and len(by_pattern) > 500

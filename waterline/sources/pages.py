@@ -22,6 +22,8 @@ _SOME = r"[^>\"']*?(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*?)*?"
 # A character that no text holds, set before every tag, and in the place of what is no text.
 _MARK = "\x01"
 _NEAR = 64
+# Elements of one name inside each other that a pattern follows; deeper ones are counted.
+_NESTED = 3
 # Comments, declarations, scripts and styles with all they hold, and tags (group 2).
 _STREAM = rf"(?is)<!--.*?(?:-->|\z)|<[!?][^>]*+>|<(script|style)\b{_REST}.*?(?:</\1\s*>|\z)|(</?[a-z]{_REST})"
 _TAG = rf"(?s){_MARK}(?:</?[A-Za-z]{_REST})?"
@@ -41,7 +43,7 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def _plain(cell: Column) -> Column:
     """Visible text of a cell: each text node trimmed, tags gone, references undone."""
-    bare = F.regexp_replace(cell, rf"\s*{_TAG}\s*", "")
+    bare = F.when(F.contains(cell, F.lit(_MARK)), F.regexp_replace(cell, rf"\s*{_TAG}\s*", "")).otherwise(cell)
     return _let(bare, lambda text: strip(F.when(F.contains(text, F.lit("&")), _decoded(text)).otherwise(text)))
 
 
@@ -70,7 +72,9 @@ def _decoded(text: Column) -> Column:
     def numbers(text: Column) -> Column:
         return _let(undo("&#[0-9]{1,8};", numbered(2, 10), text), lambda t: undo("&#[xX][0-9A-Fa-f]{1,7};", numbered(3, 16), t))
 
-    return F.replace(_let(undo("&[A-Za-z]+[0-9]*;", named, text), numbers), F.lit("&amp;"), F.lit("&"))
+    # Most texts hold ampersands only.
+    others = _let(undo("&[A-Za-z]+[0-9]*;", named, text), numbers)
+    return F.replace(F.when(F.rlike(text, F.lit("&(?!amp;)")), others).otherwise(text), F.lit("&amp;"), F.lit("&"))
 
 
 def tag_stream(html: Column) -> Column:
@@ -103,13 +107,25 @@ def _start(name: str) -> str:
     return rf"{_MARK}<{name}\b"
 
 
+def _balanced(name: str) -> str:
+    """A pattern of what stands before an element's own end tag: no tags of its name but those of whole elements, so deep at most.
+
+    Its loops give nothing back, so a long page takes neither retries nor stack.
+    """
+    other = rf"[^{_MARK}]*+(?:{_MARK}(?!</?{name}\b)[^{_MARK}]*+)*+"
+    held = other
+    for _ in range(_NESTED):
+        held = rf"{other}(?:{_start(name)}{held}{_MARK}</{name}\b{other})*+"
+    return held
+
+
 def elements(stream: Column, name: str) -> Column:
     """What every element of a name holds, in the order of their start tags; those inside others count as well.
 
-    An element ends at its own end tag, by depth, or with the stream. Where each start tag has an end tag before the next one,
-    one pattern finds them all and nothing needs counting.
+    An element ends at its own end tag, by depth, or with the stream. Where each start tag has its end tag and few hold each other,
+    one pattern finds them all, looking ahead, and nothing needs counting.
     """
-    flat = F.regexp_extract_all(stream, F.lit(rf"(?is){_start(name)}{_REST}(.*?){_MARK}</{name}\b"), F.lit(1))
+    flat = F.regexp_extract_all(stream, F.lit(rf"(?i){_start(name)}{_REST}(?=({_balanced(name)}){_MARK}</{name}\b)"), F.lit(1))
 
     def deep(cut: Column) -> Column:
         pieces, kinds = cut["pieces"], cut["kinds"]
@@ -127,19 +143,18 @@ def elements(stream: Column, name: str) -> Column:
         return F.struct(pieces.alias("pieces"), F.transform(pieces, lambda p: _kind(p, name)).alias("kinds"))
 
     counted = _let(_let(_pieces(stream, name), kinds_of), deep)
-    return F.when(F.regexp_count(stream, F.lit(f"(?i){_start(name)}")) == F.size(flat), flat).otherwise(counted)
+    starts = F.regexp_count(stream, F.lit(f"(?i){_start(name)}"))
+    return _let(flat, lambda flat: F.when(starts == F.size(flat), flat).otherwise(counted))
 
 
 def first_element(stream: Column, name: str, start: str | None = None) -> Column:
     """What the first element of a name holds, or the first whose tag matches ``start``; NULL without one.
 
-    Where it holds another of its name, a fold over the few tags of the name takes pieces from the start tag on while the
-    depth is not back to zero.
+    One pattern finds it, unless it is empty, has no end tag or holds others of its name too deep. Then a fold over the tags of the
+    name takes pieces from the start tag on while the depth is not back to zero.
     """
     opening = start or rf"(?is){_start(name)}{_REST}"
-    flat = rf"{opening}(.*?){_MARK}</{name}\b"
-    found = F.regexp_extract(stream, flat, 1)
-    plain = F.rlike(stream, F.lit(flat)) & ~F.rlike(found, F.lit(f"(?i){_start(name)}"))
+    found = F.regexp_extract(stream, rf"{opening}(?:({_balanced(name)})(?={_MARK}</{name}\b))?", 1)
     opening = opening.replace("(?is)", "(?is)^", 1)
     state = F.struct(F.lit(0).alias("depth"), F.lit(None).cast("string").alias("held"), F.lit(False).alias("over"))
 
@@ -153,7 +168,8 @@ def first_element(stream: Column, name: str, start: str | None = None) -> Column
         return F.struct(depth.alias("depth"), held.alias("held"), over.alias("over"))
 
     counted = F.aggregate(_pieces(stream, name), state, step)["held"]
-    return F.when(plain, found).when(F.rlike(stream, F.lit(opening.replace("^", "", 1))), counted)
+    there = F.rlike(stream, F.lit(opening.replace("^", "", 1)))
+    return _let(found, lambda found: F.when(found != "", found).when(there, counted))
 
 
 def _cells(source: Column, name: str) -> Column:
