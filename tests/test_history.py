@@ -239,3 +239,26 @@ def test_a_repeated_week_needs_an_order(spark):
     assert [(r.games, r.fpts) for r in history_model(df, league, order=["ord"]).seasons.collect()] == [(1, 9.0)]
     with pytest.raises(Exception, match="holds a week twice"):
         history_model(df, league).seasons.collect()
+
+
+def test_stored_facts_are_written_before_the_filter(spark, monkeypatch):
+    from waterline.plans import history
+
+    rows = [(str(p), "T", "QB", "2020", str(w), str(p + w)) for p in range(4) for w in range(1, 4)] + [("9", "T", "K", "2020", "1", "1")]
+    weekly = spark.createDataFrame(rows, "Player string, Team string, Pos string, Year string, Week string, REC string")
+    written, real = [], history.materialise
+    monkeypatch.setattr(history, "materialise", lambda df: written.append(df) or real(df))
+    want = history.history_model(weekly, LeagueConfig(teams=2, weeks=5), key="Player").scored
+    found = history.history_model(weekly, LeagueConfig(teams=2, weeks=5), key="Player", store=("facts",)).scored
+    # A filter on the way to the files would parse the cells once more for every condition.
+    assert "Filter" not in written[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(found.collect()) == sorted(want.collect()) and found.count() == 12
+
+
+def test_whole_numbers_of_text(spark):
+    from waterline.schema import Fields
+
+    cells = ["7", "007", "123456789", "1234567890", "99999999999", "7.0", "7.5", "1e3", " 8 ", "9\n", "-", "", None, "1,000", "+3", "-3", "٣"]
+    df = spark.createDataFrame([(c,) for c in cells], "Week string")
+    want = [7, 7, 123456789, 1234567890, None, 7, None, 1000, 8, 9, None, None, None, 1000, 3, -3, None]
+    assert [r[0] for r in df.select(Fields(df).whole("week")).collect()] == want

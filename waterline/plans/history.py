@@ -71,9 +71,10 @@ def history_model(
     several results from them.
     """
     facts = weekly if scored else score_weekly(weekly, league.scoring, key, carry=order)
-    facts = eligible(facts, league)
     if "facts" in store:
+        # Before the filter, which would go down to the source and parse the cells of text sources anew for every condition.
         facts = materialise(facts)
+    facts = eligible(facts, league)
     heads = pool_ranks(facts, league, ties=["id", *order], unique=not order)
     env = environment(heads, league)
     if "env" in store:

@@ -156,7 +156,7 @@ def csv_season_value(spark, sf):
     path = scratch_path(spark, "facts")
     fx.write_weekly_csv(spark, sf, path)
     read = tables.read_csv(spark, path, multi_line=False, order="ord")
-    return rounded(history_model(read, fx.WEEKLY_LEAGUE, key="Player", order=["ord"]).seasons, *SEASON_COLUMNS)
+    return rounded(history_model(read, fx.WEEKLY_LEAGUE, key="Player", order=["ord"], store=("facts",)).seasons, *SEASON_COLUMNS)
 
 
 @query

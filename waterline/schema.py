@@ -123,7 +123,12 @@ class Fields:
         if len(columns) == 1 and isinstance(self._types[columns[0]], T.IntegralType):
             return self._col(columns[0]).try_cast("int")
         number = self.number(field)
-        return F.when(number == F.floor(number), number).try_cast("int")
+        whole = F.when(number == F.floor(number), number).try_cast("int")
+        if len(columns) == 1 and isinstance(self._types[columns[0]], T.StringType):
+            # Most cells are a few digits, which need no reading as a decimal.
+            cell = self._col(columns[0])
+            whole = F.coalesce(F.when(cell.rlike(r"^\d{1,9}$"), cell.try_cast("int")), whole)
+        return whole
 
     def any_present(self, names: Sequence[str]) -> Column:
         columns = self.resolve(names)
