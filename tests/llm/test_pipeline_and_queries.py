@@ -102,3 +102,15 @@ def test_run_gives_what_the_stages_give(spark):
     want = sorted(map(tuple, docs.select(*columns).collect()))
     assert want == sorted(map(tuple, corpus_pipeline.run(spark, SF).select(*columns).collect()))
     assert not any(math.isnan(r[3]) for r in want)
+
+
+def test_rows_of_shared_and_missing_ids_are_compared(spark):
+    near = lambda k: " ".join(prose(k, 60)[:-1] + ["end"])
+    rows = [row(None, " ".join(prose(k, 60))) for k in (1, 1, 2)] + [row(None, near(2)), row(None, None), row(7, " ".join(prose(1, 60)))]
+    rows += [row(9, " ".join(prose(k, 60))) for k in (3, 4, 4)] + [row(12, near(4))]
+    stage = dict(corpus_pipeline.STAGES)["near-duplicate removal"]
+    found = stage(spark, frame(spark, rows), "").collect()
+    topics = [[k for k in (1, 2, 3, 4) if r.text and set(prose(k, 60)[:20]) <= set(r.text.split())] for r in found]
+    # A text of each topic stays, and the row without a text; the copy without an id goes for that of an id.
+    assert sorted(t for t in topics if t) == [[1], [2], [3], [4]] and len(found) == 5
+    assert [r.doc_id for r, t in zip(found, topics, strict=True) if t == [1]] == [7]
