@@ -219,6 +219,37 @@ def test_scans_do_not_grow_with_the_scorings(spark, tmp_path, monkeypatch):
         assert {r.scenario for r in seasons.select("scenario").distinct().collect()} == set(sweep)
 
 
+def test_seasons_of_chosen_entities(spark):
+    rows, cfg = random_rows(10), LeagueConfig(teams=2, weeks=5)
+    found = history_model(scored(spark, rows), cfg, scored=True, weeks=True)
+    chosen = found.top(1).select("player_key", "pos").distinct()
+    kept = lambda df: sorted((r.player, r.team, r.pos, r.year, round(r.war, 9), r.games, len(r.weeks)) for r in df.collect())
+    want = kept(found.seasons.join(chosen, ["player_key", "pos"], "left_semi"))
+    assert want and kept(found.seasons_of(chosen, 8)) == want
+    assert found.seasons_of(chosen.limit(0), 0).count() == 0
+    # Only the rows of the chosen are valued: the join with them lies below the sums.
+    plan = found.seasons_of(chosen, 8)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftSemi")
+
+
+def test_a_repeated_week_of_any_season_raises_with_the_games_of_the_best(spark):
+    rows = random_rows(11)
+    worst = min(rows, key=lambda r: r[5])
+    found = history_model(scored(spark, [*rows, worst]), LeagueConfig(teams=2, weeks=5), scored=True)
+    with pytest.raises(Exception, match="holds a week twice"):
+        found.top(1).groupBy("player_key", "pos").agg(F.max("games").alias("games")).collect()
+
+
+def test_a_salt_does_not_ask_for_arrays(spark):
+    from waterline.operators.ranking import best_rows
+
+    df = spark.range(40).select((F.col("id") % 8).alias("k"), (F.col("id") % 2).alias("g"), "id")
+    made = df.groupBy("k", "g").agg(F.max("id").alias("v"), F.collect_list("id").alias("weeks"))
+    best = best_rows(made, [F.col("v").desc()], 2, ["g"], "at", fan_in=3)
+    assert "collect_list" not in best.select("k", "at")._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.g, r["at"], r.v, len(r.weeks)) for r in best.collect()) == [(0, 1, 38, 5), (0, 2, 36, 5), (1, 1, 39, 5), (1, 2, 37, 5)]
+
+
 def test_a_single_order_column_needs_no_sort_of_the_facts(spark, tmp_path):
     from waterline.sources.tables import read_csv
 

@@ -47,5 +47,18 @@ def test_query(spark, duck, name):
     assert got
 
 
+def test_the_week_grid_reads_the_facts_once(spark, monkeypatch):
+    from waterline.operators import season
+    from waterline.plans import history
+    from waterline.registry import queries
+
+    stored, real = [], queries.materialise
+    for module in (season, history, queries):
+        monkeypatch.setattr(module, "materialise", lambda df: stored.append(df) or real(df))
+    found = REGISTRY["entity_week_grid"](spark, SF)
+    scans = [df._jdf.queryExecution().executedPlan().toString().count("/lineitem.parquet") for df in (*stored, found)]
+    assert sum(scans) == 1 and scans[0] == 1
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0

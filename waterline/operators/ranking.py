@@ -149,7 +149,9 @@ def best_rows(
         )
 
     if fan_in > 1:
-        # Hashed from the row itself, so a task that runs again salts it alike.
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(fan_in))
+        # Hashed from the row itself, so a task that runs again salts it alike. Its arrays and structs are left out where
+        # there are plain columns: a caller that does not use them need not make them for the salt.
+        plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.StructType))]
+        salt = F.pmod(F.xxhash64(*(plain or df.columns)), F.lit(fan_in))
         df = first(df.withColumn("_salt", salt), [*group, "_salt"]).drop(out, "_salt")
     return first(df, group)

@@ -12,22 +12,34 @@ from waterline.config import SCORING, LeagueConfig, Scenarios
 from waterline.operators.model import environment, mean_team, pool_model, team_model
 from waterline.operators.pools import pool_ranks
 from waterline.operators.season import TIES, eligible, rank_curve, rank_seasons, score_weekly, score_weekly_each, season_values, top_seasons
-from waterline.sources.storage import materialise
+from waterline.sources.storage import materialise, small
 
 
 @dataclass(frozen=True)
 class HistoryModel:
-    """Frames of one league's history. Asking for ``seasons`` writes the small season model first."""
+    """Frames of one league's history. Asking for ``seasons`` writes the small season model first.
+
+    ``make_seasons`` values the seasons of the scored rows it is given.
+    """
 
     scored: DataFrame
     ranked_heads: DataFrame
     env: DataFrame
-    make_seasons: Callable[[], DataFrame]
+    make_seasons: Callable[[DataFrame], DataFrame]
     ties: tuple[str, ...] = TIES
 
     @cached_property
     def seasons(self) -> DataFrame:
-        return self.make_seasons()
+        return self.make_seasons(self.scored)
+
+    def seasons_of(self, entities: DataFrame, bound: int) -> DataFrame:
+        """``seasons`` of the chosen (player_key, pos) ``entities``, of which there are ``bound`` at most.
+
+        Only their own rows are valued, so the seasons of all others are not made to be dropped; a repeated week of
+        another entity does not raise here. Sessions that ask for more than this should store "facts" and "env".
+        """
+        own = small(entities.select("player_key", "pos"), bound)
+        return self.make_seasons(self.scored.join(own, ["player_key", "pos"], "left_semi"))
 
     @property
     def pools(self) -> DataFrame:
@@ -79,7 +91,7 @@ def history_model(
     env = environment(heads, league)
     if "env" in store:
         env = materialise(env)
-    return HistoryModel(facts, heads, env, lambda: season_values(facts, env, league, order, weeks), tuple(ties))
+    return HistoryModel(facts, heads, env, lambda rows: season_values(rows, env, league, order, weeks), tuple(ties))
 
 
 def scenario_seasons(

@@ -335,9 +335,11 @@ def entity_season_card(spark, sf):
 
 @query
 def entity_week_grid(spark, sf):
-    found = model(spark, sf, weeks=True)
-    chosen = materialise(found.top(CARD_RANK).select("player_key", "pos").distinct())
-    history = series.entity_history(found.seasons, chosen, chosen.count())
+    found = model(spark, sf, weeks=True, store=("facts", "env"))
+    # The number of games goes along, so that a repeated week of any season raises.
+    chosen = materialise(found.top(CARD_RANK).groupBy("player_key", "pos").agg(F.max("games").alias("games")))
+    n_chosen = chosen.count()
+    history = series.entity_history(found.seasons_of(chosen, n_chosen), chosen, n_chosen)
     return rounded(series.week_grid(series.newest_season(history), fx.WEEKLY_LEAGUE.weeks))
 
 
