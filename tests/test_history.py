@@ -219,6 +219,24 @@ def test_scans_do_not_grow_with_the_scorings(spark, tmp_path, monkeypatch):
         assert {r.scenario for r in seasons.select("scenario").distinct().collect()} == set(sweep)
 
 
+def test_a_sweep_lays_its_facts_out_by_season(spark, monkeypatch):
+    """The sums of a sweep come from the layout of its facts, in as many tasks as the session shuffles into, without an exchange of their own."""
+    from waterline.plans import history
+
+    weekly = spark.createDataFrame(
+        [(p, t, pos, y, w, s) for p, t, pos, y, w, s, _ in random_rows(9) if t == "A"],
+        "Player string, Team string, Pos string, Year int, Week int, REC double",
+    )
+    heads, real = [], history.pool_ranks
+    monkeypatch.setattr(history, "pool_ranks", lambda *a, **k: heads.append(real(*a, **k)) or heads[-1])
+    text = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    seasons = scenario_seasons(weekly, Scenarios({"a": LeagueConfig(teams=2, weeks=5), "b": LeagueConfig(teams=3, weeks=4)}), key="Player")
+    assert "REPARTITION_BY_NUM" in text(seasons) and "REPARTITION_BY_NUM" in text(heads[0])
+    assert text(seasons).count("Exchange hashpartitioning") == 1
+    # Rows that do not count are left out before the exchange.
+    assert "Filter" not in text(seasons)[: text(seasons).index("REPARTITION_BY_NUM")].split("Generate")[-1]
+
+
 def test_seasons_of_chosen_entities(spark):
     rows, cfg = random_rows(10), LeagueConfig(teams=2, weeks=5)
     found = history_model(scored(spark, rows), cfg, scored=True, weeks=True)

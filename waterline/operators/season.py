@@ -13,7 +13,7 @@ from waterline.functions.scoring import fantasy_points
 from waterline.functions.text import entity_key, row_id
 from waterline.operators.model import value_scores, yardsticks
 from waterline.operators.pools import within_scenario
-from waterline.operators.ranking import best_rows, number_rows
+from waterline.operators.ranking import best_rows, number_rows, shuffle_width
 from waterline.schema import Fields
 from waterline.sources.storage import materialise
 
@@ -57,7 +57,10 @@ def score_weekly_each(
     """As ``score_weekly`` under every distinct scoring of ``scenarios`` in one pass: a row each, with ``scoring`` its number.
 
     A fact carries its points as a short array, which is read off without a shuffle; the facts are scanned once
-    however many scorings there are.
+    however many scorings there are. Without ``carry`` a season holds a week once, so no key is hot and the facts are laid
+    out by season first, in as many tasks as the session shuffles into: a sweep makes many rows of each fact, and neither
+    the sort for its heads nor the sums of its seasons should hold those of a part as large as the engine likes to merge.
+    The sums then need no exchange of their own.
     """
 
     def points(row: Fields, pos: Column) -> Column:
@@ -65,6 +68,8 @@ def score_weekly_each(
         return F.array(*[F.struct(F.lit(k).alias(SCORING), p) for k, p in enumerate(found)]).alias("_points")
 
     typed = _typed(weekly, key, carry, points)
+    if not carry:
+        typed = typed.repartition(shuffle_width(weekly), *SEASON, "player_key")
     return typed.select(*[c for c in typed.columns if c != "_points"], F.inline("_points"))
 
 
